@@ -245,3 +245,175 @@ def q_residual_missing(spark, sf):
 
 
 __all__ = ["QUERIES", "ORACLE", "AUDIT_TOKENS"]
+
+
+# ---------------------------------------------------------------------------
+# Statistics and exploration (A1-A10, U*), correlation
+# ---------------------------------------------------------------------------
+
+from ..operators import correlation, explore  # noqa: E402
+
+NUM = list(SPEC.audit_numeric)
+_D = lambda c: f"TRY_CAST({S.q(c)} AS DOUBLE)"
+
+_SUMMARY_SQL = S.with_obs(S.union_all(
+    f"SELECT '{c}' AS column_name, min({_D(c)}) AS min, max({_D(c)}) AS max, "
+    f"round(avg({_D(c)}), 9) AS mean, round(stddev_samp({_D(c)}), 9) AS stddev FROM obs" for c in NUM))
+
+
+@register("numeric_summary", _SUMMARY_SQL)
+def q_numeric_summary(spark, sf):
+    return explore.numeric_summary(obs(spark, sf))
+
+
+_PROBS = (0.01, 0.05, 0.50, 0.95, 0.99)
+_PCTL_SQL = S.with_obs(S.union_all(
+    f"SELECT '{c}' AS column_name, "
+    + ", ".join(f"quantile_disc({_D(c)}, {p}) AS {explore.prob_name(p)}" for p in _PROBS)
+    + f" FROM obs HAVING count({_D(c)}) > 0" for c in NUM))
+
+
+@register("percentiles", _PCTL_SQL)
+def q_percentiles(spark, sf):
+    return explore.percentiles(obs(spark, sf))
+
+
+_VALID = "RainTomorrow IN ('Yes', 'No')"
+_BALANCE_SQL = S.with_obs(f"""
+SELECT RainTomorrow, n, round(CAST(n AS DOUBLE) * 100.0 / sum(n) OVER (), 6) AS pct
+FROM (SELECT RainTomorrow, count(*) AS n FROM obs WHERE {_VALID} GROUP BY 1)
+""")
+
+
+@register("class_balance", _BALANCE_SQL)
+def q_class_balance(spark, sf):
+    return explore.class_balance(obs(spark, sf))
+
+
+_BASELINE_SQL = S.with_obs(f"""
+SELECT arg_max(RainTomorrow, n * 1000000 + CASE WHEN RainTomorrow = 'Yes' THEN 1 ELSE 0 END) AS majority_label,
+       max(n) AS n_majority, CAST(sum(n) AS BIGINT) AS n_total, round(CAST(max(n) AS DOUBLE) / sum(n), 9) AS accuracy
+FROM (SELECT RainTomorrow, count(*) AS n FROM obs WHERE {_VALID} GROUP BY 1)
+""")
+
+
+@register("majority_baseline", _BASELINE_SQL)
+def q_majority_baseline(spark, sf):
+    return explore.majority_baseline(obs(spark, sf))
+
+
+CAT = list(SPEC.categorical)
+_CARD_SQL = S.with_obs(S.union_all(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {S.q(c)}) AS n_distinct FROM obs" for c in CAT))
+
+
+@register("cardinality", _CARD_SQL)
+def q_cardinality(spark, sf):
+    return explore.cardinality(obs(spark, sf))
+
+
+_VC = S.union_all(
+    f"SELECT '{c}' AS column_name, CAST({S.q(c)} AS VARCHAR) AS value, count(*) AS n FROM obs GROUP BY 2" for c in CAT)
+_TOPK_SQL = S.with_obs(f"""
+SELECT * FROM (SELECT column_name, value, n,
+                      row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value ASC) AS rank
+               FROM vc WHERE value IS NOT NULL) WHERE rank <= 10
+""", f"vc AS ({_VC})")
+
+
+@register("top_k", _TOPK_SQL)
+def q_top_k(spark, sf):
+    return explore.top_k(obs(spark, sf))
+
+
+_RARE_SQL = S.with_obs("SELECT column_name, value, n FROM vc WHERE n < 50", f"vc AS ({_VC})")
+
+
+@register("rare_categories", _RARE_SQL)
+def q_rare_categories(spark, sf):
+    return explore.rare_categories(obs(spark, sf))
+
+
+_MONTH = "CAST(month(CAST(try_strptime(Date, '%Y-%m-%d') AS DATE)) AS INTEGER)"
+_RATE_MONTH_SQL = S.with_obs(f"""
+SELECT {_MONTH} AS Month, round(avg(CASE WHEN RainTomorrow = 'Yes' THEN 1 ELSE 0 END), 9) AS rate, count(*) AS n
+FROM obs WHERE {_VALID} GROUP BY 1
+""")
+
+
+@register("rate_by_month", _RATE_MONTH_SQL)
+def q_rate_by_month(spark, sf):
+    return explore.rate_by(explore.with_month(obs(spark, sf)), ["Month"])
+
+
+_RATE_TOP_SQL = S.with_obs(f"""
+SELECT Location, round(avg(CASE WHEN RainTomorrow = 'Yes' THEN 1 ELSE 0 END), 9) AS rate, count(*) AS n
+FROM obs WHERE {_VALID} GROUP BY 1 ORDER BY n DESC, Location ASC LIMIT 10
+""")
+
+
+@register("rate_by_top_location", _RATE_TOP_SQL)
+def q_rate_by_top_location(spark, sf):
+    return explore.rate_by_top(obs(spark, sf))
+
+
+_OUTSIDE_SQL = S.with_obs(
+    f"SELECT DISTINCT WindGustDir FROM obs WHERE WindGustDir IS NOT NULL AND WindGustDir NOT IN ({S.lit_list(DIRECTIONS)})")
+
+
+@register("outside_domain", _OUTSIDE_SQL)
+def q_outside_domain(spark, sf):
+    return explore.outside_domain(obs(spark, sf), "WindGustDir", DIRECTIONS)
+
+
+_DISTINCT_SQL = S.with_obs(f"SELECT DISTINCT {_ALL} FROM obs")
+
+
+@register("distinct_rows", _DISTINCT_SQL)
+def q_distinct_rows(spark, sf):
+    return explore.distinct_rows(obs(spark, sf).select(*COLS))
+
+
+_CPAIRS = list(combinations(NUM, 2))
+_COMPLETE_NUM = " AND ".join(f"{_D(c)} IS NOT NULL AND NOT isnan({_D(c)})" for c in NUM)
+_CORR_SQL = S.with_obs(S.union_all(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({_D(a)}, {_D(b)}), 9) AS r FROM obs "
+    f"WHERE {_VALID} AND {_COMPLETE_NUM}" for a, b in _CPAIRS))
+
+
+@register("corr_matrix", _CORR_SQL)
+def q_corr_matrix(spark, sf):
+    return correlation.corr_matrix(obs(spark, sf))
+
+
+_CORR_LABEL_SQL = S.with_obs(f"""
+SELECT * FROM ({S.union_all(
+    f"SELECT '{c}' AS column_name, round(corr({_D(c)}, CASE WHEN RainTomorrow = 'Yes' THEN 1.0 ELSE 0.0 END), 9) AS r "
+    f"FROM obs WHERE {_VALID}" for c in NUM)}) WHERE r IS NOT NULL AND NOT isnan(r)
+""")
+
+
+@register("corr_with_label", _CORR_LABEL_SQL)
+def q_corr_with_label(spark, sf):
+    return correlation.corr_with_label(obs(spark, sf))
+
+
+_COLLINEAR_SQL = S.with_obs(f"SELECT * FROM ({S.union_all(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({_D(a)}, {_D(b)}), 9) AS r FROM obs "
+    f"WHERE {_VALID} AND {_COMPLETE_NUM}" for a, b in _CPAIRS)}) WHERE abs(r) >= 0.9")
+
+
+@register("collinear_pairs", _COLLINEAR_SQL)
+def q_collinear_pairs(spark, sf):
+    return correlation.collinear_pairs(obs(spark, sf))
+
+
+_COVERAGE_SQL = S.with_obs(f"""
+SELECT n_used, n_total, round(CAST(n_used AS DOUBLE) * 100.0 / n_total, 6) AS pct
+FROM (SELECT {S.cnt(_VALID + ' AND ' + _COMPLETE_NUM)} AS n_used, count(*) AS n_total FROM obs)
+""")
+
+
+@register("corr_coverage", _COVERAGE_SQL)
+def q_corr_coverage(spark, sf):
+    return correlation.corr_coverage(obs(spark, sf))
