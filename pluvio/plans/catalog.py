@@ -417,3 +417,125 @@ FROM (SELECT {S.cnt(_VALID + ' AND ' + _COMPLETE_NUM)} AS n_used, count(*) AS n_
 @register("corr_coverage", _COVERAGE_SQL)
 def q_corr_coverage(spark, sf):
     return correlation.corr_coverage(obs(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Split, outliers, group statistics, imputation cascade (X*, O*, G*, I*)
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import groupstats, impute, split  # noqa: E402
+from . import prepare_sql as P  # noqa: E402
+from .prepare import Preparation  # noqa: E402
+
+
+def prep(spark, sf) -> Preparation:
+    return Preparation(obs(spark, sf))
+
+
+@register("hash_split", P.chain(f"""
+SELECT CASE WHEN {P.BUCKET} < 8 THEN 'train' ELSE 'test' END AS split, RainTomorrow, count(*) AS n
+FROM norm GROUP BY ALL"""))
+def q_hash_split(spark, sf):
+    p = prep(spark, sf)
+    return split.split_label(p.normalized).groupBy("split", "RainTomorrow").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("assign_folds", P.chain(f"SELECT CAST({P.FOLD.format(k=5)} AS INTEGER) AS fold, count(*) AS n FROM train GROUP BY 1"))
+def q_assign_folds(spark, sf):
+    p = prep(spark, sf)
+    return split.assign_folds(p.split[0], 5).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("iqr_bounds", P.chain("SELECT * FROM bounds"))
+def q_iqr_bounds(spark, sf):
+    return prep(spark, sf).bounds
+
+
+@register("null_outliers", P.chain(P.select_out("trc")))
+def q_null_outliers(spark, sf):
+    p = Preparation(obs(spark, sf), materialize_stages=False)
+    return p.train_clean
+
+
+@register("group_stats_label", P.chain("SELECT * FROM st3"))
+def q_group_stats_label(spark, sf):
+    p = prep(spark, sf)
+    return impute.tier1_stats(p.train_clean, p.keys3)
+
+
+@register("group_stats", P.chain("SELECT * FROM st2"))
+def q_group_stats(spark, sf):
+    p = prep(spark, sf)
+    return impute.tier1_stats(p.train_clean, p.keys2)
+
+
+@register("group_modes", P.chain("SELECT * FROM md3"))
+def q_group_modes(spark, sf):
+    p = prep(spark, sf)
+    return impute.tier1_modes(p.train_clean, p.keys3)
+
+
+@register("impute_tier1_train", P.chain(P.select_out("trn")))
+def q_impute_tier1_train(spark, sf):
+    p = prep(spark, sf)
+    return impute.impute_group_numeric(p.train_clean, p.train_clean, p.keys3)
+
+
+@register("impute_tier1_test", P.chain(P.select_out("ten")))
+def q_impute_tier1_test(spark, sf):
+    p = prep(spark, sf)
+    return impute.impute_group_numeric(p.test_clean, p.train_clean, p.keys2)
+
+
+_RT_TRAIN_SQL = P.chain(f"""
+SELECT {', '.join(('CASE WHEN ' + S.missing('RainToday') + ' THEN RainToday_mode ELSE RainToday END AS RainToday')
+                  if c == 'RainToday' else S.q(c) for c in P.OUT)}
+FROM (SELECT * REPLACE (upper(trim(RainToday)) AS RainToday) FROM trc) x LEFT JOIN rm USING (RainTomorrow)""")
+
+
+@register("impute_raintoday_train", _RT_TRAIN_SQL)
+def q_impute_raintoday_train(spark, sf):
+    p = prep(spark, sf)
+    return impute.impute_raintoday_train(p.train_clean, p.train_clean)
+
+
+@register("impute_raintoday_test", P.chain(P.select_out("ter")))
+def q_impute_raintoday_test(spark, sf):
+    p = prep(spark, sf)
+    return impute.impute_raintoday_test(impute.impute_group_numeric(p.test_clean, p.train_clean, p.keys2))
+
+
+@register("impute_wind_train", P.chain(f"SELECT {', '.join(P._wind_fill(c) for c in P.OUT)} FROM trc LEFT JOIN md3 {P._using(P.K3)}"))
+def q_impute_wind_train(spark, sf):
+    p = prep(spark, sf)
+    return impute.impute_group_mode(p.train_clean, p.train_clean, p.keys3)
+
+
+@register("impute_wind_test", P.chain(f"SELECT {', '.join(P._wind_fill(c) for c in P.OUT)} FROM tec LEFT JOIN md2 {P._using(P.K2)}"))
+def q_impute_wind_test(spark, sf):
+    p = prep(spark, sf)
+    return impute.impute_group_mode(p.test_clean, p.train_clean, p.keys2)
+
+
+@register("impute_tier2_train", P.chain(P.select_out("tr2")))
+def q_impute_tier2_train(spark, sf):
+    p = prep(spark, sf)
+    return impute.impute_secondary(p.train_tier1, p.train_tier1, SPEC.label)
+
+
+@register("impute_tier2_test", P.chain(P.select_out("te2")))
+def q_impute_tier2_test(spark, sf):
+    p = prep(spark, sf)
+    return impute.impute_secondary(p.test_tier1, p.train_tier1, infer_flag=True)
+
+
+@register("prepare_train", P.chain(P.select_out("trf")))
+def q_prepare_train(spark, sf):
+    return prep(spark, sf).train_final
+
+
+@register("prepare_test", P.chain(P.select_out("tef")))
+def q_prepare_test(spark, sf):
+    return prep(spark, sf).test_final
