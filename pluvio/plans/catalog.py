@@ -539,3 +539,247 @@ def q_prepare_train(spark, sf):
 @register("prepare_test", P.chain(P.select_out("tef")))
 def q_prepare_test(spark, sf):
     return prep(spark, sf).test_final
+
+
+# ---------------------------------------------------------------------------
+# Features (F*) and classifier metrics on a fixed score (E*)
+# ---------------------------------------------------------------------------
+
+from ..config import ROW_MEANS  # noqa: E402
+from ..operators import features, metrics  # noqa: E402
+
+
+def score_frame(spark, sf):
+    """lineitem as a scored binary sample: label = open line, score = quantity/50 + 0.2·label."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_quantity", "l_linestatus")
+    label = F.when(F.col("l_linestatus") == "O", F.lit(1.0)).otherwise(F.lit(0.0))
+    s = li.select(label.alias("label"), (F.col("l_quantity") / 50 + F.lit(0.2) * label).alias("score"))
+    return s.withColumn("prediction", F.when(F.col("score") > 0.5, F.lit(1.0)).otherwise(F.lit(0.0)))
+
+
+_S_CTE = ("s AS (SELECT label, score, CASE WHEN score > 0.5 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS prediction "
+          "FROM (SELECT CAST(CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label, l_quantity, l_linestatus "
+          "FROM lineitem) x, LATERAL (SELECT l_quantity / 50 + 0.2 * label AS score) y)")
+_CELLS = ("cells AS (SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE label = {a} AND prediction = {b}) AS c_{i}_{j}"
+    for i, a in enumerate((0.0, 1.0)) for j, b in enumerate((0.0, 1.0))) + " FROM s)")
+
+
+def _with_s(body, *more):
+    return f"WITH {_S_CTE}, {_CELLS}" + "".join(f", {m}" for m in more) + f"\n{body}"
+
+
+_N = "(c_0_0 + c_0_1 + c_1_0 + c_1_1)"
+_ACC = f"(CAST(c_0_0 + c_1_1 AS DOUBLE) / {_N})"
+_ERR = f"(1 - {_ACC})"
+_STD = f"sqrt({_ERR} * (1 - {_ERR}) / {_N})"
+
+
+@register("error_interval", _with_s(f"""
+SELECT {_N} AS n, round({_ACC}, 9) AS accuracy, round({_ERR}, 9) AS error_rate, round({_STD}, 9) AS error_std,
+       round({_ERR} - 1.96 * {_STD}, 9) AS ci_low, round({_ERR} + 1.96 * {_STD}, 9) AS ci_high FROM cells"""))
+def q_error_interval(spark, sf):
+    return metrics.error_rate(score_frame(spark, sf))
+
+
+@register("confusion", _with_s("""
+SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction, n FROM (
+  SELECT 0.0 AS label, 0.0 AS prediction, c_0_0 AS n FROM cells UNION ALL
+  SELECT 0.0, 1.0, c_0_1 FROM cells UNION ALL SELECT 1.0, 0.0, c_1_0 FROM cells UNION ALL
+  SELECT 1.0, 1.0, c_1_1 FROM cells)"""))
+def q_confusion(spark, sf):
+    return metrics.confusion(score_frame(spark, sf))
+
+
+def _label_rates_sql():
+    parts = []
+    for i, v in enumerate((0.0, 1.0)):
+        o = 1 - i
+        n_i, p_i, tp = f"(c_{i}_{i} + c_{i}_{o})", f"(c_{i}_{i} + c_{o}_{i})", f"c_{i}_{i}"
+        tpr = f"(CAST({tp} AS DOUBLE) / NULLIF({n_i}, 0))"
+        fpr = f"(CAST({p_i} - {tp} AS DOUBLE) / NULLIF({_N} - {n_i}, 0))"
+        prec = f"coalesce(CAST({tp} AS DOUBLE) / NULLIF({p_i}, 0), 0.0)"
+        rec = f"coalesce({tpr}, 0.0)"
+        f1 = f"coalesce(2 * {prec} * {rec} / NULLIF({prec} + {rec}, 0), 0.0)"
+        share = f"(CAST({n_i} AS DOUBLE) / {_N})"
+        parts.append(dict(label=v, n=n_i, tpr=tpr, fpr=fpr, prec=prec, f1=f1, share=share))
+    return parts
+
+
+_LR = _label_rates_sql()
+
+
+@register("rates_by_label", _with_s(S.union_all(
+    f"SELECT CAST({r['label']} AS DOUBLE) AS label, {r['n']} AS n, round({r['tpr']}, 9) AS tpr, round({r['fpr']}, 9) AS fpr, "
+    f"round({r['prec']}, 9) AS precision, round({r['f1']}, 9) AS f1 FROM cells" for r in _LR)))
+def q_rates_by_label(spark, sf):
+    return metrics.rates_by_label(score_frame(spark, sf))
+
+
+def _w(key):
+    return " + ".join(f"coalesce({r['share']} * {r[key]}, 0.0)" for r in _LR)
+
+
+@register("weighted_rates", _with_s(
+    f"SELECT round({_w('tpr')}, 9) AS weighted_tpr, round({_w('fpr')}, 9) AS weighted_fpr, "
+    f"round({_w('prec')}, 9) AS weighted_precision, round({_w('f1')}, 9) AS weighted_f1 FROM cells"))
+def q_weighted_rates(spark, sf):
+    return metrics.weighted_rates(score_frame(spark, sf))
+
+
+@register("f1", _with_s(f"SELECT round({_w('f1')}, 9) AS f1 FROM cells"))
+def q_f1(spark, sf):
+    return metrics.f1(score_frame(spark, sf))
+
+
+def _points_cte(score_col: str, bins: int) -> list[str]:
+    chunk = "rn - 1" if bins <= 0 else f"CASE WHEN d // {bins} >= 2 THEN (rn - 1) // (d // {bins}) ELSE rn - 1 END"
+    return [
+        f"c AS (SELECT CAST({score_col} AS DOUBLE) AS score, count(*) FILTER (WHERE label = 1.0) AS pos, "
+        f"count(*) FILTER (WHERE NOT (label = 1.0)) AS neg FROM s GROUP BY 1)",
+        "r AS (SELECT *, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg, row_number() OVER w AS rn, "
+        "count(*) OVER () AS d, sum(pos) OVER () AS tot_pos, sum(neg) OVER () AS tot_neg FROM c "
+        "WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))",
+        f"p AS (SELECT {chunk} AS chunk, min(score) AS threshold, sum(pos) AS pos, sum(neg) AS neg, "
+        f"max(cum_pos) AS cum_pos, max(cum_neg) AS cum_neg, max(tot_pos) AS tot_pos, max(tot_neg) AS tot_neg "
+        f"FROM r GROUP BY 1)",
+    ]
+
+
+BINS = 17
+
+
+@register("roc_curve", _with_s("""
+SELECT threshold, round(CAST(cum_neg AS DOUBLE) / tot_neg, 9) AS fpr, round(CAST(cum_pos AS DOUBLE) / tot_pos, 9) AS tpr FROM p
+UNION ALL SELECT NULL, 0.0, 0.0 UNION ALL SELECT NULL, 1.0, 1.0""", *_points_cte("score", BINS)))
+def q_roc_curve(spark, sf):
+    return metrics.roc_curve(score_frame(spark, sf), bins=BINS)
+
+
+_AUC_ROC = ("SELECT round(sum((CAST(neg AS DOUBLE) / tot_neg) * ((2 * CAST(cum_pos AS DOUBLE) - pos) / (2 * CAST(tot_pos AS DOUBLE)))), 9) "
+            "AS auc_roc FROM p")
+
+
+@register("auc_roc", _with_s(_AUC_ROC, *_points_cte("score", BINS)))
+def q_auc_roc(spark, sf):
+    return metrics.auc_roc(score_frame(spark, sf), bins=BINS)
+
+
+@register("auc_roc_hard", _with_s(_AUC_ROC, *_points_cte("prediction", 0)))
+def q_auc_roc_hard(spark, sf):
+    return metrics.auc_roc(score_frame(spark, sf), "prediction")
+
+
+@register("auc_pr", _with_s("""
+SELECT round(sum((CAST(pos AS DOUBLE) / tot_pos) * (pr + prev_pr) / 2), 9) AS auc_pr FROM (
+  SELECT *, CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg) AS pr,
+         CASE WHEN (cum_pos - pos) + (cum_neg - neg) = 0 THEN CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg)
+              ELSE CAST(cum_pos - pos AS DOUBLE) / ((cum_pos - pos) + (cum_neg - neg)) END AS prev_pr FROM p)""",
+    *_points_cte("score", BINS)))
+def q_auc_pr(spark, sf):
+    return metrics.auc_pr(score_frame(spark, sf), bins=BINS)
+
+
+_MEANS_SQL = ", ".join(f"({' + '.join(S.q(i) for i in ins)}) / {float(len(ins))} AS {S.q(out)}" for out, ins in ROW_MEANS.items())
+
+
+@register("row_means", P.chain(f"SELECT h, {_MEANS_SQL} FROM norm"))
+def q_row_means(spark, sf):
+    return features.with_row_means(prep(spark, sf).normalized).select("h", *ROW_MEANS)
+
+
+@register("index_label", P.chain(
+    "SELECT RainTomorrow, CAST(CASE WHEN RainTomorrow = 'Yes' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label, count(*) AS n "
+    "FROM norm GROUP BY ALL"))
+def q_index_label(spark, sf):
+    from pyspark.ml.feature import StringIndexer
+    n = prep(spark, sf).normalized
+    idx = StringIndexer(inputCol="RainTomorrow", outputCol="label", stringOrderType="alphabetDesc").fit(n)
+    return idx.transform(n).groupBy("RainTomorrow", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+_FEAT = ["Rainfall", *ROW_MEANS]
+
+
+@register("build_features", P.chain(
+    f"SELECT h, Rainfall, {_MEANS_SQL}, CAST(CASE WHEN RainTomorrow = 'Yes' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label FROM trf"))
+def q_build_features(spark, sf):
+    p = prep(spark, sf)
+    model = features.build_features(p.train_final)
+    return model.transform(p.train_final).select("h", *_FEAT, "label")
+
+
+# ---------------------------------------------------------------------------
+# Models, tuning, scoring, evaluation (M*, E13, E15): rows-only checks
+# ---------------------------------------------------------------------------
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from ..operators import models  # noqa: E402
+from .evaluate import Modelling, evaluate  # noqa: E402
+
+# Search grids of the reference scripts (fixed values).
+TREE_COARSE = {"impurity": ["gini", "entropy"], "maxDepth": [3, 5, 7, 9]}
+TREE_REFINE_BINS = [28, 32, 36]
+FOREST_COARSE = {"maxBins": [28, 32, 36], "maxDepth": [5, 7, 9]}
+
+
+def modelling(spark, sf) -> Modelling:
+    return Modelling(prep(spark, sf))
+
+
+def _predictions(model, frame):
+    return model.transform(frame).select("h", "label", "prediction", vector_to_array("probability")[1].alias("p1"))
+
+
+@register("fit_tree")
+def q_fit_tree(spark, sf):
+    m = modelling(spark, sf)
+    return _predictions(m.tree(maxDepth=7, maxBins=28), m.test)
+
+
+@register("fit_forest")
+def q_fit_forest(spark, sf):
+    m = modelling(spark, sf)
+    return _predictions(m.forest(seed=2025), m.test)
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    m = modelling(spark, sf)
+    cvm = models.cross_validate(m.train, DecisionTreeClassifier(), TREE_COARSE, k=5, fold_col="fold")
+    return models.cv_table(spark, cvm)
+
+
+@register("tune_two_stage")
+def q_tune_two_stage(spark, sf):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    m = modelling(spark, sf)
+    cv1, cv2 = models.tune_two_stage(m.train, DecisionTreeClassifier(), TREE_COARSE, TREE_REFINE_BINS,
+                                     k=5, fold_col="fold")
+    return models.cv_table(spark, cv1, 1).unionByName(models.cv_table(spark, cv2, 2))
+
+
+@register("score")
+def q_score(spark, sf):
+    m = modelling(spark, sf)
+    return _predictions(m.tree(maxDepth=7, maxBins=28), m.test)
+
+
+@register("score_label")
+def q_score_label(spark, sf):
+    m = modelling(spark, sf)
+    return metrics.score_label(m.tree(maxDepth=7, maxBins=28).transform(m.test))
+
+
+@register("evaluate_tree")
+def q_evaluate_tree(spark, sf):
+    m = modelling(spark, sf)
+    return evaluate(m.tree(maxDepth=7, maxBins=28).transform(m.test))
+
+
+@register("evaluate_forest")
+def q_evaluate_forest(spark, sf):
+    m = modelling(spark, sf)
+    return evaluate(m.forest(seed=2025).transform(m.test))
