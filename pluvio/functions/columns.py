@@ -58,7 +58,9 @@ def unit_vector(c) -> tuple[Column, Column]:
 
 def vector_direction(ux: Column, uy: Column, eps: float = 1e-9) -> Column:
     """Nearest compass point of a vector; null when its length is below eps."""
-    deg = F.pmod(F.degrees(F.atan2(ux, uy)), F.lit(360.0))
+    # Degrees are rounded to 6 places first so that exact sector boundaries
+    # (e.g. the bisector of two points) resolve the same way in any engine.
+    deg = F.round(F.pmod(F.degrees(F.atan2(ux, uy)), F.lit(360.0)), 6)
     idx = F.pmod(F.round(deg / 22.5).cast("int"), F.lit(16))
     points = F.array(*[F.lit(d) for d in DIRECTIONS])
     return F.when(F.sqrt(ux * ux + uy * uy) >= eps, F.element_at(points, idx + 1))

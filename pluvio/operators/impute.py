@@ -167,7 +167,7 @@ def impute_global(df: DataFrame, stats: dict, spec: Roles = WEATHER) -> DataFram
 
 
 def impute_by(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles = WEATHER,
-              normal_how: str = "mean") -> DataFrame:
+              normal_how: str = "mean", broadcast_stats: bool = False) -> DataFrame:
     """Numeric fill by any grouping: mean for normal columns (or median), median otherwise.
 
     Used for the month and location+month fallbacks (R1, R3).
@@ -177,7 +177,8 @@ def impute_by(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles =
                         median_cols=[*([] if normal_mean else spec.normal), *spec.continuous],
                         raw_mean_cols=spec.discrete, presence_cols=spec.numeric,
                         accuracy=spec.quantile_accuracy, mean_decimals=spec.mean_decimals)
-    joined = df.join(stats, list(keys), "left")
+    # broadcast_stats only for keys with a fixed small domain (e.g. 12 months).
+    joined = df.join(F.broadcast(stats) if broadcast_stats else stats, list(keys), "left")
     out = []
     for c in df.columns:
         if c in spec.normal:

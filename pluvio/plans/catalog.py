@@ -783,3 +783,241 @@ def q_evaluate_tree(spark, sf):
 def q_evaluate_forest(spark, sf):
     m = modelling(spark, sf)
     return evaluate(m.forest(seed=2025).transform(m.test))
+
+
+# ---------------------------------------------------------------------------
+# README-level operators (R1-R13): daily series, circular directions, cleaning,
+# retention, daily means, cyclic month, quantile bins, standardisation
+# ---------------------------------------------------------------------------
+
+from ..operators import series, transforms  # noqa: E402
+from ..operators.outliers import iqr_bounds  # noqa: E402
+from ..operators.split import hash_split  # noqa: E402
+
+_NORMAL, _CONT, _DISC = list(SPEC.normal), list(SPEC.continuous), list(SPEC.discrete)
+_NUMERIC = list(SPEC.numeric)
+_ANY_NUM = "(" + " OR ".join(f"{S.q(c)} IS NOT NULL" for c in _NUMERIC) + ")"
+
+
+def _by_stats_sql(src, keys, normal, cont, disc):
+    aggs = [f"round(avg({S.q(c)}), 9) AS {S.q(c + '_mean')}" for c in normal]
+    aggs += [f"quantile_disc({S.q(c)}, 0.5) AS {S.q(c + '_median')}" for c in cont]
+    aggs += [f"avg({S.q(c)}) AS {S.q(c + '_mean')}" for c in disc]
+    k = ", ".join(S.q(x) for x in keys)
+    return f"SELECT {k}, {', '.join(aggs)} FROM {src} WHERE {_ANY_NUM} GROUP BY {k}"
+
+
+def _by_fill_sql(cols, normal, cont, disc):
+    out = []
+    for c in cols:
+        if c in normal:
+            out.append(f"coalesce({S.q(c)}, {S.q(c + '_mean')}) AS {S.q(c)}")
+        elif c in disc:
+            out.append(f"CASE WHEN {S.q(c)} IS NULL THEN CAST(round({S.q(c + '_mean')}) AS INTEGER) ELSE {S.q(c)} END AS {S.q(c)}")
+        elif c in cont:
+            out.append(f"coalesce({S.q(c)}, {S.q(c + '_median')}) AS {S.q(c)}")
+        else:
+            out.append(S.q(c))
+    return ", ".join(out)
+
+
+@register("impute_month", P.chain(
+    f"SELECT {_by_fill_sql(P.OUT, _NORMAL, _CONT, _DISC)} FROM trc LEFT JOIN "
+    f"({_by_stats_sql('trc', ['Month'], _NORMAL, _CONT, _DISC)}) st USING (Month)"))
+def q_impute_month(spark, sf):
+    p = prep(spark, sf)
+    return series.impute_month(p.train_clean, p.train_clean)
+
+
+_DAILY_COLS = ["Location", "Date", *_NUMERIC, "Month"]
+_DAILY = ("daily AS (SELECT Location, Date, " + ", ".join(f"round(avg({S.q(c)}), 9) AS {S.q(c)}" for c in _NUMERIC)
+          + ", CAST(month(Date) AS INTEGER) AS Month FROM norm WHERE Date IS NOT NULL GROUP BY Location, Date)")
+_W = "OVER (PARTITION BY Location ORDER BY Date)"
+_NEIGH = ("neigh AS (SELECT Location, Date, " + ", ".join(
+    f"CASE WHEN {S.q(c)} IS NULL THEN coalesce((lag({S.q(c)}) {_W} + lead({S.q(c)}) {_W}) / 2, "
+    f"lag({S.q(c)}) {_W}, lead({S.q(c)}) {_W}) ELSE {S.q(c)} END AS {S.q(c)}" for c in _NUMERIC) + ", Month FROM daily)")
+
+
+def _with_daily(body, *more):
+    return S.with_obs(body, *P.ctes(), _DAILY, _NEIGH, *more)
+
+
+@register("neighbour_impute", _with_daily(f"SELECT {', '.join(S.q(c) for c in _DAILY_COLS)} FROM neigh"))
+def q_neighbour_impute(spark, sf):
+    p = prep(spark, sf)
+    return series.neighbour_impute(series.daily_series(p.normalized))
+
+
+_DCONT = _CONT + _DISC  # daily means of clouds are continuous
+
+
+@register("impute_location_month", _with_daily(
+    f"SELECT {_by_fill_sql(_DAILY_COLS, _NORMAL, _DCONT, [])} FROM neigh LEFT JOIN "
+    f"({_by_stats_sql('neigh', ['Location', 'Month'], _NORMAL, _DCONT, [])}) st USING (Location, Month)"))
+def q_impute_location_month(spark, sf):
+    p = prep(spark, sf)
+    return series.impute_location_month(series.neighbour_impute(series.daily_series(p.normalized)))
+
+
+_DIRS = list(SPEC.directions)
+_POINTS = "[" + S.lit_list(DIRECTIONS) + "]"
+
+
+def _angle(c):
+    return f"(CASE WHEN list_position({_POINTS}, {S.q(c)}) > 0 THEN (list_position({_POINTS}, {S.q(c)}) - 1) * 22.5 END)"
+
+
+def _ux(c):
+    return f"sin(radians({_angle(c)}))"
+
+
+def _uy(c):
+    return f"cos(radians({_angle(c)}))"
+
+
+def _vdir(x, y):
+    deg = f"round(((degrees(atan2({x}, {y})) % 360.0) + 360.0) % 360.0, 6)"
+    idx = f"((CAST(round({deg} / 22.5) AS INTEGER) % 16) + 16) % 16"
+    return f"(CASE WHEN sqrt(({x}) * ({x}) + ({y}) * ({y})) >= 1e-9 THEN {_POINTS}[{idx} + 1] END)"
+
+
+@register("direction_to_vector", P.chain(
+    "SELECT h, " + ", ".join(f"round({_ux(c)}, 9) AS {S.q(c + '_ux')}, round({_uy(c)}, 9) AS {S.q(c + '_uy')}"
+                            for c in _DIRS) + " FROM norm"))
+def q_direction_to_vector(spark, sf):
+    p = prep(spark, sf)
+    return series.direction_vectors(p.normalized).select("h", *[f"{c}_{a}" for c in _DIRS for a in ("ux", "uy")])
+
+
+_DDIR = ("ddir AS (SELECT Location, Date, " + ", ".join(
+    f"sum({_ux(c)}) AS {S.q(c + '_sx')}, sum({_uy(c)}) AS {S.q(c + '_sy')}" for c in _DIRS)
+    + ", CAST(month(Date) AS INTEGER) AS Month FROM norm WHERE Date IS NOT NULL GROUP BY Location, Date)")
+
+
+def _circ(c):
+    sx, sy = S.q(c + "_sx"), S.q(c + "_sy")
+    px, py, nx, ny = (f"lag({sx}) {_W}", f"lag({sy}) {_W}", f"lead({sx}) {_W}", f"lead({sy}) {_W}")
+    pl = f"(CASE WHEN sqrt({px} * {px} + {py} * {py}) >= 1e-9 THEN sqrt({px} * {px} + {py} * {py}) END)"
+    nl = f"(CASE WHEN sqrt({nx} * {nx} + {ny} * {ny}) >= 1e-9 THEN sqrt({nx} * {nx} + {ny} * {ny}) END)"
+    ux = f"(coalesce({px} / NULLIF({pl}, 0), 0.0) + coalesce({nx} / NULLIF({nl}, 0), 0.0))"
+    uy = f"(coalesce({py} / NULLIF({pl}, 0), 0.0) + coalesce({ny} / NULLIF({nl}, 0), 0.0))"
+    return f"coalesce({_vdir(sx, sy)}, {_vdir(ux, uy)}) AS {S.q(c)}"
+
+
+_CIRC = f"circ AS (SELECT Location, Date, Month, {', '.join(_circ(c) for c in _DIRS)} FROM ddir)"
+
+
+@register("circular_impute", S.with_obs("SELECT * FROM circ", *P.ctes(), _DDIR, _CIRC))
+def q_circular_impute(spark, sf):
+    p = prep(spark, sf)
+    return series.circular_impute(p.normalized)
+
+
+_MONTHLY = ("monthly AS (SELECT CAST(month(Date) AS INTEGER) AS Month, " + ", ".join(
+    f"{_vdir('sum(' + _ux(c) + ')', 'sum(' + _uy(c) + ')')} AS {S.q(c + '_month')}" for c in _DIRS)
+    + " FROM norm WHERE Date IS NOT NULL GROUP BY 1)")
+
+
+@register("circular_month_fallback", S.with_obs(
+    "SELECT Location, Date, Month, " + ", ".join(f"coalesce({S.q(c)}, {S.q(c + '_month')}) AS {S.q(c)}" for c in _DIRS)
+    + " FROM circ LEFT JOIN monthly USING (Month)", *P.ctes(), _DDIR, _CIRC, _MONTHLY))
+def q_circular_month_fallback(spark, sf):
+    p = prep(spark, sf)
+    return series.circular_month_fallback(series.circular_impute(p.normalized), p.normalized)
+
+
+_EVAP_FENCE = ("ev AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM "
+               "(SELECT quantile_disc(Evaporation, 0.25) AS q1, quantile_disc(Evaporation, 0.75) AS q3 FROM trf "
+               "WHERE Evaporation IS NOT NULL AND NOT isnan(Evaporation)))")
+_CLEAN = ("cf AS (SELECT trf.* FROM trf, ev WHERE coalesce(Cloud9am <> 9, true) AND coalesce(Cloud3pm <> 9, true) "
+          "AND NOT coalesce(Evaporation < lo OR Evaporation > hi, false))")
+
+
+@register("clean_final", S.with_obs(P.select_out("cf"), *P.ctes(), _EVAP_FENCE, _CLEAN))
+def q_clean_final(spark, sf):
+    p = prep(spark, sf)
+    return transforms.clean_final(p.train_final)
+
+
+@register("retention", S.with_obs("""
+SELECT stage, n_rows, coalesce(lag(n_rows) OVER (ORDER BY pos) - n_rows, 0) AS n_dropped,
+       round(CAST(n_rows AS DOUBLE) * 100.0 / lag(n_rows) OVER (ORDER BY pos), 6) AS pct_kept
+FROM (SELECT 0 AS pos, 'input' AS stage, count(*) AS n_rows FROM obs
+      UNION ALL SELECT 1, 'valid_label', count(*) FROM norm
+      UNION ALL SELECT 2, 'train', count(*) FROM train
+      UNION ALL SELECT 3, 'clean_final', count(*) FROM cf)""", *P.ctes(), _EVAP_FENCE, _CLEAN))
+def q_retention(spark, sf):
+    p = prep(spark, sf)
+    return transforms.retention([("input", p.raw), ("valid_label", p.normalized), ("train", p.split[0]),
+                                 ("clean_final", transforms.clean_final(p.train_final))])
+
+
+_DM = {**ROW_MEANS, "Cloud_avg": ("Cloud9am", "Cloud3pm")}
+
+
+@register("daily_means", P.chain(
+    "SELECT h, " + ", ".join(f"round(({' + '.join(S.q(i) for i in ins)}) / {float(len(ins))}, 9) AS {S.q(o)}"
+                            for o, ins in _DM.items()) + " FROM trf"))
+def q_daily_means(spark, sf):
+    return transforms.daily_means(prep(spark, sf).train_final).select("h", *_DM)
+
+
+@register("cyclic_month", P.chain(
+    "SELECT h, Month, round(sin(2 * pi() * (Month - 1) / 12), 9) AS Month_sin, "
+    "round(cos(2 * pi() * (Month - 1) / 12), 9) AS Month_cos FROM norm"))
+def q_cyclic_month(spark, sf):
+    return transforms.with_cyclic_month(prep(spark, sf).normalized).select("h", "Month", "Month_sin", "Month_cos")
+
+
+_FCOLS = ["Rainfall", *ROW_MEANS]
+_FEAT_CTE = f"feat AS (SELECT h, Month, Rainfall, {_MEANS_SQL} FROM trf)"
+
+
+def _feat_frame(p):
+    return features.with_row_means(p.train_final).select("h", "Month", *_FCOLS)
+
+
+_SPLITS = ("splits AS (SELECT " + ", ".join(
+    f"list_distinct(quantile_disc({S.q(c)}, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS {S.q(c)}" for c in _FCOLS)
+    + " FROM feat)")
+
+
+@register("quantile_bins", S.with_obs(
+    "SELECT h, " + ", ".join(
+        f"CAST(CASE WHEN f.{S.q(c)} IS NOT NULL THEN len(list_filter(s.{S.q(c)}, lambda x: x <= f.{S.q(c)})) END AS DOUBLE) "
+        f"AS {S.q(c + '_bin')}" for c in _FCOLS) + " FROM feat f, splits s", *P.ctes(), _FEAT_CTE, _SPLITS))
+def q_quantile_bins(spark, sf):
+    f = _feat_frame(prep(spark, sf))
+    return transforms.quantile_bins(f, transforms.quantile_splits(f, _FCOLS)).select("h", *[c + "_bin" for c in _FCOLS])
+
+
+@register("standardize", S.with_obs(
+    "SELECT h, " + ", ".join(
+        f"CASE WHEN s.{S.q(c + '_s')} IS NULL OR s.{S.q(c + '_s')} = 0 THEN (CASE WHEN f.{S.q(c)} IS NOT NULL THEN 0.0 END) "
+        f"ELSE round((f.{S.q(c)} - s.{S.q(c + '_m')}) / s.{S.q(c + '_s')}, 9) END AS {S.q(c + '_std')}" for c in _FCOLS)
+    + " FROM feat f, (SELECT " + ", ".join(f"avg({S.q(c)}) AS {S.q(c + '_m')}, stddev_samp({S.q(c)}) AS {S.q(c + '_s')}"
+                                           for c in _FCOLS) + " FROM feat) s", *P.ctes(), _FEAT_CTE))
+def q_standardize(spark, sf):
+    f = _feat_frame(prep(spark, sf))
+    return transforms.standardize(f, transforms.scaler_stats(f, _FCOLS)).select("h", *[c + "_std" for c in _FCOLS])
+
+
+@register("model_sets")
+def q_model_sets(spark, sf):
+    p = prep(spark, sf)
+    tr = features.with_row_means(p.train_final)
+    te = features.with_row_means(p.test_final)
+    a, b = transforms.model_sets(tr, te, _FCOLS)
+    return b.select("h", "features_linear", "features_binned")
+
+
+@register("impute_global", P.chain(
+    "SELECT " + ", ".join(
+        (f"coalesce({S.q(c)}, (SELECT quantile_disc({S.q(c)}, 0.5) FROM trc)) AS {S.q(c)}" if c in _NORMAL + _CONT else
+         f"coalesce({S.q(c)}, (SELECT CAST(round(avg({S.q(c)})) AS INTEGER) FROM trc)) AS {S.q(c)}" if c in _DISC else
+         f"coalesce({S.q(c)}, (SELECT value FROM (SELECT {S.q(c)} AS value, count(*) AS n FROM trc WHERE {S.q(c)} IS NOT NULL "
+         f"GROUP BY 1 ORDER BY n DESC, value DESC LIMIT 1))) AS {S.q(c)}" if c in _DIRS else S.q(c))
+        for c in P.OUT) + " FROM trc"))
+def q_impute_global(spark, sf):
+    p = prep(spark, sf)
+    return impute.impute_global(p.train_clean, groupstats.global_stats(p.train_clean))
