@@ -44,17 +44,21 @@ def prob_name(p: float) -> str:
 
 def percentiles(df: DataFrame, cols: Sequence[str] | None = None,
                 probs: Sequence[float] = (0.01, 0.05, 0.50, 0.95, 0.99),
-                accuracy: int = EXACT_ACCURACY, spec: Roles = WEATHER) -> DataFrame:
-    """(column_name, p01, ...) per column over non-null values; one aggregate.
+                accuracy: int | None = None, spec: Roles = WEATHER) -> DataFrame:
+    """(column_name, p01, ...) per column over non-null values.
 
-    ``percentile_approx`` keeps a bounded sketch per column; at the default
-    accuracy it returns exact order statistics up to ~1e6 values and a rank
-    error of 1e-6 beyond that. Columns without values are skipped.
+    Exact by default (value counts + distributed prefix sums); with
+    ``accuracy`` a ``percentile_approx`` sketch is used (the reference's
+    relative error 0.01 is accuracy 100). Columns without values are skipped.
     """
     cols = [c for c in (cols or spec.audit_numeric) if c in df.columns]
-    parr = F.array(*[F.lit(float(p)) for p in probs])
-    q = (numeric_long(df, cols).filter(F.col("x").isNotNull())
-         .groupBy("column_name").agg(F.percentile_approx("x", parr, accuracy).alias("q")))
+    if accuracy:
+        parr = F.array(*[F.lit(float(p)) for p in probs])
+        q = (numeric_long(df, cols).filter(F.col("x").isNotNull())
+             .groupBy("column_name").agg(F.percentile_approx("x", parr, accuracy).alias("q")))
+    else:
+        from .quantiles import exact_quantiles
+        q = exact_quantiles(numeric_long(df, cols), ["column_name"], "x", list(probs))
     return q.select("column_name", *[F.col("q")[i].alias(prob_name(p)) for i, p in enumerate(probs)])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import AUDIT_TOKENS, EXACT_ACCURACY, WEATHER, Roles
 from ..functions.predicates import any_present, is_missing
+from .quantiles import exact_quantiles
 
 
 def _mean(c: str, decimals: int | None):
@@ -19,20 +20,32 @@ def _mean(c: str, decimals: int | None):
 def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (),
                 median_cols: Sequence[str] = (), raw_mean_cols: Sequence[str] = (),
                 presence_cols: Sequence[str] | None = None, accuracy: int = EXACT_ACCURACY,
-                mean_decimals: int | None = 9) -> DataFrame:
+                mean_decimals: int | None = 9, exact_medians: bool = False) -> DataFrame:
     """keys + ``{c}_mean`` / ``{c}_median`` per group.
 
     Rows where every ``presence_cols`` value is null are ignored (as the
     reference does before grouping). ``raw_mean_cols`` keep unrounded means
-    (discrete columns are rounded to integers later). Medians use a bounded
-    ``percentile_approx`` sketch per group.
+    (discrete columns are rounded to integers later). Medians use a
+    ``percentile_approx`` sketch per group (exact for groups of up to
+    ``accuracy`` values), or with ``exact_medians`` (for a bounded number of
+    large groups) exact value-count quantiles.
     """
     presence = list(presence_cols) if presence_cols is not None else [*mean_cols, *median_cols, *raw_mean_cols]
     src = df.filter(any_present(presence)) if presence else df
     aggs = [_mean(c, mean_decimals).alias(f"{c}_mean") for c in mean_cols]
-    aggs += [F.percentile_approx(F.col(c), 0.5, accuracy).alias(f"{c}_median") for c in median_cols]
+    if not exact_medians:
+        aggs += [F.percentile_approx(F.col(c), 0.5, accuracy).alias(f"{c}_median") for c in median_cols]
     aggs += [F.avg(F.col(c)).alias(f"{c}_mean") for c in raw_mean_cols]
-    return src.groupBy(*keys).agg(*aggs)
+    stats = src.groupBy(*keys).agg(*aggs)
+    if not exact_medians or not median_cols:
+        return stats
+    # Few, large groups: exact medians from value counts, pivoted to columns.
+    long = (src.select(*keys, *[F.col(c).cast("double").alias(c) for c in median_cols])
+               .unpivot(list(keys), list(median_cols), "column_name", "x"))
+    med = exact_quantiles(long, [*keys, "column_name"], "x", [0.5], small_groups=True)
+    wide = (med.groupBy(*keys).pivot("column_name", list(median_cols)).agg(F.first(F.col("q")[0]))
+               .select(*keys, *[F.col(c).alias(f"{c}_median") for c in median_cols]))
+    return stats.join(wide, list(keys), "left")
 
 
 def group_modes(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
@@ -63,11 +76,11 @@ def global_stats(df: DataFrame, spec: Roles = WEATHER, default_median: float = 0
     empty columns fall back to the defaults.
     """
     num = [c for c in spec.numeric if c not in spec.discrete]
-    aggs = [F.percentile_approx(F.col(c), 0.5, spec.quantile_accuracy).alias(c) for c in num]
-    aggs += [F.round(F.avg(F.col(c))).cast("int").alias(c) for c in spec.discrete]
-    row = df.agg(*aggs).first().asDict()
+    row = df.agg(*[F.round(F.avg(F.col(c))).cast("int").alias(c) for c in spec.discrete]).first().asDict()
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in num]).unpivot([], num, "column_name", "x")
+    row.update({r["column_name"]: r["q"][0] for r in exact_quantiles(long, ["column_name"], "x", [0.5]).collect()})
     modes = group_modes(df.withColumn("__all", F.lit(1)), ["__all"], list(spec.directions), tokens=None).first()
-    out = {c: (row[c] if row[c] is not None else default_median) for c in num}
+    out = {c: (row.get(c) if row.get(c) is not None else default_median) for c in num}
     out.update({c: row[c] for c in spec.discrete if row[c] is not None})
     for c in spec.directions:
         v = modes[f"{c}_mode"] if modes is not None else None

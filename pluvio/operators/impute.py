@@ -123,7 +123,7 @@ def impute_tier1(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles
 def tier2_stats(fit: DataFrame, key: str, spec: Roles = WEATHER) -> DataFrame:
     """Per-key medians (normal and continuous) and raw discrete means."""
     return group_stats(fit, [key], median_cols=[*spec.normal, *spec.continuous], raw_mean_cols=spec.discrete,
-                       presence_cols=spec.numeric, accuracy=spec.quantile_accuracy)
+                       presence_cols=spec.numeric, accuracy=spec.quantile_accuracy, exact_medians=True)
 
 
 def tier2_modes(fit: DataFrame, key: str, spec: Roles = WEATHER) -> DataFrame:

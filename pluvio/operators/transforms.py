@@ -9,10 +9,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import EXACT_ACCURACY, ROW_MEANS, WEATHER, Roles
+from ..config import ROW_MEANS, WEATHER, Roles
 from ..functions.columns import cyclic_month, row_mean
 from .explore import numeric_long
 from .outliers import drop_outlier_rows, fences, iqr_bounds
+from .quantiles import exact_quantiles
 
 DECIMALS = 9
 
@@ -67,11 +68,10 @@ def with_cyclic_month(df: DataFrame, col: str = "Month") -> DataFrame:
     return df.withColumns({k: F.round(v, DECIMALS) for k, v in cyclic_month(col).items()})
 
 
-def quantile_splits(fit: DataFrame, cols: Sequence[str], n: int = 10, accuracy: int = EXACT_ACCURACY) -> dict:
-    """Distinct inner cut points per column at probabilities 1/n … (n−1)/n (a few numbers each)."""
-    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    rows = (numeric_long(fit, cols).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-            .groupBy("column_name").agg(F.percentile_approx("x", probs, accuracy).alias("q")).collect())
+def quantile_splits(fit: DataFrame, cols: Sequence[str], n: int = 10) -> dict:
+    """Distinct inner cut points per column at probabilities 1/n … (n−1)/n (a few numbers each),
+    exact as with ``QuantileDiscretizer(relativeError=0)``."""
+    rows = exact_quantiles(numeric_long(fit, cols), ["column_name"], "x", [i / n for i in range(1, n)]).collect()
     return {r["column_name"]: sorted(set(r["q"])) for r in rows}
 
 

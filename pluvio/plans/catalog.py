@@ -430,8 +430,9 @@ from . import prepare_sql as P  # noqa: E402
 from .prepare import Preparation  # noqa: E402
 
 
-def prep(spark, sf) -> Preparation:
-    return Preparation(obs(spark, sf))
+def prep(spark, sf, materialize: bool = True) -> Preparation:
+    """The cascade for one query; ``materialize=False`` where each stage is read once."""
+    return Preparation(obs(spark, sf), materialize_stages=materialize)
 
 
 @register("hash_split", P.chain(f"""
@@ -455,25 +456,24 @@ def q_iqr_bounds(spark, sf):
 
 @register("null_outliers", P.chain(P.select_out("trc")))
 def q_null_outliers(spark, sf):
-    p = Preparation(obs(spark, sf), materialize_stages=False)
-    return p.train_clean
+    return prep(spark, sf, materialize=False).train_clean
 
 
 @register("group_stats_label", P.chain("SELECT * FROM st3"))
 def q_group_stats_label(spark, sf):
-    p = prep(spark, sf)
+    p = prep(spark, sf, materialize=False)
     return impute.tier1_stats(p.train_clean, p.keys3)
 
 
 @register("group_stats", P.chain("SELECT * FROM st2"))
 def q_group_stats(spark, sf):
-    p = prep(spark, sf)
+    p = prep(spark, sf, materialize=False)
     return impute.tier1_stats(p.train_clean, p.keys2)
 
 
 @register("group_modes", P.chain("SELECT * FROM md3"))
 def q_group_modes(spark, sf):
-    p = prep(spark, sf)
+    p = prep(spark, sf, materialize=False)
     return impute.tier1_modes(p.train_clean, p.keys3)
 
 
@@ -705,8 +705,8 @@ _FEAT = ["Rainfall", *ROW_MEANS]
     f"SELECT h, Rainfall, {_MEANS_SQL}, CAST(CASE WHEN RainTomorrow = 'Yes' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label FROM trf"))
 def q_build_features(spark, sf):
     p = prep(spark, sf)
-    model = features.build_features(p.train_final)
-    return model.transform(p.train_final).select("h", *_FEAT, "label")
+    model = features.build_features(p.train_final_m)
+    return model.transform(p.train_final_m).select("h", *_FEAT, "label")
 
 
 # ---------------------------------------------------------------------------
@@ -936,7 +936,7 @@ _CLEAN = ("cf AS (SELECT trf.* FROM trf, ev WHERE coalesce(Cloud9am <> 9, true)
 @register("clean_final", S.with_obs(P.select_out("cf"), *P.ctes(), _EVAP_FENCE, _CLEAN))
 def q_clean_final(spark, sf):
     p = prep(spark, sf)
-    return transforms.clean_final(p.train_final)
+    return transforms.clean_final(p.train_final_m)
 
 
 @register("retention", S.with_obs("""
@@ -949,7 +949,7 @@ FROM (SELECT 0 AS pos, 'input' AS stage, count(*) AS n_rows FROM obs
 def q_retention(spark, sf):
     p = prep(spark, sf)
     return transforms.retention([("input", p.raw), ("valid_label", p.normalized), ("train", p.split[0]),
-                                 ("clean_final", transforms.clean_final(p.train_final))])
+                                 ("clean_final", transforms.clean_final(p.train_final_m))])
 
 
 _DM = {**ROW_MEANS, "Cloud_avg": ("Cloud9am", "Cloud3pm")}
@@ -974,7 +974,7 @@ _FEAT_CTE = f"feat AS (SELECT h, Month, Rainfall, {_MEANS_SQL} FROM trf)"
 
 
 def _feat_frame(p):
-    return features.with_row_means(p.train_final).select("h", "Month", *_FCOLS)
+    return features.with_row_means(p.train_final_m).select("h", "Month", *_FCOLS)
 
 
 _SPLITS = ("splits AS (SELECT " + ", ".join(
@@ -1005,7 +1005,7 @@ def q_standardize(spark, sf):
 @register("model_sets")
 def q_model_sets(spark, sf):
     p = prep(spark, sf)
-    tr = features.with_row_means(p.train_final)
+    tr = features.with_row_means(p.train_final_m)
     te = features.with_row_means(p.test_final)
     a, b = transforms.model_sets(tr, te, _FCOLS)
     return b.select("h", "features_linear", "features_binned")

@@ -56,13 +56,13 @@ class Modelling:
 
     @property
     def pipeline(self) -> PipelineModel:
-        return self._get("pipeline", lambda: features.build_features(self.prep.train_final, self.prep.spec))
+        return self._get("pipeline", lambda: features.build_features(self.prep.train_final_m, self.prep.spec))
 
     @property
     def train(self) -> DataFrame:
         """(h, features, label, fold) for training, materialised for repeated fits."""
         return self._get("train", lambda: materialize(assign_folds(
-            self.pipeline.transform(self.prep.train_final).select("h", "features", "label"), self.k)))
+            self.pipeline.transform(self.prep.train_final_m).select("h", "features", "label"), self.k)))
 
     @property
     def test(self) -> DataFrame:

@@ -114,6 +114,11 @@ class Preparation:
         return self._get("test_final", lambda: self._canonical(
             impute.impute_secondary(self.test_tier1, self.train_tier1, spec=self.spec, infer_flag=True)))
 
+    @property
+    def train_final_m(self) -> DataFrame:
+        """The final train side, materialised: for flows that fit on it and then apply to it."""
+        return self._get("train_final_m", lambda: materialize(self.train_final))
+
     def _canonical(self, df: DataFrame) -> DataFrame:
         r = self.spec.rain_today
         return df.withColumn(r, canonical_binary(r))
