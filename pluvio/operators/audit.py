@@ -306,13 +306,16 @@ def missing_cooccurrence(df: DataFrame, k: int = 5, cols: Sequence[str] | None =
     cols = _cols(df, cols, spec)
     names = F.array(*[F.lit(c) for c in cols])
     bits = F.expr(f"filter(sequence(0, {len(cols) - 1}), i -> (shiftright(mask, i) & 1) = 1)")
-    pats = (missing_patterns(df, cols, tokens)
-            .withColumn("n_rows", F.sum("n").over(Window.partitionBy())))
-    ex = pats.select("mask", "n", "n_rows",
-                     F.explode(F.transform(bits, lambda i: F.element_at(names, i + 1))).alias("name"))
-    ranked = (ex.groupBy("name").agg(F.sum("n").alias("n_missing"), F.first("n_rows").alias("n_rows"))
-                .withColumn("rk", F.row_number().over(Window.orderBy(F.desc("n_missing"), "name")))
-                .filter(F.col("rk") <= k))
+    pats = missing_patterns(df, cols, tokens)
+    # Column totals and the row count in one aggregate over the pattern table;
+    # the ranking window then holds one row per column.
+    tot = pats.agg(F.sum("n").alias("n_rows"),
+                   *[F.sum(F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, F.col("n")).otherwise(0)).alias(c)
+                     for i, c in enumerate(cols)])
+    per_col = tot.unpivot(["n_rows"], cols, "name", "n_missing")
+    ranked = (per_col.withColumn("rk", F.row_number().over(Window.orderBy(F.desc("n_missing"), "name")))
+                     .filter(F.col("rk") <= k))
+    ex = pats.select("mask", "n", F.explode(F.transform(bits, lambda i: F.element_at(names, i + 1))).alias("name"))
     # All rank pairs i<j of the (at most k) chosen columns, so pairs that
     # never co-occur still report zero.
     top = ranked.agg(F.sort_array(F.collect_list(F.struct("rk", "name"))).alias("t"),
