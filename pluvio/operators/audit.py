@@ -253,27 +253,29 @@ def quality_report(df: DataFrame, spec: Roles = WEATHER, tokens: Iterable[str] =
     out-of-range cases and the ``worst`` columns by missing share."""
     cols = _cols(df, cols, spec)
     ranges = [c for c in spec.ranges if c in cols]
-    # Both branches below read the same aggregate; Spark reuses its exchange.
     cnt = audit_counters(df, spec, tokens, cols)
     n, d, c = F.col("n_rows"), F.col("n_distinct"), F.col("n_complete")
     score = F.try_divide(c * 100.0, n) * (1 - F.try_divide((n - d).cast("double"), n))
     out_range = sum((F.col(f"range__{x}") for x in ranges), F.lit(0))
-    headline = {
-        "quality_score": F.struct(F.round(score, PCT_DECIMALS).alias("value"), F.lit(None).cast("double").alias("pct")),
-        "incomplete_rows": F.struct((n - c).cast("double").alias("value"), pct(n - c, n).alias("pct")),
-        "duplicate_rows": F.struct((n - d).cast("double").alias("value"), pct(n - d, n).alias("pct")),
-        "invalid_dates": F.struct(F.col("n_invalid_dates").cast("double").alias("value"),
-                                  pct(F.col("n_invalid_dates"), n).alias("pct")),
-        "out_of_range": F.struct(out_range.cast("double").alias("value"), pct(out_range, n).alias("pct")),
-    }
-    head = long_form(cnt, [], headline, "metric", "s").select("metric", "s.value", "s.pct")
-    miss = long_form(cnt, ["n_rows"], {x: F.col(f"miss__{x}") for x in cols}, "column_name", "n_missing")
-    w = Window.orderBy(F.desc("n_missing"), "column_name")
-    top = (miss.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= worst)
-               .select(F.concat(F.lit("missing:"), "column_name").alias("metric"),
-                       F.col("n_missing").cast("double").alias("value"),
-                       pct(F.col("n_missing"), F.col("n_rows")).alias("pct")))
-    return head.unionByName(top)
+
+    def row(metric, value, pct_col):
+        return F.struct(metric.alias("metric"), value.cast("double").alias("value"), pct_col.cast("double").alias("pct"))
+
+    head = [
+        row(F.lit("quality_score"), F.round(score, PCT_DECIMALS), F.lit(None)),
+        row(F.lit("incomplete_rows"), n - c, pct(n - c, n)),
+        row(F.lit("duplicate_rows"), n - d, pct(n - d, n)),
+        row(F.lit("invalid_dates"), F.col("n_invalid_dates"), pct(F.col("n_invalid_dates"), n)),
+        row(F.lit("out_of_range"), out_range, pct(out_range, n)),
+    ]
+    # The worst columns are ranked inside the single counter row: sort
+    # (-n_missing, name) ascending = most missing first, ties by name.
+    miss = F.array(*[F.struct((-F.col(f"miss__{x}")).alias("k"), F.lit(x).alias("name"),
+                              F.col(f"miss__{x}").alias("m")) for x in cols])
+    worst_rows = F.transform(F.slice(F.sort_array(miss), 1, worst),
+                             lambda e: row(F.concat(F.lit("missing:"), e["name"]), e["m"], pct(e["m"], n)))
+    # One projection over the one-row counters: the grouping runs once.
+    return cnt.select(F.inline(F.concat(F.array(*head), worst_rows)))
 
 
 # ---------------------------------------------------------------------------
