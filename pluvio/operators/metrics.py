@@ -101,6 +101,29 @@ def weighted_rates(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0)) -> Dat
                         _r(w("precision")).alias("weighted_precision"), _r(w("f1")).alias("weighted_f1"))
 
 
+def classification_table(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0), z: float = 1.96) -> DataFrame:
+    """(metric, value) for E1-E3, E5-E8, E14 from a single confusion aggregate."""
+    cells = confusion_cells(pred, labels)
+    rows, total = _per_label(cells, labels)
+    k = len(labels)
+    hit = sum((F.col(f"c_{i}_{i}") for i in range(k)), F.lit(0))
+    acc = _div(hit, total)
+    err = 1 - acc
+    std = F.sqrt(err * (1 - err) / total)
+
+    def w(key):
+        return sum((F.coalesce(r["share"] * r[key], F.lit(0.0)) for r in rows), F.lit(0.0))
+
+    items = [("n", total), ("accuracy", acc), ("error_rate", err), ("error_std", std),
+             ("ci_low", err - z * std), ("ci_high", err + z * std),
+             ("weighted_tpr", w("tpr")), ("weighted_fpr", w("fpr")),
+             ("weighted_precision", w("precision")), ("weighted_f1", w("f1"))]
+    for v, r in zip(labels, rows):
+        items += [(f"tpr_{v}", r["tpr"]), (f"fpr_{v}", r["fpr"])]
+    arr = F.array(*[F.struct(F.lit(name).alias("metric"), _r(val.cast("double")).alias("value")) for name, val in items])
+    return cells.select(F.inline(arr))
+
+
 def f1(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0)) -> DataFrame:
     """Weighted F1 (the evaluator's ``f1`` metric)."""
     return weighted_rates(pred, labels).select(F.col("weighted_f1").alias("f1"))
@@ -176,6 +199,23 @@ def roc_curve(pred: DataFrame, score: str = "score", label: str = "label", bins:
     return body.unionByName(ends)
 
 
+def _roc_area() -> Column:
+    return (F.col("neg") / F.col("tot_neg")) * ((2 * F.col("cum_pos") - F.col("pos")) / (2 * F.col("tot_pos")))
+
+
+def _pr_area() -> Column:
+    prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
+    prev_tp, prev_fp = F.col("cum_pos") - F.col("pos"), F.col("cum_neg") - F.col("neg")
+    prev_prec = F.when(prev_tp + prev_fp == 0, prec).otherwise(prev_tp / (prev_tp + prev_fp))
+    return (F.col("pos") / F.col("tot_pos")) * (prec + prev_prec) / 2
+
+
+def curve_areas(pred: DataFrame, score: str = "score", label: str = "label", bins: int = 0) -> DataFrame:
+    """(auc_roc, auc_pr) from one pass over one set of curve points."""
+    pts = curve_points(pred, score, label, bins)
+    return pts.agg(_r(F.sum(_roc_area())).alias("auc_roc"), _r(F.sum(_pr_area())).alias("auc_pr"))
+
+
 def auc_roc(pred: DataFrame, score: str = "score", label: str = "label", bins: int = 0) -> DataFrame:
     """(auc_roc): trapezoid area under (0,0) → points → (1,1).
 
@@ -183,18 +223,13 @@ def auc_roc(pred: DataFrame, score: str = "score", label: str = "label", bins: i
     from the point's own cumulative counts, so the area is a plain sum.
     """
     pts = curve_points(pred, score, label, bins)
-    area = (F.col("neg") / F.col("tot_neg")) * ((2 * F.col("cum_pos") - F.col("pos")) / (2 * F.col("tot_pos")))
-    return pts.agg(_r(F.sum(area)).alias("auc_roc"))
+    return pts.agg(_r(F.sum(_roc_area())).alias("auc_roc"))
 
 
 def auc_pr(pred: DataFrame, score: str = "score", label: str = "label", bins: int = 0) -> DataFrame:
     """(auc_pr): trapezoid area under the PR curve started at (0, first precision)."""
     pts = curve_points(pred, score, label, bins)
-    prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    prev_tp, prev_fp = F.col("cum_pos") - F.col("pos"), F.col("cum_neg") - F.col("neg")
-    prev_prec = F.when(prev_tp + prev_fp == 0, prec).otherwise(prev_tp / (prev_tp + prev_fp))
-    area = (F.col("pos") / F.col("tot_pos")) * (prec + prev_prec) / 2
-    return pts.agg(_r(F.sum(area)).alias("auc_pr"))
+    return pts.agg(_r(F.sum(_pr_area())).alias("auc_pr"))
 
 
 def score_label(pred: DataFrame, prob_col: str = "probability", label: str = "label", k: int = 5) -> DataFrame:

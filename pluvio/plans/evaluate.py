@@ -21,24 +21,11 @@ def evaluate(pred: DataFrame, labels=(0.0, 1.0), bins: int = 17) -> DataFrame:
     The prediction frame is materialised once and every metric aggregates it.
     """
     p = materialize(pred.select("label", "prediction", vector_to_array("probability")[1].alias("score")))
-    parts = [
-        metrics.error_rate(p, labels).select(F.inline(F.array(*[
-            F.struct(F.lit(k).alias("metric"), F.col(k).cast("double").alias("value"))
-            for k in ("n", "accuracy", "error_rate", "error_std", "ci_low", "ci_high")]))),
-        metrics.weighted_rates(p, labels).select(F.inline(F.array(*[
-            F.struct(F.lit(k).alias("metric"), F.col(k).alias("value"))
-            for k in ("weighted_tpr", "weighted_fpr", "weighted_precision", "weighted_f1")]))),
-        metrics.rates_by_label(p, labels).select(F.inline(F.array(
-            F.struct(F.concat(F.lit("tpr_"), F.col("label").cast("string")).alias("metric"), F.col("tpr").alias("value")),
-            F.struct(F.concat(F.lit("fpr_"), F.col("label").cast("string")).alias("metric"), F.col("fpr").alias("value"))))),
-        metrics.auc_roc(p, "prediction").select(F.lit("auc_roc_hard").alias("metric"), F.col("auc_roc").alias("value")),
-        metrics.auc_roc(p, "score", bins=bins).select(F.lit("auc_roc").alias("metric"), F.col("auc_roc").alias("value")),
-        metrics.auc_pr(p, "score", bins=bins).select(F.lit("auc_pr").alias("metric"), F.col("auc_pr").alias("value")),
-    ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    areas = metrics.curve_areas(p, "score", bins=bins).select(F.inline(F.array(
+        F.struct(F.lit("auc_roc").alias("metric"), F.col("auc_roc").alias("value")),
+        F.struct(F.lit("auc_pr").alias("metric"), F.col("auc_pr").alias("value")))))
+    hard = metrics.auc_roc(p, "prediction").select(F.lit("auc_roc_hard").alias("metric"), F.col("auc_roc").alias("value"))
+    return metrics.classification_table(p, labels).unionByName(areas).unionByName(hard)
 
 
 @dataclass
