@@ -45,6 +45,19 @@ def invalid_date(c: str, fmt: str, is_text: bool = True) -> Column:
     return F.col(c).isNull()
 
 
+# ---------------------------------------------------------------------------
+# Table profile
+# ---------------------------------------------------------------------------
+
+def table_profile(df: DataFrame) -> DataFrame:
+    """(position, column_name, type, n_rows, n_cols): schema plus one count job."""
+    fields = df.schema.fields
+    arr = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                             F.lit(f.dataType.simpleString()).alias("type")) for i, f in enumerate(fields)])
+    return (df.agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.inline(arr), "n_rows", F.lit(len(fields)).alias("n_cols")))
+
+
 # ---------------------------------------------------------------------------
 # Q1 / Q2: missing values and completeness
 # ---------------------------------------------------------------------------

@@ -1021,3 +1021,28 @@ def q_model_sets(spark, sf):
 def q_impute_global(spark, sf):
     p = prep(spark, sf)
     return impute.impute_global(p.train_clean, groupstats.global_stats(p.train_clean))
+
+
+# ---------------------------------------------------------------------------
+# Table profile (S7) and unclassified test rows
+# ---------------------------------------------------------------------------
+
+_TYPE_NAMES = "CASE column_type WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' " \
+              "WHEN 'BIGINT' THEN 'bigint' WHEN 'DATE' THEN 'date' ELSE lower(column_type) END"
+
+
+@register("table_profile", S.with_obs(f"""
+SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name, {_TYPE_NAMES} AS type,
+       (SELECT count(*) FROM obs) AS n_rows, CAST(count(*) OVER () AS INTEGER) AS n_cols
+FROM (DESCRIBE SELECT * FROM obs)"""))
+def q_table_profile(spark, sf):
+    return audit.table_profile(obs(spark, sf))
+
+
+@register("unclassified_rate", S.with_obs(f"""
+SELECT n_rows, n_unclassified, round(CAST(n_unclassified AS DOUBLE) * 100.0 / n_rows, 6) AS pct
+FROM (SELECT count(*) AS n_rows, count(*) FILTER (WHERE {' OR '.join(S.q(c) + ' IS NULL' for c in _FCOLS)}) AS n_unclassified
+      FROM (SELECT Rainfall, {_MEANS_SQL} FROM tef) t)""", *P.ctes()))
+def q_unclassified_rate(spark, sf):
+    p = prep(spark, sf)
+    return transforms.unclassified_rate(features.with_row_means(p.test_final), _FCOLS)

@@ -76,3 +76,14 @@ def test_hash_split_is_stable(prep):
     a = hash_split(prep.normalized)[0].select("h").distinct()
     b = hash_split(prep.normalized.repartition(5))[0].select("h").distinct()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stratified_split_partitions_each_class(prep):
+    from pluvio.operators.split import stratified_split
+    n = prep.normalized
+    tr, te = stratified_split(n)
+    assert tr.count() + te.count() == n.count()
+    for v in ("Yes", "No"):
+        total = n.filter(F.col("RainTomorrow") == v).count()
+        share = tr.filter(F.col("RainTomorrow") == v).count() / total
+        assert 0.7 < share < 0.9, (v, share)
