@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from ..config import WEATHER, Roles
 
 
-def hash_bucket(key_cols: Sequence[str], n: int, part: int = 0) -> Column:
+def hash_bucket(key_cols: Sequence[str], n: int, part: int = 0, method: str = "md5") -> Column:
     """Bucket in [0, n) from 32 bits of the md5 of the key text.
 
     ``part`` picks which 8 hex digits of the digest are used, so a second,
     independent bucketing (e.g. folds inside the train side) is available
-    from the same key. md5 is used because both Spark and SQL engines
-    compute it identically; the cost is one digest per row.
+    from the same key. md5 is the default because SQL engines compute it
+    identically (so splits can be reproduced outside Spark);
+    ``method="xxhash64"`` is about 3x cheaper per row and Spark-only.
     """
+    if method == "xxhash64":
+        return F.pmod(F.xxhash64(*[F.col(c) for c in key_cols], F.lit(part)), F.lit(n))
     if len(key_cols) == 1:
         text = F.col(key_cols[0]).cast("string")
     else:
@@ -27,14 +30,14 @@ def hash_bucket(key_cols: Sequence[str], n: int, part: int = 0) -> Column:
 
 
 def hash_split(df: DataFrame, key_cols: Sequence[str] | None = None, ratio: float = 0.8,
-               buckets: int = 10, spec: Roles = WEATHER) -> tuple[DataFrame, DataFrame]:
+               buckets: int = 10, spec: Roles = WEATHER, method: str = "md5") -> tuple[DataFrame, DataFrame]:
     """(train, test) by a hash of the row key: same rows on any partitioning.
 
     Rows sharing a key fall on the same side; class shares are preserved in
     expectation because the hash is independent of the label.
     """
     key_cols = list(key_cols or [spec.row_key])
-    b = hash_bucket(key_cols, buckets)
+    b = hash_bucket(key_cols, buckets, method=method)
     cut = int(round(ratio * buckets))
     return df.filter(b < cut), df.filter(b >= cut)
 

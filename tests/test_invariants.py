@@ -87,3 +87,9 @@ def test_stratified_split_partitions_each_class(prep):
         total = n.filter(F.col("RainTomorrow") == v).count()
         share = tr.filter(F.col("RainTomorrow") == v).count() / total
         assert 0.7 < share < 0.9, (v, share)
+
+
+def test_xxhash_split_is_a_partition(prep):
+    tr, te = hash_split(prep.normalized, method="xxhash64")
+    assert tr.count() + te.count() == prep.normalized.count()
+    assert 0.7 < tr.count() / prep.normalized.count() < 0.9
