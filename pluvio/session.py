@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
     is unset and ``allow_local`` is true (tests, bench) is a fresh temp folder
     created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -61,10 +61,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     run every per-row expression downstream alone. On large inputs the scan
     already has more splits than cores and this is a no-op (no extra shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
+        return df
+    return df.repartition(cores, key) if splits < cores else df
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
