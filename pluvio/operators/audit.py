@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import AUDIT_TOKENS, RESIDUAL_TOKENS, WEATHER, Roles
 from ..functions.columns import long_form
 from ..functions.predicates import all_present, is_missing, is_token, parse_date
+from ..session import materialize
 
 PCT_DECIMALS = 6
 
@@ -321,7 +322,9 @@ def missing_cooccurrence(df: DataFrame, k: int = 5, cols: Sequence[str] | None =
     cols = _cols(df, cols, spec)
     names = F.array(*[F.lit(c) for c in cols])
     bits = F.expr(f"filter(sequence(0, {len(cols) - 1}), i -> (shiftright(mask, i) & 1) = 1)")
-    pats = missing_patterns(df, cols, tokens)
+    # The pattern table (one row per observed pattern) feeds two branches;
+    # materialising it keeps the source to a single scan.
+    pats = materialize(missing_patterns(df, cols, tokens))
     # Column totals and the row count in one aggregate over the pattern table;
     # the ranking window then holds one row per column.
     tot = pats.agg(F.sum("n").alias("n_rows"),
