@@ -17,6 +17,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                     out: str = "q", buckets: int = 16, small_groups: bool = True) -> DataFrame:
@@ -27,8 +29,11 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Seq
     """
     keys = list(keys)
     v = F.col(value)
-    counts = (long.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value)
-                  .agg(F.count(F.lit(1)).alias("cnt")))
+    # The (group, value, count) table feeds three branches below; it holds
+    # distinct values only, so it is materialised once instead of re-reading
+    # the source per branch.
+    counts = materialize(long.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value)
+                             .agg(F.count(F.lit(1)).alias("cnt")))
     probs_cut = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     cuts = counts.groupBy(*keys).agg(F.percentile_approx(value, probs_cut, 1000).alias("cuts"),
                                      F.sum("cnt").alias("n"))
