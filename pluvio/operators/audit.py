@@ -296,19 +296,29 @@ def quality_report(df: DataFrame, spec: Roles = WEATHER, tokens: Iterable[str] =
 # Q14: null co-occurrence of the k worst columns (single scan)
 # ---------------------------------------------------------------------------
 
+MASK_BITS = 62
+
+
+def _mask_names(n_cols: int) -> list[str]:
+    return [f"mask_{j}" for j in range((n_cols + MASK_BITS - 1) // MASK_BITS)]
+
+
 def missing_patterns(df: DataFrame, cols: Sequence[str], tokens: Iterable[str] = AUDIT_TOKENS) -> DataFrame:
-    """(mask, n): distinct missingness patterns, bit i set when cols[i] is missing.
+    """(mask_0, mask_1, ..., n): distinct missingness patterns.
 
-    One scan with map-side combining; the result has at most one row per
-    observed pattern, which is small however large the table is.
+    Bit ``i % 62`` of ``mask_{i // 62}`` is set when ``cols[i]`` is missing.
+    One scan with map-side combining; the result has one row per observed
+    pattern, which is small however large the table is.
     """
-    if len(cols) > 62:
-        raise ValueError("at most 62 columns per pattern mask")
     tokens = tuple(tokens)
     dt = dict(df.dtypes)
-    mask = sum((F.when(is_missing(c, tokens, dt[c]), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
-                for i, c in enumerate(cols)), F.lit(0).cast("long"))
-    return df.groupBy(mask.alias("mask")).agg(F.count(F.lit(1)).alias("n"))
+    masks = []
+    for j, name in enumerate(_mask_names(len(cols))):
+        chunk = cols[j * MASK_BITS:(j + 1) * MASK_BITS]
+        m = sum((F.when(is_missing(c, tokens, dt[c]), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
+                 for i, c in enumerate(chunk)), F.lit(0).cast("long"))
+        masks.append(m.alias(name))
+    return df.groupBy(*masks).agg(F.count(F.lit(1)).alias("n"))
 
 
 def missing_cooccurrence(df: DataFrame, k: int = 5, cols: Sequence[str] | None = None,
@@ -320,20 +330,23 @@ def missing_cooccurrence(df: DataFrame, k: int = 5, cols: Sequence[str] | None =
     derived from that small table, so no per-pair pass over the data exists.
     """
     cols = _cols(df, cols, spec)
-    names = F.array(*[F.lit(c) for c in cols])
-    bits = F.expr(f"filter(sequence(0, {len(cols) - 1}), i -> (shiftright(mask, i) & 1) = 1)")
-    # The pattern table (one row per observed pattern) feeds two branches;
-    # materialising it keeps the source to a single scan.
+    masks = _mask_names(len(cols))
+
+    def bit(i: int) -> Column:
+        return F.col(masks[i // MASK_BITS]).bitwiseAND(F.lit(1 << (i % MASK_BITS))) != 0
+
+    # The pattern table feeds two branches; materialising it keeps the
+    # source to a single scan.
     pats = materialize(missing_patterns(df, cols, tokens))
     # Column totals and the row count in one aggregate over the pattern table;
     # the ranking window then holds one row per column.
     tot = pats.agg(F.sum("n").alias("n_rows"),
-                   *[F.sum(F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, F.col("n")).otherwise(0)).alias(c)
-                     for i, c in enumerate(cols)])
+                   *[F.sum(F.when(bit(i), F.col("n")).otherwise(0)).alias(c) for i, c in enumerate(cols)])
     per_col = tot.unpivot(["n_rows"], cols, "name", "n_missing")
     ranked = (per_col.withColumn("rk", F.row_number().over(Window.orderBy(F.desc("n_missing"), "name")))
                      .filter(F.col("rk") <= k))
-    ex = pats.select("mask", "n", F.explode(F.transform(bits, lambda i: F.element_at(names, i + 1))).alias("name"))
+    missing_names = F.filter(F.array(*[F.when(bit(i), F.lit(c)) for i, c in enumerate(cols)]), lambda x: x.isNotNull())
+    ex = pats.select(*masks, "n", F.explode(missing_names).alias("name"))
     # All rank pairs i<j of the (at most k) chosen columns, so pairs that
     # never co-occur still report zero.
     top = ranked.agg(F.sort_array(F.collect_list(F.struct("rk", "name"))).alias("t"),
@@ -343,9 +356,12 @@ def missing_cooccurrence(df: DataFrame, k: int = 5, cols: Sequence[str] | None =
                                            lambda b: F.struct(a["name"].alias("col_a"), b["name"].alias("col_b"))))))
                        .alias("p"))
                .select("p.col_a", "p.col_b", "n_rows"))
-    hit = ex.join(F.broadcast(ranked.select("name", "rk")), "name").select("mask", "n", "name", "rk")
+    hit = ex.join(F.broadcast(ranked.select("name", "rk")), "name").select(*masks, "n", "name", "rk")
     a, b = hit.alias("a"), hit.alias("b")
-    counts = (a.join(b, (F.col("a.mask") == F.col("b.mask")) & (F.col("a.rk") < F.col("b.rk")))
+    same = F.lit(True)
+    for m in masks:
+        same = same & (F.col(f"a.{m}") == F.col(f"b.{m}"))
+    counts = (a.join(b, same & (F.col("a.rk") < F.col("b.rk")))
                .groupBy(F.col("a.name").alias("col_a"), F.col("b.name").alias("col_b"))
                .agg(F.sum("a.n").alias("n_both")))
     out = grid.join(counts, ["col_a", "col_b"], "left").withColumn("n_both", F.coalesce("n_both", F.lit(0)))

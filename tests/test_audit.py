@@ -58,3 +58,11 @@ def test_residual_missing_filters_clean_columns(spark):
     got = {(r.column_name, r.n_null, r.n_token) for r in audit.residual_missing(df).collect()}
     assert got == {("s", 0, 1), ("x", 1, 0)}
     assert df.select(F.count("*")).first()[0] == 2
+
+
+def test_cooccurrence_beyond_one_mask(spark):
+    cols = [f"c{i}" for i in range(70)]
+    rows = [tuple(None if (i == r or i == 65) else 1.0 for i in range(70)) for r in (0, 1, 64)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    got = {(x.col_a, x.col_b): x.n_both for x in audit.missing_cooccurrence(df, k=2, cols=cols).collect()}
+    assert got == {("c65", "c0"): 1}
