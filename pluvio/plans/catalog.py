@@ -316,7 +316,7 @@ _VC = S.union_all(
     f"SELECT '{c}' AS column_name, CAST({S.q(c)} AS VARCHAR) AS value, count(*) AS n FROM obs GROUP BY 2" for c in CAT)
 _TOPK_SQL = S.with_obs(f"""
 SELECT * FROM (SELECT column_name, value, n,
-                      row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value ASC) AS rank
+                      CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value ASC) AS INTEGER) AS rank
                FROM vc WHERE value IS NOT NULL) WHERE rank <= 10
 """, f"vc AS ({_VC})")
 
