@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pluvio.llm.common import running, spread, stage, text_bytes
 
 CAPACITY, END = 2048, 0
-#: Rounds of multiplicative weights, their rate, and the part of what a length has left that a round takes at most.
-ROUNDS, RATE, STEP = 400, 4.0, 0.5
+#: Rounds of multiplicative weights, their rate, the part of what a configuration's lengths have left that
+#: a round takes, and the power of a length that is its first price.
+ROUNDS, RATE, STEP, LONGER = 40, 4.0, 0.5, 1.02
 
 
 def encoder(ranks_file: str, pattern: str):
@@ -64,67 +65,72 @@ def pieces(docs: DataFrame, ranks_file: str, pattern: str, capacity: int = CAPAC
                            f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 
-def price(value: np.ndarray) -> dict[int, int]:
-    """The multiset of lengths that fills a capacity with the most value: {length: times}.
+def knapsack(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per room: the most value that lengths fill it with, and one length to begin with (0: leave a place free).
 
-    value[l] is a length's worth, 0 where none is wanted; dynamic programming
-    over the room.
+    value[l] is a length's worth, 0 where none is wanted; dynamic programming over the room.
     """
-    room = len(value) - 1
-    best, pick = np.zeros(room + 1), np.zeros(room + 1, np.int64)
+    best, pick = np.zeros(len(value)), np.zeros(len(value), np.int64)
     lengths = np.flatnonzero(value > 0)
     worth = value[lengths]
-    for w in range(1, room + 1):
-        n = bisect_right(lengths, w)
-        best[w] = best[w - 1]
+    for room in range(1, len(value)):
+        n = bisect_right(lengths, room)
+        best[room] = best[room - 1]
         if n:
-            got = best[w - lengths[:n]] + worth[:n]
+            got = best[room - lengths[:n]] + worth[:n]
             k = int(got.argmax())
-            if got[k] > best[w]:
-                best[w], pick[w] = got[k], lengths[k]
-    found: dict[int, int] = {}
-    w = room
-    while w > 0:
-        if pick[w]:
-            found[int(pick[w])] = found.get(int(pick[w]), 0) + 1
-            w -= int(pick[w])
-        else:
-            w -= 1
-    return found
+            if got[k] > best[room]:
+                best[room], pick[room] = got[k], lengths[k]
+    return best, pick
+
+
+def fill(pick: np.ndarray, room: int, config: dict[int, int]) -> dict[int, int]:
+    """Fill a configuration's room by the knapsack's picks: {length: times}."""
+    while room > 0:
+        x = int(pick[room])
+        if x:
+            config[x] = config.get(x, 0) + 1
+        room -= x or 1
+    return config
 
 
 def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
     """Configurations ({length: times}, sequences) that hold all pieces of the histogram, few sequences in all.
 
-    Multiplicative weights on the covering program: a length's price is its size,
-    raised where less of it is covered than on average; each round prices the
-    best configuration by the knapsack and takes a part of it. Rounded down,
-    these leave fewer pieces than configurations have places; those are filled
-    in from the longest, each next one the longest that fits, and such a filling
-    is repeated as often as its lengths last. The work depends on the number of
+    Multiplicative weights on the covering program: a length's price is its size
+    (to a power a little over 1, so that of equal fillings the one of longer
+    pieces comes first) times a factor that rises where less of it is covered
+    than on average. A round solves the knapsack for its prices once and takes,
+    for each length from the longest, a part of the best configuration that holds
+    it. Rounded down, these leave few pieces of each length; those are filled in
+    from the longest, each next one the longest that fits, and such a filling is
+    repeated as often as its lengths last. The work depends on the number of
     different lengths, at most ``capacity``, not on the number of pieces.
     """
     have = np.zeros(capacity + 1)
     for length, n in histogram.items():
         have[length] = n
-    solution: dict[tuple, float] = {}
     full = int(have[capacity])
     have[capacity] = 0
-    left, sizes = have.copy(), np.arange(capacity + 1) / capacity
+    left, sizes = have.copy(), (np.arange(capacity + 1) / capacity) ** LONGER
+    solution: dict[tuple, float] = {}
     for _ in range(rounds):
         wanted = left >= 1
         if not wanted.any():
             break
         covered = 1 - left[wanted] / have[wanted]
         value = np.zeros(capacity + 1)
-        value[wanted] = sizes[wanted] * np.exp(np.clip(RATE * (covered.mean() - covered), -30, 30) / capacity ** 0.5)
-        config = price(value)
-        share = max(STEP * min(left[x] / n for x, n in config.items()), min(1.0, min(left[x] / n for x, n in config.items())))
-        for x, n in config.items():
-            left[x] -= n * share
-        key = tuple(sorted(config.items(), reverse=True))
-        solution[key] = solution.get(key, 0.0) + share
-    found = [(dict(k), int(v)) for k, v in solution.items() if v >= 1]
+        value[wanted] = sizes[wanted] * np.exp(RATE * (covered.mean() - covered))
+        _, pick = knapsack(value)
+        for x in np.flatnonzero(wanted)[::-1].tolist():
+            config = fill(pick, capacity - x, {x: 1})
+            share = STEP * min(left[y] / n for y, n in config.items())
+            if share >= 1:
+                for y, n in config.items():
+                    left[y] -= n * share
+                key = tuple(sorted(config.items(), reverse=True))
+                solution[key] = solution.get(key, 0.0) + share
+    found = [(dict(k), int(v)) for k, v in solution.items()]
     rest = {int(x): int(have[x]) for x in np.flatnonzero(have)}
     for config, times in found:
         for x, n in config.items():
@@ -132,7 +138,7 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
     lengths = sorted(x for x, n in rest.items() if n)
     while lengths:
         room, config = capacity, {}
-        while room and (k := bisect_right(lengths, room)):
+        while k := bisect_right(lengths, room):
             while k and config.get(lengths[k - 1], 0) >= rest[lengths[k - 1]]:
                 k -= 1
             if not k:

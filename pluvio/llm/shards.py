@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from pluvio.llm.common import running, stage
 
-#: Groups that one task partitions, and partial partitions that one task combines.
-TASK_GROUPS, TASK_PARTIALS = 40_000, 1024
+#: Groups that one task partitions. A group of over 1 / (shards * LARGE) of all bytes is placed before the others.
+TASK_GROUPS, LARGE = 40_000, 256
 
 
 def difference(partials: list[list[tuple[int, object]]]) -> list[tuple[int, object]]:
@@ -47,55 +47,56 @@ def leaves(tree: object) -> list:
     return found
 
 
-def _split_groups(shards: int):
+def partition(sizes: list[int], seeds: list[int], turn: int = 0) -> list[int]:
+    """A shard for each size, so that sums on top of ``seeds`` are near equal.
+
+    The seeds are a partial partition among the others, whose parts end up in
+    different shards and so name them; ``turn`` turns the order of equal seeds.
+    """
+    n = len(seeds)
+    named = sorted(((x, [s]) for s, x in enumerate(seeds)), key=lambda p: (-p[0], (p[1][0] + turn) % n))
+    rest = [(0, None)] * (n - 1)
+    found = [0] * len(sizes)
+    for _, tree in difference([named, *([(x, i), *rest] for i, x in enumerate(sizes))]):
+        own = leaves(tree)
+        shard = next(x for x in own if isinstance(x, list))[0]
+        for i in own:
+            if not isinstance(i, list):
+                found[i] = shard
+    return found
+
+
+def _split(seeds: list[int], small_bytes: int):
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["bytes", "g1", "g2"], ascending=[False, True, True], ignore_index=True)
-        rest = [(0, None)] * (shards - 1)
-        whole = difference([[(int(n), i), *rest] for i, n in enumerate(pdf["bytes"])])
-        part = [0] * len(pdf)
-        for place, (_, tree) in enumerate(whole):
-            for i in leaves(tree):
-                part[i] = place
-        return pdf.assign(part=pd.Series(part, dtype="int32"))[["bucket", "g1", "g2", "bytes", "part"]]
+        own = int(pdf["bytes"].sum())
+        grain = own // (1000 * len(seeds)) + 1  # seeds that differ by less count as equal
+        share = [x * own // max(1, small_bytes) // grain * grain for x in seeds]
+        shard = partition([int(x) for x in pdf["bytes"]], share, int(pdf["bucket"].iloc[0]))
+        return pdf.assign(shard=pd.Series(shard, dtype="int32"))[["g1", "g2", "bytes", "shard"]]
     return split
 
 
-def _merge_partials(pdf: pd.DataFrame) -> pd.DataFrame:
-    partials = []
-    for bucket, own in pdf.groupby("bucket", sort=True):
-        own = own.sort_values(["bytes", "part"], ascending=[False, True])
-        partials.append([(int(n), [int(bucket), int(p)]) for n, p in zip(own["bytes"], own["part"])])
-    to = {}
-    for place, (_, tree) in enumerate(difference(partials)):
-        for bucket, part in leaves(tree):
-            to[bucket, part] = place
-    into = [to[b, p] for b, p in zip(pdf["bucket"].tolist(), pdf["part"].tolist())]
-    return pdf.assign(into=pd.Series(into, index=pdf.index, dtype="int32"))[["parent", "bucket", "part", "into", "bytes"]]
-
-
 def assign_groups(groups: DataFrame, shards: int = 16) -> DataFrame:
-    """Place groups (g1, g2, bytes) in ``shards`` parts of near equal bytes: adds ``shard``.
+    """Place staged groups (g1, g2, bytes) in ``shards`` shards of near equal bytes: g1, g2, bytes, shard.
 
-    Tasks difference up to about TASK_GROUPS groups each; what is left of a task
-    is one partial partition, of which up to TASK_PARTIALS are again differenced
-    by one task, until one remains. A group is one row, however many rows it
-    stands for, and is never divided.
+    Fewer than shards * LARGE groups can each hold over 1 / (shards * LARGE) of
+    all bytes; one task differences these. Tasks of about TASK_GROUPS of the
+    others then each difference their own, starting from their part of what the
+    large ones left uneven, so a very large group is made up for everywhere. A
+    group is one row, however many rows it stands for, and is never divided.
     """
-    n_buckets = max(1, -(-groups.count() // TASK_GROUPS))
-    bucketed = groups.withColumn("bucket", F.pmod(F.xxhash64("g1", "g2"), F.lit(n_buckets)).cast("long"))
-    placed = stage(bucketed.groupBy("bucket").applyInPandas(
-        _split_groups(shards), "bucket long, g1 long, g2 long, bytes long, part int"))
-    empty = groups.sparkSession.createDataFrame([(p,) for p in range(shards)], "part int")
-    while n_buckets > 1:
-        sums = (placed.select("bucket").distinct().crossJoin(F.broadcast(empty))
-                .join(placed.groupBy("bucket", "part").agg(F.sum("bytes").alias("bytes")), ["bucket", "part"], "left")
-                .fillna(0, ["bytes"]).withColumn("parent", F.expr(f"bucket div {TASK_PARTIALS}")))
-        steps = stage(sums.groupBy("parent").applyInPandas(
-            _merge_partials, "parent long, bucket long, part int, into int, bytes long"))
-        placed = stage(placed.join(steps.select("bucket", "part", "parent", "into"), ["bucket", "part"])
-                       .select(F.col("parent").alias("bucket"), "g1", "g2", "bytes", F.col("into").alias("part")))
-        n_buckets = -(-n_buckets // TASK_PARTIALS)
-    return placed.select("g1", "g2", F.col("part").alias("shard"))
+    kind = "g1 long, g2 long, bytes long, shard int"
+    row = groups.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    limit = (row["bytes"] or 0) // (shards * LARGE)
+    bucketed = groups.withColumn("bucket", F.pmod(F.xxhash64("g1", "g2"), F.lit(max(1, -(-row["n"] // TASK_GROUPS)))).cast("long"))
+    large = stage(bucketed.filter(F.col("bytes") > limit).withColumn("bucket", F.lit(0).cast("long"))
+                  .groupBy("bucket").applyInPandas(_split([0] * shards, 1), kind))
+    sums = {r["shard"]: r["bytes"] for r in large.groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect()}
+    seeds = [sums.get(s, 0) - min(sums.get(t, 0) for t in range(shards)) for s in range(shards)]
+    small_bytes = (row["bytes"] or 0) - sum(sums.values())
+    small = bucketed.filter(F.col("bytes") <= limit).groupBy("bucket").applyInPandas(_split(seeds, small_bytes), kind)
+    return large.unionByName(small)
 
 
 def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
@@ -112,7 +113,7 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("g1"), F.xxhash64(F.lit("group"), text).alias("g2")))
     groups = stage(rows.groupBy("g1", "g2").agg(F.sum("size").alias("bytes")))
-    placed = stage(rows.join(assign_groups(groups, shards), ["g1", "g2"])
+    placed = stage(rows.join(assign_groups(groups, shards).drop("bytes"), ["g1", "g2"])
                    .select("doc_id", "size", "text_crc32", "shard", F.lit(1).cast("long").alias("one")))
     return (running(placed, ["shard"], F.xxhash64("doc_id", "text_crc32"), ["doc_id", "text_crc32", "size"], "one", "slot")
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",

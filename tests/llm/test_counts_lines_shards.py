@@ -210,13 +210,26 @@ def test_shards(documents, odd_documents, no_documents):
     assert shards.shard_documents(no_documents).count() == 0
 
 
-def test_shards_are_balanced(documents, monkeypatch):
-    for groups in (40_000, 100):
-        monkeypatch.setattr(shards, "TASK_GROUPS", groups)
-        monkeypatch.setattr(shards, "TASK_PARTIALS", 4)
-        got = shards.shard_documents(documents).groupBy("shard").sum("size").collect()
-        sums = [r[1] for r in got]
-        assert len(sums) == 16 and max(sums) - min(sums) < 0.001 * np.mean(sums)
+def test_shards_are_balanced(documents):
+    got = shards.shard_documents(documents).groupBy("shard").sum("size").collect()
+    sums = [r[1] for r in got]
+    assert len(sums) == 16 and max(sums) - min(sums) < 0.001 * np.mean(sums)
+
+
+@pytest.mark.parametrize("giant", [0, 12_000, 60_000])
+def test_large_groups_are_made_up_for(spark, monkeypatch, giant):
+    """Many tasks and one group of a good part of all: no shard is above the mean or the group itself."""
+    monkeypatch.setattr(shards, "TASK_GROUPS", 300)
+    rng = np.random.default_rng(2)
+    sizes = [giant] * bool(giant) + rng.integers(1, 40, 8000).tolist()
+    groups = spark.createDataFrame([(i, -i, int(n)) for i, n in enumerate(sizes)], "g1 long, g2 long, bytes long").cache()
+    got = shards.assign_groups(groups).collect()
+    assert Counter((r["g1"], r["bytes"]) for r in got) == Counter(enumerate(sizes))
+    sums = Counter()
+    for r in got:
+        sums[r["shard"]] += r["bytes"]
+    rest = sorted(sums.values())[:-1] if giant > sum(sizes) / 16 else list(sums.values())
+    assert len(sums) == 16 and max(rest) - min(rest) < 0.01 * np.mean(rest)
 
 
 def test_difference_is_optimal_on_a_known_case():
