@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import lines, mix, pack, quality, shards, simhash
+from pluvio.llm import hnsw, html, lines, mix, pack, pii, quality, shards, simhash, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,12 @@ def op1_mix_sources(spark, sf_dir):
     return mix.document_shares(mixed).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_url_filters(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    mined = urls.mine_rules(urls.labelled_pages(pages, table(spark, sf_dir, "labels")))
+    return urls.judge_urls(pages, mined)
+
+
 def op3_best_fit_packing(spark, sf_dir):
     return pack.pack_documents(table(spark, sf_dir, "documents"), *ranks_file())
 
@@ -31,6 +37,10 @@ def op4_quality_rules(spark, sf_dir):
     return quality.judge_documents(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op5_html_extraction(spark, sf_dir):
+    return html.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark, sf_dir):
     return lines.dedup_lines(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
 
@@ -44,7 +54,27 @@ def op8_simhash_near_dedup(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_best_fit_packing, op4_quality_rules, op6_line_dedup,
-                                   op7_balanced_shards, op8_simhash_near_dedup)}
+def op9_hnsw_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hnsw.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+def op10_personal_data(spark, sf_dir):
+    return pii.find_personal(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_url_filters, op3_best_fit_packing, op4_quality_rules, op5_html_extraction, op6_line_dedup,
+                                   op7_balanced_shards, op8_simhash_near_dedup, op9_hnsw_search, op10_personal_data)}
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op6_line_dedup": """
+WITH ds AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+ls AS (SELECT r, doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line FROM ds),
+ks AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM ls),
+hot AS (SELECT key FROM ks WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+kept AS (SELECT r, doc_id, i, line, key NOT IN (SELECT key FROM hot) AS keep FROM ks)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT keep) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE keep), '')) AS kept_sha256
+FROM kept GROUP BY r, doc_id""",
+}
