@@ -42,7 +42,8 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_oracle_or_is_a_model():
-    q, o = E.queries(), E.oracle_sql()
+    from pluvio.plans.catalog import ORACLE, QUERIES
+    q, o = QUERIES, ORACLE
     assert set(o) <= set(q)
     assert set(q) - set(o) <= {"fit_tree", "fit_forest", "cross_validate", "tune_two_stage", "score",
                                "score_label", "evaluate_tree", "evaluate_forest", "model_sets"}
