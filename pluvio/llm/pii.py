@@ -70,13 +70,17 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(kind, start, end) in code points, by kind, then start: leftmost matches that don't overlap within a kind."""
-    found = [(0, s, e) for s, e in _emails(text)]
+def matches(text: str) -> Iterator[tuple[int, int, int, bool]]:
+    """(kind, start, end, whether it holds) in code points: leftmost matches that don't overlap within a kind."""
+    yield from ((0, s, e, True) for s, e in _emails(text))
     if re.search("[0-9]", text):
         for kind, pattern, good in ((1, IP, is_ip), (2, CARD, is_card), (3, PHONE, is_phone)):
-            found += [(kind, m.start(), m.end()) for m in pattern.finditer(text) if good(m[0])]
-    return found
+            yield from ((kind, m.start(), m.end(), good(m[0])) for m in pattern.finditer(text))
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of the matches that hold, by kind, then start."""
+    return [(kind, s, e) for kind, s, e, good in matches(text) if good]
 
 
 def plausible(kind: int, text: str) -> bool:
@@ -164,10 +168,15 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         window, spans = [], []
         for text in batch["text"].to_pylist():
-            base = base_spans(text)
+            # a card's number differs from another one by its check digit alone, which no tagger can tell: windows
+            # with matches of a span's length that don't hold teach nothing
+            near = [(k, a, b, good) for k, a, b, good in matches(text) if good or b - a >= 7]
             for s in window_starts(text):
-                own = [(k, a - s, b - s) for k, a, b in base if a < s + WINDOW and b > s]
-                if all(a >= 0 and b <= WINDOW for _, a, b in own):
+                in_window = [(k, a - s, b - s, good) for k, a, b, good in near if a < s + WINDOW and b > s]
+                own = [(k, a, b) for k, a, b, good in in_window if good]
+                held = {(a, b) for _, a, b in own}
+                if all(a >= 0 and b <= WINDOW for _, a, b in own) and all(
+                        good or any(a < y and b > x for x, y in held) for _, a, b, good in in_window):
                     window.append(text[s:s + WINDOW])
                     spans.append(_listed(own))
         yield pa.RecordBatch.from_arrays([pa.array(window, pa.string()), pa.array(spans, pa.string())], ["window", "spans"])
