@@ -203,7 +203,8 @@ def shared_lines(parsed: DataFrame) -> DataFrame:
     placed = numbered(different, ["host", "path", "page"], "place")
     hosts = placed.groupBy("host").agg(F.min("place").alias("first"), F.count("*").alias("n"))
     pair = F.greatest(F.lit(0), F.least(F.expr("(place - first) div 2"), F.expr("n div 2 - 1")))
-    pairs = (placed.join(hosts, "host").withColumn("pair", pair).groupBy("host", "pair")
+    # dealt by pair: a join's partitioning by host would leave all pairs of a host in one task
+    pairs = (placed.join(hosts, "host").withColumn("pair", pair).repartition("host", "pair").groupBy("host", "pair")
              .agg(F.collect_list(F.struct("place", "page", "hashes", "sizes", "states")).alias("near")).select("host", "near"))
     return pairs.mapInArrow(_difference, "host string, page long, gone array<int>")
 
