@@ -73,11 +73,6 @@ FEATURE_DROP = ("RainToday", "Location", "Date", "Sunshine",
                 "Month", "Day", "Year", "DayMonth",
                 "Evaporation")
 
-# Percentile accuracy that makes percentile_approx return exact order
-# statistics on inputs of up to ~1e6 rows per group and keeps a bounded
-# sketch (relative rank error 1e-6) beyond that.
-EXACT_ACCURACY = 1_000_000
-
 
 @dataclass(frozen=True)
 class Roles:
@@ -116,7 +111,7 @@ class Roles:
                       "Humidity9am", "Humidity3pm", "WindGustSpeed",
                       "WindSpeed9am", "WindSpeed3pm")
     ints: tuple = ("Cloud9am", "Cloud3pm")
-    quantile_accuracy: int = EXACT_ACCURACY
+    medians: str = "exact"  # or "exact_spread", "sketch": see group_stats
     # Decimal places applied to fitted means before they fill gaps; keeps the
     # filled values independent of floating summation order across engines.
     mean_decimals: int | None = 9

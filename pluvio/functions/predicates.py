@@ -85,6 +85,12 @@ def any_present(cols: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
 
 
+def number(c: str) -> Column:
+    """The column as a double; text that is no number and NaN are missing."""
+    x = F.col(c).try_cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """One projection casting the listed columns; unparsable text becomes null."""
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c)

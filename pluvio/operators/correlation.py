@@ -12,16 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import WEATHER, Roles
-from ..functions.predicates import encode_binary
+from ..functions.predicates import encode_binary, number
 from .explore import valid_label
 
-R_DECIMALS = 9
-
 
 def _prepared(df: DataFrame, cols: Sequence[str], spec: Roles) -> DataFrame:
     """Valid-label rows, numeric columns as double, label as 0/1."""
     v = valid_label(df, spec)
-    return v.select(*[F.col(c).try_cast("double").alias(c) for c in cols],
+    return v.select(*[number(c).alias(c) for c in cols],
                     encode_binary(spec.label, spec.positive).alias("label_num"))
 
 
@@ -40,7 +38,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None, spec: Roles =
     left = vals.select("v", F.posexplode("v").alias("i", "x"))
     pairs = left.select("i", "x", F.posexplode(F.slice("v", F.col("i") + 2, F.lit(n) - F.col("i") - 1)).alias("k", "y"))
     agg = (pairs.groupBy("i", (F.col("i") + F.col("k") + 1).alias("j"))
-                .agg(F.round(F.corr("x", "y"), R_DECIMALS).alias("r")))
+                .agg(F.corr("x", "y").alias("r")))
     names = F.array(*[F.lit(c) for c in cols])
     return agg.select(F.element_at(names, F.col("i") + 1).alias("col_a"),
                       F.element_at(names, F.col("j") + 1).alias("col_b"), "r")
@@ -53,7 +51,7 @@ def corr_with_label(df: DataFrame, cols: Sequence[str] | None = None, spec: Role
     """
     cols = list(cols or spec.audit_numeric)
     p = _prepared(df, cols, spec)
-    packed = p.agg(*[F.round(F.corr(c, "label_num"), R_DECIMALS).alias(c) for c in cols])
+    packed = p.agg(*[F.corr(c, "label_num").alias(c) for c in cols])
     long = packed.unpivot([], cols, "column_name", "r").filter(F.col("r").isNotNull() & ~F.isnan("r"))
     return long.orderBy(F.desc(F.abs("r")), "column_name")
 

@@ -7,24 +7,17 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import EXACT_ACCURACY, WEATHER, Roles
-from ..functions.predicates import parse_date
-
-STAT_DECIMALS = 9
-
-
-def _num(c: str) -> Column:
-    return F.col(c).try_cast("double")
-
+from ..config import WEATHER, Roles
+from ..functions.predicates import number, parse_date
 
 def numeric_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column_name, x) rows: one double value per listed column and row."""
-    return (df.select(*[_num(c).alias(c) for c in cols])
+    return (df.select(*[number(c).alias(c) for c in cols])
               .unpivot([], list(cols), "column_name", "x"))
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, spec: Roles = WEATHER) -> DataFrame:
-    """(column_name, min, max, mean, stddev) per column, sorted by name; nulls ignored.
+    """(column_name, min, max, mean, stddev) per column, sorted by name; nulls and NaN ignored, at full precision.
 
     Values are unpivoted and aggregated per column name: four small
     aggregates instead of a 4×N-function wide aggregate.
@@ -33,8 +26,7 @@ def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, spec: Role
     x = F.col("x")
     return (numeric_long(df, cols).groupBy("column_name")
             .agg(F.min(x).alias("min"), F.max(x).alias("max"),
-                 F.round(F.avg(x), STAT_DECIMALS).alias("mean"),
-                 F.round(F.stddev_samp(x), STAT_DECIMALS).alias("stddev"))
+                 F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"))
             .orderBy("column_name"))
 
 
@@ -62,9 +54,9 @@ def percentiles(df: DataFrame, cols: Sequence[str] | None = None,
     return q.select("column_name", *[F.col("q")[i].alias(prob_name(p)) for i, p in enumerate(probs)])
 
 
-def median(c: str, accuracy: int = EXACT_ACCURACY) -> Column:
-    """Median aggregate (A3)."""
-    return F.percentile_approx(F.col(c), 0.5, accuracy)
+def median(c: str) -> Column:
+    """Aggregate: the exact lower median (A3)."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)")
 
 
 def valid_label(df: DataFrame, spec: Roles = WEATHER) -> DataFrame:

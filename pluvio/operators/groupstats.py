@@ -7,7 +7,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import AUDIT_TOKENS, EXACT_ACCURACY, WEATHER, Roles
+from ..config import AUDIT_TOKENS, WEATHER, Roles
 from ..functions.predicates import any_present, is_missing
 from .quantiles import exact_quantiles
 
@@ -19,30 +19,37 @@ def _mean(c: str, decimals: int | None):
 
 def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (),
                 median_cols: Sequence[str] = (), raw_mean_cols: Sequence[str] = (),
-                presence_cols: Sequence[str] | None = None, accuracy: int = EXACT_ACCURACY,
-                mean_decimals: int | None = 9, exact_medians: bool = False) -> DataFrame:
+                presence_cols: Sequence[str] | None = None, medians: str = "exact", accuracy: int = 10_000,
+                mean_decimals: int | None = 9) -> DataFrame:
     """keys + ``{c}_mean`` / ``{c}_median`` per group.
 
     Rows where every ``presence_cols`` value is null are ignored (as the
-    reference does before grouping). ``raw_mean_cols`` keep unrounded means
-    (discrete columns are rounded to integers later). Medians use a
-    ``percentile_approx`` sketch per group (exact for groups of up to
-    ``accuracy`` values), or with ``exact_medians`` (for a bounded number of
-    large groups) exact value-count quantiles.
+    reference does before grouping); NaN is a missing value. ``raw_mean_cols``
+    keep unrounded means (discrete columns are rounded to integers later).
+    ``medians`` names the way, and no size changes it: ``exact`` counts the
+    different values of a group in its aggregate, ``exact_spread`` gives the
+    same values by counts that are dealt over tasks (for few groups with very
+    many different values), and ``sketch`` is approximate with ``accuracy``.
     """
+    if medians not in ("exact", "exact_spread", "sketch"):
+        raise ValueError(f"unknown medians {medians!r}")
     presence = list(presence_cols) if presence_cols is not None else [*mean_cols, *median_cols, *raw_mean_cols]
+    floats = {c for c, t in df.dtypes if t in ("double", "float")}
+    df = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in dict.fromkeys([*presence, *mean_cols, *median_cols, *raw_mean_cols]) if c in floats})
     src = df.filter(any_present(presence)) if presence else df
     aggs = [_mean(c, mean_decimals).alias(f"{c}_mean") for c in mean_cols]
-    if not exact_medians:
+    if medians == "exact":
+        aggs += [F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)").alias(f"{c}_median") for c in median_cols]
+    elif medians == "sketch":
         aggs += [F.percentile_approx(F.col(c), 0.5, accuracy).alias(f"{c}_median") for c in median_cols]
     aggs += [F.avg(F.col(c)).alias(f"{c}_mean") for c in raw_mean_cols]
-    stats = src.groupBy(*keys).agg(*aggs)
-    if not exact_medians or not median_cols:
+    stats = src.groupBy(*keys).agg(*aggs) if aggs else src.select(*keys).distinct()
+    if medians != "exact_spread" or not median_cols:
         return stats
     # Few, large groups: exact medians from value counts, pivoted to columns.
     long = (src.select(*keys, *[F.col(c).cast("double").alias(c) for c in median_cols])
                .unpivot(list(keys), list(median_cols), "column_name", "x"))
-    med = exact_quantiles(long, [*keys, "column_name"], "x", [0.5], small_groups=True)
+    med = exact_quantiles(long, [*keys, "column_name"], "x", [0.5], small_groups=False)
     wide = (med.groupBy(*keys).pivot("column_name", list(median_cols)).agg(F.first(F.col("q")[0]))
                .select(*keys, *[F.col(c).alias(f"{c}_median") for c in median_cols]))
     return stats.join(wide, list(keys), "left")

@@ -14,11 +14,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-METRIC_DECIMALS = 9
-
-
-def _r(c: Column) -> Column:
-    return F.round(c, METRIC_DECIMALS)
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -75,17 +70,17 @@ def error_rate(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0), z: float =
     acc = _div(hit, n)
     err = 1 - acc
     std = F.sqrt(err * (1 - err) / n)
-    return cells.select(n.alias("n"), _r(acc).alias("accuracy"), _r(err).alias("error_rate"),
-                        _r(std).alias("error_std"), _r(err - z * std).alias("ci_low"), _r(err + z * std).alias("ci_high"))
+    return cells.select(n.alias("n"), (acc).alias("accuracy"), (err).alias("error_rate"),
+                        (std).alias("error_std"), (err - z * std).alias("ci_low"), (err + z * std).alias("ci_high"))
 
 
 def rates_by_label(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0)) -> DataFrame:
     """(label, n, tpr, fpr, precision, f1) per label."""
     cells = confusion_cells(pred, labels)
     rows, _ = _per_label(cells, labels)
-    arr = F.array(*[F.struct(r["label"].alias("label"), r["n"].alias("n"), _r(r["tpr"]).alias("tpr"),
-                             _r(r["fpr"]).alias("fpr"), _r(r["precision"]).alias("precision"),
-                             _r(r["f1"]).alias("f1")) for r in rows])
+    arr = F.array(*[F.struct(r["label"].alias("label"), r["n"].alias("n"), (r["tpr"]).alias("tpr"),
+                             (r["fpr"]).alias("fpr"), (r["precision"]).alias("precision"),
+                             (r["f1"]).alias("f1")) for r in rows])
     return cells.select(F.inline(arr))
 
 
@@ -97,8 +92,8 @@ def weighted_rates(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0)) -> Dat
     def w(key):
         return sum((F.coalesce(r["share"] * r[key], F.lit(0.0)) for r in rows), F.lit(0.0))
 
-    return cells.select(_r(w("tpr")).alias("weighted_tpr"), _r(w("fpr")).alias("weighted_fpr"),
-                        _r(w("precision")).alias("weighted_precision"), _r(w("f1")).alias("weighted_f1"))
+    return cells.select((w("tpr")).alias("weighted_tpr"), (w("fpr")).alias("weighted_fpr"),
+                        (w("precision")).alias("weighted_precision"), (w("f1")).alias("weighted_f1"))
 
 
 def classification_table(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0), z: float = 1.96) -> DataFrame:
@@ -120,7 +115,7 @@ def classification_table(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0),
              ("weighted_precision", w("precision")), ("weighted_f1", w("f1"))]
     for v, r in zip(labels, rows):
         items += [(f"tpr_{v}", r["tpr"]), (f"fpr_{v}", r["fpr"])]
-    arr = F.array(*[F.struct(F.lit(name).alias("metric"), _r(val.cast("double")).alias("value")) for name, val in items])
+    arr = F.array(*[F.struct(F.lit(name).alias("metric"), (val.cast("double")).alias("value")) for name, val in items])
     return cells.select(F.inline(arr))
 
 
@@ -193,8 +188,8 @@ def curve_points(pred: DataFrame, score: str = "score", label: str = "label", bi
 def roc_curve(pred: DataFrame, score: str = "score", label: str = "label", bins: int = 0) -> DataFrame:
     """(threshold, fpr, tpr) per point, plus the (0,0) and (1,1) end points (threshold null)."""
     pts = curve_points(pred, score, label, bins)
-    body = pts.select("threshold", _r(_div(F.col("cum_neg"), F.col("tot_neg"))).alias("fpr"),
-                      _r(_div(F.col("cum_pos"), F.col("tot_pos"))).alias("tpr"))
+    body = pts.select("threshold", (_div(F.col("cum_neg"), F.col("tot_neg"))).alias("fpr"),
+                      (_div(F.col("cum_pos"), F.col("tot_pos"))).alias("tpr"))
     ends = pred.sparkSession.createDataFrame([(None, 0.0, 0.0), (None, 1.0, 1.0)], "threshold double, fpr double, tpr double")
     return body.unionByName(ends)
 
@@ -213,7 +208,7 @@ def _pr_area() -> Column:
 def curve_areas(pred: DataFrame, score: str = "score", label: str = "label", bins: int = 0) -> DataFrame:
     """(auc_roc, auc_pr) from one pass over one set of curve points."""
     pts = curve_points(pred, score, label, bins)
-    return pts.agg(_r(F.sum(_roc_area())).alias("auc_roc"), _r(F.sum(_pr_area())).alias("auc_pr"))
+    return pts.agg((F.sum(_roc_area())).alias("auc_roc"), (F.sum(_pr_area())).alias("auc_pr"))
 
 
 def auc_roc(pred: DataFrame, score: str = "score", label: str = "label", bins: int = 0) -> DataFrame:
@@ -223,16 +218,17 @@ def auc_roc(pred: DataFrame, score: str = "score", label: str = "label", bins: i
     from the point's own cumulative counts, so the area is a plain sum.
     """
     pts = curve_points(pred, score, label, bins)
-    return pts.agg(_r(F.sum(_roc_area())).alias("auc_roc"))
+    return pts.agg((F.sum(_roc_area())).alias("auc_roc"))
 
 
 def auc_pr(pred: DataFrame, score: str = "score", label: str = "label", bins: int = 0) -> DataFrame:
     """(auc_pr): trapezoid area under the PR curve started at (0, first precision)."""
     pts = curve_points(pred, score, label, bins)
-    return pts.agg(_r(F.sum(_pr_area())).alias("auc_pr"))
+    return pts.agg((F.sum(_pr_area())).alias("auc_pr"))
 
 
-def score_label(pred: DataFrame, prob_col: str = "probability", label: str = "label", k: int = 5) -> DataFrame:
-    """Preview of (P(class 1), label) pairs."""
+def score_label(pred: DataFrame, prob_col: str = "probability", label: str = "label", k: int | None = None) -> DataFrame:
+    """(P(class 1), label) of every row, or the ``k`` highest scores as a preview."""
     from pyspark.ml.functions import vector_to_array
-    return pred.select(vector_to_array(prob_col)[1].alias("score"), label).limit(k)
+    pairs = pred.select(vector_to_array(prob_col)[1].alias("score"), label)
+    return pairs if k is None else pairs.orderBy(F.desc("score"), label).limit(k)

@@ -15,8 +15,6 @@ from .explore import numeric_long
 from .outliers import drop_outlier_rows, fences, iqr_bounds
 from .quantiles import exact_quantiles
 
-DECIMALS = 9
-
 
 def clean_final(df: DataFrame, fit: DataFrame | None = None, cloud_cols: Sequence[str] = ("Cloud9am", "Cloud3pm"),
                 outlier_cols: Sequence[str] = ("Evaporation",), spec: Roles = WEATHER) -> DataFrame:
@@ -60,19 +58,20 @@ def unclassified_rate(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
 def daily_means(df: DataFrame) -> DataFrame:
     """Row means of temperature, pressure, humidity, wind speed and clouds."""
     spec = {**ROW_MEANS, "Cloud_avg": ("Cloud9am", "Cloud3pm")}
-    return df.withColumns({k: F.round(row_mean(v), DECIMALS) for k, v in spec.items()})
+    return df.withColumns({k: row_mean(v) for k, v in spec.items()})
 
 
 def with_cyclic_month(df: DataFrame, col: str = "Month") -> DataFrame:
     """Month_sin, Month_cos of 2π(m−1)/12."""
-    return df.withColumns({k: F.round(v, DECIMALS) for k, v in cyclic_month(col).items()})
+    return df.withColumns({k: v for k, v in cyclic_month(col).items()})
 
 
 def quantile_splits(fit: DataFrame, cols: Sequence[str], n: int = 10) -> dict:
-    """Distinct inner cut points per column at probabilities 1/n … (n−1)/n (a few numbers each),
-    exact as with ``QuantileDiscretizer(relativeError=0)``."""
+    """Distinct inner cut points per column at probabilities 1/n … (n−1)/n (a few numbers each, none for
+    a column without values), exact as with ``QuantileDiscretizer(relativeError=0)``."""
     rows = exact_quantiles(numeric_long(fit, cols), ["column_name"], "x", [i / n for i in range(1, n)]).collect()
-    return {r["column_name"]: sorted(set(r["q"])) for r in rows}
+    found = {r["column_name"]: sorted(set(r["q"])) for r in rows}
+    return {c: found.get(c, []) for c in cols}
 
 
 def quantile_bins(df: DataFrame, splits: dict, suffix: str = "_bin") -> DataFrame:
@@ -88,19 +87,20 @@ def scaler_stats(fit: DataFrame, cols: Sequence[str]) -> dict:
     """Mean and sample stddev per column (two numbers each), fitted once."""
     rows = (numeric_long(fit, cols).groupBy("column_name")
             .agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s")).collect())
-    return {r["column_name"]: (r["m"], r["s"]) for r in rows}
+    found = {r["column_name"]: (r["m"], r["s"]) for r in rows}
+    return {c: found.get(c, (None, None)) for c in cols}
 
 
 def standardize(df: DataFrame, stats: dict, suffix: str = "_std") -> DataFrame:
     """(x − mean) / stddev with train statistics; zero or undefined stddev → 0."""
     out = {}
     for c, (m, s) in stats.items():
-        if m is None:
-            continue
-        if s is None or s == 0 or math.isnan(s):
+        if m is None:  # no value to fit on
+            out[f"{c}{suffix}"] = F.lit(None).cast("double")
+        elif s is None or s == 0 or math.isnan(s):
             out[f"{c}{suffix}"] = F.when(F.col(c).isNotNull(), F.lit(0.0))
         else:
-            out[f"{c}{suffix}"] = F.round((F.col(c) - F.lit(m)) / F.lit(s), DECIMALS)
+            out[f"{c}{suffix}"] = (F.col(c) - F.lit(m)) / F.lit(s)
     return df.withColumns(out)
 
 

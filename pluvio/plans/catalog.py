@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from itertools import combinations
 from typing import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +26,19 @@ SPEC = WEATHER
 COLS = list(SPEC.columns)
 
 
+#: Queries whose doubles are rounded to 9 decimals here, as their SQL does; operators return full precision.
+ROUNDED = frozenset("""numeric_summary corr_matrix corr_with_label collinear_pairs error_interval rates_by_label weighted_rates f1
+    roc_curve auc_roc auc_roc_hard auc_pr evaluate_tree evaluate_forest row_means daily_means cyclic_month standardize build_features""".split())
+
+
+def rounded(df: DataFrame, decimals: int = 9) -> DataFrame:
+    from pyspark.sql import functions as F
+    return df.withColumns({c: F.round(c, decimals) for c, t in df.dtypes if t == "double"})
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = (lambda spark, sf: rounded(fn(spark, sf))) if name in ROUNDED else fn
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -764,7 +775,9 @@ def q_tune_two_stage(spark, sf):
 @register("score")
 def q_score(spark, sf):
     m = modelling(spark, sf)
-    return _predictions(m.tree(maxDepth=7, maxBins=28), m.test)
+    scored = m.tree(maxDepth=7, maxBins=28).transform(m.test)
+    name = F.when(F.col("prediction") == 0.0, "Yes").when(F.col("prediction") == 1.0, "No").alias("predicted_class")
+    return scored.select("h", "prediction", name, vector_to_array("rawPrediction").alias("raw"), vector_to_array("probability").alias("probability"))
 
 
 @register("score_label")
@@ -1046,3 +1059,38 @@ FROM (SELECT count(*) AS n_rows, count(*) FILTER (WHERE {' OR '.join(S.q(c) + '
 def q_unclassified_rate(spark, sf):
     p = prep(spark, sf)
     return transforms.unclassified_rate(features.with_row_means(p.test_final), _FCOLS)
+
+
+# ---------------------------------------------------------------------------
+# Readers and writers (S1-S3) and the typed cast
+# ---------------------------------------------------------------------------
+
+from ..functions.predicates import cast_columns  # noqa: E402
+from ..session import shared_dir  # noqa: E402
+from ..sources.tables import read_table, write_table  # noqa: E402
+
+
+def _round_trip(spark, sf, table: str, fmt: str):
+    source = read_table(spark, f"{sf}/{table}.parquet")
+    path = write_table(source, f"{shared_dir(spark)}/round_trip_{fmt}_{uuid4().hex}", fmt)
+    return read_table(spark, path, fmt, schema=source.schema)
+
+
+@register("csv_round_trip", "SELECT * FROM customer")
+def q_csv_round_trip(spark, sf):
+    return _round_trip(spark, sf, "customer", "csv")
+
+
+@register("parquet_round_trip", "SELECT * FROM orders")
+def q_parquet_round_trip(spark, sf):
+    return _round_trip(spark, sf, "orders", "parquet")
+
+
+@register("cast_columns", """
+SELECT c_custkey, TRY_CAST(c_acctbal AS DOUBLE) AS c_acctbal, TRY_CAST(c_name AS DOUBLE) AS c_name,
+    CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey FROM customer""")
+def q_cast_columns(spark, sf):
+    text = read_table(spark, f"{sf}/customer.parquet").select(
+        "c_custkey", F.col("c_acctbal").cast("string").alias("c_acctbal"), "c_name",
+        F.when(F.col("c_custkey") % 7 == 0, "NA").otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey"))
+    return cast_columns(text, {"c_acctbal": "double", "c_name": "double", "c_nationkey": "int"})

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import WEATHER, WIND_TOKENS, Roles
 from ..functions.columns import calendar_keys
-from ..functions.predicates import canonical_binary, normalize_tokens, parse_date
+from ..functions.predicates import canonical_binary, normalize_tokens, parse_date, number
 from ..operators import impute
 from ..operators.explore import valid_label
 from ..operators.outliers import fences, iqr_bounds, null_outliers
@@ -35,7 +35,7 @@ def normalize(df: DataFrame, spec: Roles = WEATHER) -> DataFrame:
         elif c in spec.directions:
             out.append(normalize_tokens(c, WIND_TOKENS).alias(c))
         elif c in spec.doubles:
-            out.append(F.col(c).try_cast("double").alias(c))
+            out.append(number(c).alias(c))
         elif c in spec.ints:
             out.append(F.col(c).try_cast("int").alias(c))
         else:

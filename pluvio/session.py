@@ -67,6 +67,14 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
     return None
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The session's shared folder; an error where it names none."""
+    found = ensure_checkpoint_dir(spark, allow_local=spark.sparkContext.master.startswith("local["))
+    if not found:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return found
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage at a stage boundary so lost executors do not replay it.
 

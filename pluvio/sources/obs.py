@@ -54,25 +54,17 @@ def _columns(text_type: str, item) -> list[tuple[str, str]]:
     ]
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartitions a scan that yields fewer splits than the cluster has cores.
+def obs(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    """The observation table for a driver data folder (23 columns + row key ``h``).
 
-    A file written as a single row group is read by one task, which would then
-    run every per-row expression downstream alone. On large inputs the scan
-    already has more splits than cores and this is a no-op (no extra shuffle).
+    ``spread`` deals the six source columns out by the order key: the driver's
+    tables are one row group each, which one task would read and derive all
+    columns of. Turn it off for files of many row groups; rows are the same.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
-        return df
-    return df.repartition(cores, key) if splits < cores else df
-
-
-def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The observation table for a driver data folder (23 columns + row key ``h``)."""
-    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"), "l_orderkey")
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    if spread:
+        li = li.repartition("l_orderkey")
     su = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_nationkey")
     na = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
     # nation is the fixed 25-row TPC-H dimension: a proven broadcast bound.

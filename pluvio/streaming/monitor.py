@@ -26,10 +26,18 @@ def audit_batch(batch: DataFrame, batch_id: int, spec: Roles = WEATHER) -> DataF
 
 def audit_stream(stream: DataFrame, sink_path: str, checkpoint: str, spec: Roles = WEATHER,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Appends one audit table per micro-batch to a Parquet sink (idempotent per batch id)."""
+    """One audit table per micro-batch in a folder of its own; a replayed batch replaces its table.
+
+    Reading ``sink_path`` gives batch_id from the folders.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        audit_batch(batch, batch_id, spec).write.mode("append").parquet(f"{sink_path}/batch_id={batch_id}")
+        batch.persist()  # two audits read it
+        try:
+            (audit_batch(batch, batch_id, spec).drop("batch_id").write.mode("overwrite")
+             .parquet(f"{sink_path}/batch_id={batch_id}"))
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if trigger:
