@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from pluvio.llm.common import WHITE, spread, stage
 
-#: The transformed statistics, and the standard deviation that each has a priori.
+#: The transformed statistics, and the standard deviation that each has at least.
 STATISTICS = {"x_word": 0.05, "x_symbol": 0.1, "x_line": 0.05, "x_upper": 0.03, "x_repeat": 0.05}
 #: Share of a group's rows that the determinant is minimised over; what makes its covariance consistent
-#: for normal data in five dimensions; rows that the a-priori values weigh; concentration steps.
+#: for normal data in five dimensions; rows that a language's mean weighs; concentration steps.
 KEPT_SHARE, CONSISTENCY, PRIOR_ROWS, STEPS = 0.75, 1.41, 20, 3
 #: Squared distance beyond which a vector is rejected: the 1 - 1e-6 quantile of chi-square with 5 degrees.
 CUT = 35.9
@@ -106,13 +106,14 @@ def _moments() -> list[Column]:
 
 
 def _estimated(sums: DataFrame, keys: list[str]) -> DataFrame:
-    """Means and covariances from sums; the a-priori variances count as PRIOR_ROWS rows."""
+    """Means and covariances from sums. The a-priori variances are added in a group of any size: most texts of
+    a clean group have the same few zeros, and the spread of these alone would reject a single repeated line."""
     n = F.col("n")
     means = sums.select(*keys, "n", *(F.col(c) for c in sums.columns if c[:2] == "p_"), *(
         (F.col(f"s_{i}") / n).alias(f"m_{i}") for i in range(len(_X))))
     prior = list(STATISTICS.values())
-    covariance = [((CONSISTENCY * F.greatest(F.col(f"p_{i}_{j}") - n * F.col(f"m_{i}") * F.col(f"m_{j}"), F.lit(0.0 if i == j else -math.inf))
-                    + (PRIOR_ROWS * prior[i] ** 2 if i == j else 0.0)) / (n + PRIOR_ROWS)).alias(f"c_{i}_{j}") for i, j in _PAIRS]
+    covariance = [(CONSISTENCY * F.greatest(F.col(f"p_{i}_{j}") / n - F.col(f"m_{i}") * F.col(f"m_{j}"), F.lit(0.0 if i == j else -math.inf))
+                   + F.lit(prior[i] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}") for i, j in _PAIRS]
     return _factored(means.select(*keys, "n", *(f"m_{i}" for i in range(len(_X))), *covariance))
 
 
