@@ -8,16 +8,14 @@ weighted by the group multiplicity so no second scan is needed.
 
 from __future__ import annotations
 
-from itertools import combinations
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AUDIT_TOKENS, RESIDUAL_TOKENS, WEATHER, Roles
 from ..functions.columns import long_form
 from ..functions.predicates import all_present, is_missing, is_token, parse_date
-from ..session import materialize
 
 PCT_DECIMALS = 6
 
@@ -293,79 +291,31 @@ def quality_report(df: DataFrame, spec: Roles = WEATHER, tokens: Iterable[str] =
 
 
 # ---------------------------------------------------------------------------
-# Q14: null co-occurrence of the k worst columns (single scan)
+# Q14: null co-occurrence of the k worst columns (two aggregates)
 # ---------------------------------------------------------------------------
 
-MASK_BITS = 62
-
-
-def _mask_names(n_cols: int) -> list[str]:
-    return [f"mask_{j}" for j in range((n_cols + MASK_BITS - 1) // MASK_BITS)]
-
-
-def missing_patterns(df: DataFrame, cols: Sequence[str], tokens: Iterable[str] = AUDIT_TOKENS) -> DataFrame:
-    """(mask_0, mask_1, ..., n): distinct missingness patterns.
-
-    Bit ``i % 62`` of ``mask_{i // 62}`` is set when ``cols[i]`` is missing.
-    One scan with map-side combining; the result has one row per observed
-    pattern, which is small however large the table is.
-    """
-    tokens = tuple(tokens)
-    dt = dict(df.dtypes)
-    masks = []
-    for j, name in enumerate(_mask_names(len(cols))):
-        chunk = cols[j * MASK_BITS:(j + 1) * MASK_BITS]
-        m = sum((F.when(is_missing(c, tokens, dt[c]), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
-                 for i, c in enumerate(chunk)), F.lit(0).cast("long"))
-        masks.append(m.alias(name))
-    return df.groupBy(*masks).agg(F.count(F.lit(1)).alias("n"))
-
-
 def missing_cooccurrence(df: DataFrame, k: int = 5, cols: Sequence[str] | None = None,
                          tokens: Iterable[str] = AUDIT_TOKENS, spec: Roles = WEATHER) -> DataFrame:
     """(col_a, col_b, n_both, pct) for every pair of the k most-missing columns.
 
-    The table is read once into its missingness patterns (one row per
-    pattern); column totals, the top-k ranking and the pair counts are all
-    derived from that small table, so no per-pair pass over the data exists.
+    Two aggregates over the table: the first counts missing values per column
+    and names the k columns (ties by name); the second counts their pairs. One
+    value per column reaches the driver; nothing is shuffled but partial sums.
     """
     cols = _cols(df, cols, spec)
-    masks = _mask_names(len(cols))
-
-    def bit(i: int) -> Column:
-        return F.col(masks[i // MASK_BITS]).bitwiseAND(F.lit(1 << (i % MASK_BITS))) != 0
-
-    # The pattern table feeds two branches; materialising it keeps the
-    # source to a single scan.
-    pats = materialize(missing_patterns(df, cols, tokens))
-    # Column totals and the row count in one aggregate over the pattern table;
-    # the ranking window then holds one row per column.
-    tot = pats.agg(F.sum("n").alias("n_rows"),
-                   *[F.sum(F.when(bit(i), F.col("n")).otherwise(0)).alias(c) for i, c in enumerate(cols)])
-    per_col = tot.unpivot(["n_rows"], cols, "name", "n_missing")
-    ranked = (per_col.withColumn("rk", F.row_number().over(Window.orderBy(F.desc("n_missing"), "name")))
-                     .filter(F.col("rk") <= k))
-    missing_names = F.filter(F.array(*[F.when(bit(i), F.lit(c)) for i, c in enumerate(cols)]), lambda x: x.isNotNull())
-    ex = pats.select(*masks, "n", F.explode(missing_names).alias("name"))
-    # All rank pairs i<j of the (at most k) chosen columns, so pairs that
-    # never co-occur still report zero.
-    top = ranked.agg(F.sort_array(F.collect_list(F.struct("rk", "name"))).alias("t"),
-                     F.first("n_rows").alias("n_rows"))
-    grid = (top.select("n_rows", F.explode(F.flatten(F.transform(
-                "t", lambda a: F.transform(F.filter("t", lambda b: b["rk"] > a["rk"]),
-                                           lambda b: F.struct(a["name"].alias("col_a"), b["name"].alias("col_b"))))))
-                       .alias("p"))
-               .select("p.col_a", "p.col_b", "n_rows"))
-    hit = ex.join(F.broadcast(ranked.select("name", "rk")), "name").select(*masks, "n", "name", "rk")
-    a, b = hit.alias("a"), hit.alias("b")
-    same = F.lit(True)
-    for m in masks:
-        same = same & (F.col(f"a.{m}") == F.col(f"b.{m}"))
-    counts = (a.join(b, same & (F.col("a.rk") < F.col("b.rk")))
-               .groupBy(F.col("a.name").alias("col_a"), F.col("b.name").alias("col_b"))
-               .agg(F.sum("a.n").alias("n_both")))
-    out = grid.join(counts, ["col_a", "col_b"], "left").withColumn("n_both", F.coalesce("n_both", F.lit(0)))
-    return out.select("col_a", "col_b", "n_both", pct(F.col("n_both"), F.col("n_rows")).alias("pct"))
+    dt, tokens = dict(df.dtypes), tuple(tokens)
+    missing = {c: is_missing(c, tokens, dt[c]) for c in cols}
+    totals = df.agg(*[F.count_if(missing[c]).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    worst = sorted(range(len(cols)), key=lambda i: (-totals[i], cols[i]))[:k]
+    pairs = [(cols[i], cols[j]) for n, i in enumerate(worst) for j in worst[n + 1:]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, n_both long, pct double")
+    wide = df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  *[F.count_if(missing[a] & missing[b]).alias(f"p{n}") for n, (a, b) in enumerate(pairs)])
+    counted = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"p{n}").alias("n_both"))
+                        for n, (a, b) in enumerate(pairs)])
+    return (wide.select("n_rows", F.inline(counted))
+            .select("col_a", "col_b", "n_both", pct(F.col("n_both"), F.col("n_rows")).alias("pct")))
 
 
 # ---------------------------------------------------------------------------

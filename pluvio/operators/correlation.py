@@ -1,13 +1,17 @@
 """Pearson correlation: matrix, feature-label, collinear pairs, coverage.
 
-All pairs are computed in one aggregate with Spark's streaming ``corr``
-(numerically stable co-moments), instead of one job per feature.
+The matrix is one covariance of standardised columns, feature and label one aggregate of
+Spark's streaming ``corr``, instead of one job per feature.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,22 +30,25 @@ def _prepared(df: DataFrame, cols: Sequence[str], spec: Roles) -> DataFrame:
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None, spec: Roles = WEATHER) -> DataFrame:
     """(col_a, col_b, r) for every pair i<j over listwise-complete rows.
 
-    Each row's values form one array that is paired with its own tail by two
-    ``posexplode`` generators, so one small ``corr`` aggregate grouped by the
-    pair replaces a 120-function wide aggregate (whose generated code is too
-    large to be JIT-compiled).
+    One aggregate gives each column's mean and deviation; the covariance of the
+    standardised columns, summed per task, is the matrix, whatever a column's
+    scale. Rows are neither multiplied nor shuffled, and one value per pair of
+    columns reaches the driver. r is null where a column is constant or only one
+    row is complete; without complete rows there are no pairs.
     """
     cols = list(cols or spec.audit_numeric)
-    n = len(cols)
-    complete = _prepared(df, cols, spec).na.drop(subset=cols)
-    vals = complete.select(F.array(*cols).alias("v"))
-    left = vals.select("v", F.posexplode("v").alias("i", "x"))
-    pairs = left.select("i", "x", F.posexplode(F.slice("v", F.col("i") + 2, F.lit(n) - F.col("i") - 1)).alias("k", "y"))
-    agg = (pairs.groupBy("i", (F.col("i") + F.col("k") + 1).alias("j"))
-                .agg(F.corr("x", "y").alias("r")))
-    names = F.array(*[F.lit(c) for c in cols])
-    return agg.select(F.element_at(names, F.col("i") + 1).alias("col_a"),
-                      F.element_at(names, F.col("j") + 1).alias("col_b"), "r")
+    complete = _prepared(df, cols, spec).na.drop(subset=cols).select(*[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(cols)])
+    xs = complete.columns
+    fit = complete.agg(F.count(F.lit(1)).alias("n"), *[F.avg(x).alias(f"m_{x}") for x in xs], *[F.stddev_samp(x).alias(f"s_{x}") for x in xs]).first()
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))] if fit["n"] else []
+    if fit["n"] > 1:
+        unit = [((F.col(x) - fit[f"m_{x}"]) / fit[f"s_{x}"] if fit[f"s_{x}"] else F.lit(0.0)).alias(x) for x in xs]
+        vectors = VectorAssembler(inputCols=xs, outputCol="v").transform(complete.select(*unit)).select("v")
+        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    else:
+        matrix = np.full((len(cols), len(cols)), np.nan)
+    found = [(cols[i], cols[j], None if math.isnan(matrix[i, j]) else float(matrix[i, j])) for i, j in pairs]
+    return df.sparkSession.createDataFrame(found, "col_a string, col_b string, r double")
 
 
 def corr_with_label(df: DataFrame, cols: Sequence[str] | None = None, spec: Roles = WEATHER) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from ..config import WEATHER, Roles
 from ..functions.predicates import number, parse_date
 
+#: Columns that one aggregate of the summary holds.
+SUMMARY_COLUMNS = 16
+
+
 def numeric_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column_name, x) rows: one double value per listed column and row."""
     return (df.select(*[number(c).alias(c) for c in cols])
@@ -19,15 +24,18 @@ def numeric_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def numeric_summary(df: DataFrame, cols: Sequence[str] | None = None, spec: Roles = WEATHER) -> DataFrame:
     """(column_name, min, max, mean, stddev) per column, sorted by name; nulls and NaN ignored, at full precision.
 
-    Values are unpivoted and aggregated per column name: four small
-    aggregates instead of a 4×N-function wide aggregate.
+    One aggregate per SUMMARY_COLUMNS columns, whose single row is unpivoted;
+    rows are not multiplied.
     """
     cols = [c for c in (cols or spec.audit_numeric) if c in df.columns]
-    x = F.col("x")
-    return (numeric_long(df, cols).groupBy("column_name")
-            .agg(F.min(x).alias("min"), F.max(x).alias("max"),
-                 F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"))
-            .orderBy("column_name"))
+    parts = []
+    for k in range(0, len(cols), SUMMARY_COLUMNS):
+        own = cols[k:k + SUMMARY_COLUMNS]
+        wide = df.select(*[number(c).alias(c) for c in own]).agg(*[
+            F.struct(F.min(F.col(f"`{c}`")).alias("min"), F.max(F.col(f"`{c}`")).alias("max"), F.avg(F.col(f"`{c}`")).alias("mean"),
+                     F.stddev_samp(F.col(f"`{c}`")).alias("stddev")).alias(c) for c in own])
+        parts.append(wide.unpivot([], own, "column_name", "s").select("column_name", "s.*"))
+    return reduce(DataFrame.unionByName, parts).orderBy("column_name")
 
 
 def prob_name(p: float) -> str:

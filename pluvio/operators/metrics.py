@@ -26,32 +26,43 @@ def _div(a: Column, b: Column) -> Column:
 
 def confusion_cells(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0), label: str = "label",
                     prediction: str = "prediction") -> DataFrame:
-    """One row: ``c_i_j`` = rows with label ``labels[i]`` predicted ``labels[j]``."""
-    return pred.agg(*[F.count_if((F.col(label) == a) & (F.col(prediction) == b)).alias(f"c_{i}_{j}")
-                      for i, a in enumerate(labels) for j, b in enumerate(labels)])
+    """One row: ``c_i_j`` = rows with label ``labels[i]`` predicted ``labels[j]``.
+
+    ``l_i`` and ``p_j`` count all rows of a label or prediction, ``hits`` those
+    that agree and ``n`` all with both, so that pairs outside ``labels`` count.
+    """
+    y, z = F.col(label), F.col(prediction)
+    return pred.filter(y.isNotNull() & z.isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(y == z).alias("hits"),
+        *[F.count_if(y == a).alias(f"l_{i}") for i, a in enumerate(labels)],
+        *[F.count_if(z == b).alias(f"p_{j}") for j, b in enumerate(labels)],
+        *[F.count_if((y == a) & (z == b)).alias(f"c_{i}_{j}") for i, a in enumerate(labels) for j, b in enumerate(labels)])
 
 
 def confusion(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0), label: str = "label",
               prediction: str = "prediction") -> DataFrame:
-    """(label, prediction, n) over the full label grid, zero cells included."""
+    """(label, prediction, n) over the full label grid, zero cells included.
+
+    Pairs outside ``labels``, if there are any, are counted in a row of nulls.
+    """
     cells = confusion_cells(pred, labels, label, prediction)
     names = [f"c_{i}_{j}" for i in range(len(labels)) for j in range(len(labels))]
-    long = cells.unpivot([], names, "cell", "n")
-    idx = F.split(F.col("cell"), "_")
+    inside = sum((F.col(c) for c in names), F.lit(0))
+    long = cells.select((F.col("n") - inside).alias("outside"), *names).unpivot([], ["outside", *names], "cell", "n")
     lab = F.array(*[F.lit(float(v)) for v in labels])
-    return long.select(F.element_at(lab, idx[1].cast("int") + 1).alias("label"),
-                       F.element_at(lab, idx[2].cast("int") + 1).alias("prediction"), "n")
+
+    def named(place: int) -> Column:
+        return F.get(lab, F.get(F.split("cell", "_"), F.lit(place)).cast("int"))
+
+    return (long.filter((F.col("cell") != "outside") | (F.col("n") > 0))
+            .select(named(1).alias("label"), named(2).alias("prediction"), "n"))
 
 
 def _per_label(cells: DataFrame, labels: Sequence[float]) -> tuple[list, Column]:
-    k = len(labels)
-    c = lambda i, j: F.col(f"c_{i}_{j}")
-    total = sum((c(i, j) for i in range(k) for j in range(k)), F.lit(0))
+    total = F.col("n")
     rows = []
     for i, v in enumerate(labels):
-        n_i = sum((c(i, j) for j in range(k)), F.lit(0))
-        p_i = sum((c(j, i) for j in range(k)), F.lit(0))
-        tp = c(i, i)
+        n_i, p_i, tp = F.col(f"l_{i}"), F.col(f"p_{i}"), F.col(f"c_{i}_{i}")
         tpr = _div(tp, n_i)
         fpr = _div(p_i - tp, total - n_i)
         prec = F.coalesce(_div(tp, p_i), F.lit(0.0))
@@ -64,10 +75,8 @@ def _per_label(cells: DataFrame, labels: Sequence[float]) -> tuple[list, Column]
 def error_rate(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0), z: float = 1.96) -> DataFrame:
     """(n, accuracy, error_rate, error_std, ci_low, ci_high)."""
     cells = confusion_cells(pred, labels)
-    k = len(labels)
-    n = sum((F.col(f"c_{i}_{j}") for i in range(k) for j in range(k)), F.lit(0))
-    hit = sum((F.col(f"c_{i}_{i}") for i in range(k)), F.lit(0))
-    acc = _div(hit, n)
+    n = F.col("n")
+    acc = _div(F.col("hits"), n)
     err = 1 - acc
     std = F.sqrt(err * (1 - err) / n)
     return cells.select(n.alias("n"), (acc).alias("accuracy"), (err).alias("error_rate"),
@@ -100,9 +109,7 @@ def classification_table(pred: DataFrame, labels: Sequence[float] = (0.0, 1.0),
     """(metric, value) for E1-E3, E5-E8, E14 from a single confusion aggregate."""
     cells = confusion_cells(pred, labels)
     rows, total = _per_label(cells, labels)
-    k = len(labels)
-    hit = sum((F.col(f"c_{i}_{i}") for i in range(k)), F.lit(0))
-    acc = _div(hit, total)
+    acc = _div(F.col("hits"), total)
     err = 1 - acc
     std = F.sqrt(err * (1 - err) / total)
 

@@ -51,12 +51,13 @@ def cross_validate(df: DataFrame, est: Estimator, grid: dict, k: int = 5, parall
 
 
 def cv_table(spark: SparkSession, cvm: CrossValidatorModel, stage: int = 1) -> DataFrame:
-    """(stage, params, auc) per grid point: a tiny report of the search."""
+    """(stage, params, auc, best) per grid point: the search and, marked, what it chose (M6)."""
     rows = []
-    for pm, m in zip(cvm.getEstimatorParamMaps(), cvm.avgMetrics):
+    chosen = max(range(len(cvm.avgMetrics)), key=lambda i: cvm.avgMetrics[i])
+    for i, (pm, m) in enumerate(zip(cvm.getEstimatorParamMaps(), cvm.avgMetrics)):
         text = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-        rows.append((stage, text, float(m)))
-    return spark.createDataFrame(rows, "stage int, params string, auc double")
+        rows.append((stage, text, float(m), i == chosen))
+    return spark.createDataFrame(rows, "stage int, params string, auc double, best boolean")
 
 
 def best_params(model: Model, names: Sequence[str] = ("impurity", "maxDepth", "maxBins", "numTrees")) -> dict:
@@ -68,9 +69,10 @@ def best_params(model: Model, names: Sequence[str] = ("impurity", "maxDepth", "m
     return out
 
 
-def tune_two_stage(df: DataFrame, est: Estimator, coarse: dict, refine_bins: Sequence[int], k: int = 5,
-                   parallelism: int = 2, fold_col: str | None = None, carry: Sequence[str] = ("impurity",)):
-    """M5: coarse grid, then depth ±1 around the best × ``refine_bins``.
+def tune_two_stage(df: DataFrame, est: Estimator, coarse: dict, refine_bins: Sequence[int] = (), k: int = 5,
+                   parallelism: int = 2, fold_col: str | None = None, carry: Sequence[str] = ("impurity",),
+                   refine: dict | None = None):
+    """M5: coarse grid, then depth ±1 around the best × ``refine_bins``, or the grid ``refine`` as it stands.
 
     The best values of ``carry`` parameters from stage 1 are kept in stage 2
     (the reference drops them; pass ``carry=()`` to reproduce that).
@@ -83,7 +85,7 @@ def tune_two_stage(df: DataFrame, est: Estimator, coarse: dict, refine_bins: Seq
     for name in carry:
         if name in best and est2.hasParam(name):
             est2.set(est2.getParam(name), best[name])
-    refine = {"maxBins": list(refine_bins), "maxDepth": [max(1, depth - 1), depth, depth + 1]}
+    refine = refine or {"maxBins": list(refine_bins), "maxDepth": sorted({max(1, depth - 1), depth, depth + 1})}
     cv2 = cross_validate(df, est2, refine, k, parallelism, fold_col)
     return cv1, cv2
 

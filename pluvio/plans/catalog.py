@@ -733,6 +733,7 @@ from .evaluate import Modelling, evaluate  # noqa: E402
 TREE_COARSE = {"impurity": ["gini", "entropy"], "maxDepth": [3, 5, 7, 9]}
 TREE_REFINE_BINS = [28, 32, 36]
 FOREST_COARSE = {"maxBins": [28, 32, 36], "maxDepth": [5, 7, 9]}
+FOREST_REFINE = {"maxBins": [24, 28, 30], "maxDepth": [9, 10, 11]}
 
 
 def modelling(spark, sf) -> Modelling:
@@ -772,6 +773,14 @@ def q_tune_two_stage(spark, sf):
     return models.cv_table(spark, cv1, 1).unionByName(models.cv_table(spark, cv2, 2))
 
 
+@register("tune_forest")
+def q_tune_forest(spark, sf):
+    prepared = prep(spark, sf)
+    m = Modelling(prepared, k=3)
+    cv1, cv2 = models.tune_two_stage(m.train, models.forest(seed=2025), FOREST_COARSE, k=3, fold_col="fold", refine=FOREST_REFINE)
+    return models.cv_table(spark, cv1, 1).unionByName(models.cv_table(spark, cv2, 2))
+
+
 @register("score")
 def q_score(spark, sf):
     m = modelling(spark, sf)
