@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: The ASCII white space every contract speaks of: space and \t to \r.
 WHITE = " \t\n\x0b\f\r"
+#: Bytes of a table that may be broadcast, and parts that a key's rows are dealt to beyond that.
+BROADCAST_BYTES, SALTS = 32 << 20, 64
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -51,6 +53,22 @@ def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
     return df.repartition(*keys)
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join to each row what its group has; ``groups`` is staged, with a text ``key`` and numbers of eight bytes at most.
+
+    Within BROADCAST_BYTES, which its rows are measured against, ``groups`` is
+    broadcast; beyond that a group's rows are dealt to SALTS parts and each part
+    joins a copy of the group's row. So no task gathers a hot group, whatever the
+    table's size is taken for when the plan is made. The result is the same.
+    """
+    width = F.coalesce(F.octet_length(key), F.lit(0)) + 8 * len(groups.columns)
+    if (groups.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(groups), key, how)
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> Column:
     """The text's UTF-8 bytes, for Arrow batches without decoding."""
     return F.coalesce(df[text], F.lit("")).cast("binary")

@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import WHITE, spread, stage
+from pluvio.llm.common import WHITE, join_groups, spread, stage
 
 #: The transformed statistics, and the standard deviation that each has at least.
 STATISTICS = {"x_word": 0.05, "x_symbol": 0.1, "x_line": 0.05, "x_upper": 0.03, "x_repeat": 0.05}
@@ -124,7 +124,7 @@ def robust_estimates(stats: DataFrame) -> DataFrame:
     concentrated STEPS times on the KEPT_SHARE of rows nearest to them; the one
     with the lesser determinant stays. A step is one aggregate of moments per
     group and bin of distance, so a group of any size is summed in all tasks and
-    a cut takes whole bins. The mean is drawn to the language's own estimate by
+    a cut takes whole bins; rows meet their group's estimate where they are. The mean is drawn to the language's own estimate by
     PRIOR_ROWS rows, so that a group of few rows isn't judged by itself alone.
     """
     per = stats.select(*_X, F.explode(F.array(_group_key(F.col("lang"), F.col("source")), F.concat(F.lit("\x01"), _group_key(F.col("lang"), None)))).alias("gkey"))
@@ -138,7 +138,7 @@ def robust_estimates(stats: DataFrame) -> DataFrame:
     params = stage(middle.unionByName(_estimated(starts.withColumn("start", F.lit(1)), ["gkey", "start"])))
     keys = ["gkey", "start"]
     for _ in range(STEPS):
-        far = _distance(per.join(params.drop("n", "logdet", *(f"c_{i}_{j}" for i, j in _PAIRS)), "gkey"))
+        far = _distance(join_groups(per, params.drop("n", "logdet", *(f"c_{i}_{j}" for i, j in _PAIRS)), "gkey"))
         binned = (far.withColumn("bin", F.floor(F.log2(F.greatest(F.col("d2"), F.lit(1e-6))) * BINS))
                   .groupBy(*keys, "bin").agg(*_moments()))
         nearer = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -169,7 +169,7 @@ def judge_documents(docs: DataFrame, keep: list[str]) -> DataFrame:
     counts = document_counts(rows, list(dict.fromkeys(["lang", "source", *keep])))
     stats = stage(counts.withColumn("base_failed", base_failed()).withColumns(transformed()))
     params = stage(robust_estimates(stats.filter(~F.col("base_failed"))))
-    judged = _distance(stats.withColumn("gkey", _group_key(F.col("lang"), F.col("source"))).join(params, "gkey", "left"))
+    judged = _distance(join_groups(stats.withColumn("gkey", _group_key(F.col("lang"), F.col("source"))), params, "gkey", "left"))
     return judged.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "d2",
                          (~F.col("base_failed") & F.coalesce(F.col("d2") <= CUT, F.lit(False))).alias("kept"))
 
