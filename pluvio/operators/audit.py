@@ -184,9 +184,34 @@ def boolean_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 # Q10 / Q11 / Q12: duplicates and score
 # ---------------------------------------------------------------------------
 
-def _grouped(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct rows with their multiplicity (partial aggregation map-side)."""
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+#: Flags that one bit mask holds.
+MASK_BITS = 62
+
+
+def _masks(flags: Sequence[Column]) -> list[Column]:
+    """Bit masks of boolean columns (null is false), MASK_BITS of them in each."""
+    bits = [F.when(f, F.lit(1 << i % MASK_BITS).cast("long")).otherwise(F.lit(0).cast("long")) for i, f in enumerate(flags)]
+    return [sum(bits[k + 1:k + MASK_BITS], bits[k]) for k in range(0, len(bits), MASK_BITS)]
+
+
+def _digest(cols: Sequence[str]) -> list[Column]:
+    """128 bits that stand for a row's typed values: two 64-bit hashes of all columns with different seeds.
+
+    Hashes skip nulls, so the places of the nulls are hashed along. Two of 10^12
+    different rows agree with a probability of about 10^-15.
+    """
+    parts = [*_masks([F.isnull(c) for c in cols]), *(F.col(c) for c in cols)]
+    return [F.xxhash64(*parts).alias("__h1"), F.xxhash64(F.lit(1), *parts).alias("__h2")]
+
+
+def _grouped(df: DataFrame, cols: Sequence[str], keep: Sequence[Column] = ()) -> DataFrame:
+    """One row per different row of ``cols``: ``keep`` (functions of the row) and __n, its copies.
+
+    Rows are grouped on their digest, so sixteen bytes and ``keep`` are shuffled
+    of each, not its columns.
+    """
+    keyed = df.select(*_digest(cols), *keep)
+    return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("__n")).drop("__h1", "__h2")
 
 
 def duplicate_summary(df: DataFrame, cols: Sequence[str] | None = None, spec: Roles = WEATHER) -> DataFrame:
@@ -204,7 +229,7 @@ def top_duplicates(df: DataFrame, k: int = 5, cols: Sequence[str] | None = None,
                    spec: Roles = WEATHER) -> DataFrame:
     """The k most repeated rows: (n_copies, show...), ties by the shown values."""
     cols = _cols(df, cols, spec)
-    g = _grouped(df, cols).filter(F.col("__n") > 1)
+    g = _grouped(df, cols, [F.col(c) for c in show]).filter(F.col("__n") > 1)
     order = [F.desc("__n")] + [F.col(c).asc_nulls_first() for c in show]
     return g.orderBy(*order).limit(k).select(F.col("__n").alias("n_copies"), *show)
 
@@ -213,9 +238,9 @@ def quality_score(df: DataFrame, cols: Sequence[str] | None = None,
                   tokens: Iterable[str] = AUDIT_TOKENS, spec: Roles = WEATHER) -> DataFrame:
     """(pct_complete, pct_duplicates, score) with score = %complete × (1 − dup/total)."""
     cols = _cols(df, cols, spec)
-    g = _grouped(df, cols)
+    g = _grouped(df, cols, [all_present(cols, tuple(tokens), dict(df.dtypes)).alias("__complete")])
     agg = g.agg(F.sum("__n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"),
-                F.sum(F.when(all_present(cols, tuple(tokens), dict(df.dtypes)), F.col("__n")).otherwise(0)).alias("n_complete"))
+                F.sum(F.when(F.col("__complete"), F.col("__n")).otherwise(0)).alias("n_complete"))
     return agg.select(*_score_cols())
 
 
@@ -236,27 +261,29 @@ def audit_counters(df: DataFrame, spec: Roles = WEATHER, tokens: Iterable[str] =
                    cols: Sequence[str] | None = None) -> DataFrame:
     """One-row frame with every audit counter.
 
-    Rows are first grouped on all columns (map-side combined); all counters
-    are then sums weighted by the group size, so duplicates, completeness,
-    missing counts, range and date violations come from the same pass.
+    Rows are first grouped on a digest of all columns and a bit mask of what is
+    wrong with them; all counters are then sums weighted by the group size, so
+    duplicates, completeness, missing counts, range and date violations come
+    from the same pass.
     """
     cols = _cols(df, cols, spec)
     tokens = tuple(tokens)
-    g = _grouped(df, cols)
+    dt = dict(df.dtypes)
+    is_text = dt.get(spec.date) == "string"
+    flags = {"n_complete": all_present(cols, tokens, dt),
+             "n_invalid_dates": invalid_date(spec.date, spec.date_format, is_text)}
+    flags |= {f"miss__{c}": is_missing(c, tokens, dt[c]) for c in cols}
+    flags |= {f"range__{c}": out_of_range(c, *r) for c, r in spec.ranges.items() if c in cols}
+    masks = _masks(list(flags.values()))
+    g = _grouped(df, cols, [m.alias(f"__m{i}") for i, m in enumerate(masks)])
     n = F.col("__n")
 
-    def wsum(cond: Column, name: str) -> Column:
-        return F.sum(F.when(cond, n).otherwise(0)).alias(name)
+    def wsum(i: int) -> Column:
+        bit = F.col(f"__m{i // MASK_BITS}").bitwiseAND(F.lit(1 << i % MASK_BITS).cast("long"))
+        return F.sum(F.when(bit != 0, n).otherwise(0))
 
-    dt = dict(df.dtypes)
-    ranges = {c: r for c, r in spec.ranges.items() if c in cols}
-    is_text = dict(df.dtypes).get(spec.date) == "string"
-    aggs = [F.sum(n).alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"),
-            wsum(all_present(cols, tokens, dt), "n_complete"),
-            wsum(invalid_date(spec.date, spec.date_format, is_text), "n_invalid_dates")]
-    aggs += [wsum(is_missing(c, tokens, dt[c]), f"miss__{c}") for c in cols]
-    aggs += [wsum(out_of_range(c, *r), f"range__{c}") for c, r in ranges.items()]
-    return g.agg(*aggs)
+    return g.agg(F.sum(n).alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"),
+                 *[wsum(i).alias(name) for i, name in enumerate(flags)])
 
 
 def quality_report(df: DataFrame, spec: Roles = WEATHER, tokens: Iterable[str] = AUDIT_TOKENS,

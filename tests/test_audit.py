@@ -30,6 +30,29 @@ def test_duplicates_and_score(spark):
     assert abs(s.score - 20.0 * (1 - 1 / 5)) < 1e-9
 
 
+def test_digest_tells_rows_apart_as_grouping_does(spark):
+    nan = float("nan")
+    rows = [(None, "x", 0.0), ("x", None, 0.0), (None, None, None), ("x", "", -0.0), ("", "x", 0.0), ("x", "", 0.0), (None, "x", -0.0),
+            ("a", "bc", nan), ("ab", "c", nan), ("a", "bc", nan), ("", None, 1.0), (None, "", 1.0), (None, None, None)]
+    df = spark.createDataFrame(rows, "a string, b string, c double")
+    groups = df.groupBy("a", "b", "c").count()
+    d = audit.duplicate_summary(df, cols=["a", "b", "c"]).first()
+    assert (d.n_rows, d.n_distinct) == (len(rows), groups.count())
+    top = audit.top_duplicates(df, k=9, cols=["a", "b", "c"], show=["a", "b"]).collect()
+    want = sorted((r["count"], r.a or "", r.b or "") for r in groups.filter("count > 1").collect())
+    assert sorted((r.n_copies, r.a or "", r.b or "") for r in top) == want
+
+
+def test_counters_over_more_columns_than_a_mask_holds(spark):
+    names = [f"c{i}" for i in range(130)]
+    rows = [[None if i % 7 == r else float(i) for i in range(130)] for r in (0, 1, 1, 9)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).withColumn("d", F.lit("2024-01-01"))
+    spec = Roles(columns=tuple(names), date="d", ranges={"c3": (0.0, 2.0), "c128": (0.0, 128.0)})
+    c = audit.audit_counters(df, spec).first()
+    assert (c.n_rows, c.n_distinct, c.n_complete, c.n_invalid_dates, c.range__c3, c.range__c128) == (4, 3, 1, 0, 4, 0)
+    assert [c[f"miss__{n}"] for n in names] == [{0: 1, 1: 2}.get(i % 7, 0) for i in range(130)]
+
+
 def test_ranges_dates_domains(spark):
     df = frame(spark)
     r = {x.column_name: x.n_out for x in audit.range_violations(df, spec=SPEC).collect()}
