@@ -1,23 +1,21 @@
-"""URL filters: a stated rule list, then association rules mined by FP-growth."""
+"""URL filters: a stated rule list, then association rules mined level by level."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import stage
+from pluvio.llm.common import join_groups, numbered, stage
 
 #: (rule, verdict); a rule is a host suffix and a path prefix.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-#: Least share of labelled urls that an itemset holds, but LEAST urls, and least share of its urls that are bad.
-SUPPORT, LEAST, CONFIDENCE = 0.002, 10, 0.8
-#: Rules that are broadcast at most; a rule has at most 14 tokens.
+#: Least share of labelled urls that a rule's bad urls are (none: at any size LEAST urls do), and least share of its urls that are bad.
+SUPPORT, LEAST, CONFIDENCE = 0.0, 10, 0.8
+#: Rules that are broadcast at most.
 BROADCAST_RULES = 50_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BAD = "\x00bad"
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -60,26 +58,59 @@ def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
     """(tokens, key, confidence, support) of token combinations that mark bad urls; ``labelled``: url, bad.
 
     Every different url counts once, bad if any of its rows is, so that a page
-    that is repeated many times is one. FP-growth finds the frequent
-    combinations with and without the mark; a rule stays if it is confident and
-    no part of it is a rule at least as confident. ``key`` is its rarest token.
+    that is repeated many times is one. A rule is a combination that LEAST bad
+    urls hold at any size of the table (more if ``support`` asks for it) and that
+    is confident; it stays if no part of it is a rule at least as confident.
+    ``key`` is its rarest token.
+
+    Combinations grow by one token a level. One that as many urls hold as a part
+    of it does (labels given their host, a path's steps that come together, a
+    scheme that all urls have) is as confident as that part, and none that
+    holds a combination of bad urls alone is more confident: neither they nor
+    anything that holds them can stay, so they aren't grown. No token and no
+    length is left out.
     """
     urls = labelled.filter("url is not null").groupBy("url").agg(F.max("bad").alias("bad"))
-    items = stage(urls.select(F.when(F.col("bad"), F.concat(url_tokens(F.col("url")), F.array(F.lit(BAD))))
-                              .otherwise(url_tokens(F.col("url"))).alias("items")).filter(F.size("items") > 0))
+    items = stage(urls.select("url", F.coalesce("bad", F.lit(False)).alias("bad"), url_tokens(F.col("url")).alias("items")).filter(F.size("items") > 0))
     total = items.count()
+    empty = "tokens array<string>, key string, confidence double, support double"
     if total < LEAST:
-        return stage(items.sparkSession.createDataFrame([], "tokens array<string>, key string, confidence double, support double"))
-    model = FPGrowth(itemsCol="items", minSupport=max(support, LEAST / total), minConfidence=1.0).fit(items)
-    frequent = stage(model.freqItemsets.select(F.array_sort("items").alias("tokens"), "freq"))
-    marked = (frequent.filter(F.array_contains("tokens", BAD)).select(F.array_remove("tokens", BAD).alias("tokens"), F.col("freq").alias("hits"))
-              .filter(F.size("tokens") > 0))
-    rules = (marked.join(frequent, "tokens").withColumn("confidence", F.col("hits") / F.col("freq")).filter(F.col("confidence") >= confidence)
-             .withColumn("support", F.col("hits") / total))
-    single = frequent.filter(F.size("tokens") == 1).select(F.col("tokens")[0].alias("token"), F.col("freq").alias("n"))
-    rarest = (rules.select("tokens", F.explode("tokens").alias("token")).join(single, "token")
-              .groupBy("tokens").agg(F.min_by("token", F.struct("n", "token")).alias("key")))
-    rules = stage(rules.select("tokens", "confidence", "support").join(rarest, "tokens"))
+        return stage(items.sparkSession.createDataFrame([], empty))
+    least = max(support * total, LEAST)
+    # numbers for the tokens that enough bad urls have; an order that all combinations are written in
+    hits = F.count_if("bad").alias("hits")
+    tokens = items.select("bad", F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("freq"), hits)
+    tokens = stage(numbered(tokens.filter(F.col("hits") >= least), ["freq", "token"], "id").withColumn("key", F.concat("id", F.lit(","))))
+    held = join_groups(items.select("url", "bad", F.explode("items").alias("token")),
+                       tokens.select("token", "id"), "token")
+    # one row per url and combination: all but the last token, and that
+    held = stage(held.select("url", "bad", F.lit("").alias("front"), F.col("id").alias("last")))
+    level = tokens.select("key", "freq", "hits")
+    found = level
+    base = stage(level.filter((F.col("freq") > F.col("hits")) & (F.col("freq") < total)).select("key", "freq"))
+    while not base.isEmpty():
+        key = F.concat("front", F.col("last").cast("string"), F.lit(","))
+        held = join_groups(held.withColumn("key", key), base.select("key"), "key")
+        lasts = held.groupBy("url", "bad", "front").agg(F.sort_array(F.collect_set("last")).alias("lasts")).filter(F.size("lasts") > 1)
+        held = (lasts.select("url", "bad", "front", "lasts", F.posexplode("lasts").alias("at", "one"))
+                .select("url", "bad", F.concat("front", F.col("one").cast("string"), F.lit(",")).alias("front"),
+                        F.explode(F.slice("lasts", F.col("at") + 2, F.size("lasts"))).alias("last")))
+        held = stage(held)
+        level = (held.groupBy("front", "last").agg(F.count("*").alias("freq"), hits).filter(F.col("hits") >= least)
+                 .select(key.alias("key"), "freq", "hits"))
+        # each with its parts of one token less, all of which must have been grown and be held by more urls
+        ids = F.split(F.rtrim(F.col("key"), F.lit(",")), ",")
+        parts = F.transform(ids, lambda x, i: F.concat(F.array_join(F.filter(ids, lambda y, j: j != i), ","), F.lit(",")))
+        parts = stage(level.select(F.col("key").alias("whole"), F.col("freq").alias("n"), "hits", F.size(ids).alias("size"), F.explode(parts).alias("key")))
+        level = stage(join_groups(parts, base, "key").groupBy("whole", "n", "hits", "size").agg(F.count("*").alias("known"), F.min("freq").alias("least"))
+                      .filter("known = size and least > n").select(F.col("whole").alias("key"), F.col("n").alias("freq"), "hits"))
+        found = found.unionByName(level)
+        base = stage(level.filter("freq > hits").select("key", "freq"))
+    strong = found.withColumn("confidence", F.col("hits") / F.col("freq")).filter(F.col("confidence") >= confidence)
+    named = (strong.withColumn("id", F.explode(F.split(F.rtrim(F.col("key"), F.lit(",")), ",").cast("array<long>"))).withColumnRenamed("key", "ids")
+             .join(tokens.select("id", "token", F.col("freq").alias("n")), "id"))
+    rules = stage(named.groupBy("ids").agg(F.array_sort(F.collect_list("token")).alias("tokens"), F.min_by("token", F.struct("n", "token")).alias("key"),
+                                           F.first("confidence").alias("confidence"), (F.first("hits") / total).alias("support")).drop("ids"))
     inner = _matches(rules.select(F.col("tokens").alias("own"), F.col("confidence").alias("least"), F.col("tokens").alias("held")), rules, "own") \
         .filter((F.size("tokens") < F.size("own")) & (F.col("confidence") >= F.col("least"))).select(F.col("own").alias("tokens")).distinct()
     return stage(rules.join(inner, "tokens", "left_anti").select("tokens", "key", "confidence", "support"))

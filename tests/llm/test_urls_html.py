@@ -90,6 +90,13 @@ def test_mined_rules_are_those_of_brute_force(spark, labelled):
             assert verdicts[i] == (rule or (None, "block" if hit else "allow"))
 
 
+def test_support_is_the_same_number_of_urls_at_any_size(spark):
+    n = 8_000
+    labelled = spark.range(n).selectExpr("concat('http://h', if(id < 12, 'bad', cast(id % 900 as string)), '.net/', id) as url", "id < 12 as bad")
+    mined = {tuple(r["tokens"]) for r in urls.mine_rules(labelled).collect()}
+    assert mined == {("host=hbad.net",), ("label=hbad",)}  # 12 of 8,000 urls: below a share of 0.002
+
+
 # ---- 5 html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="home">
