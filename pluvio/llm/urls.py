@@ -40,16 +40,16 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
 
 
 def url_tokens(url: Column) -> Column:
-    """The different tokens of a url: scheme, host, its last four labels, the first three steps of the path,
-    the ending of its last step, and the names of its first four parameters."""
+    """The different tokens of a url: scheme, host, its labels, the steps of the path with their places,
+    the ending of its last step, and the names of its parameters."""
     host, path = url_parts(url)
-    labels = F.transform(F.slice(F.reverse(F.split(host, r"\.")), 1, 4), lambda x: F.concat(F.lit("label="), x))
+    labels = F.transform(F.split(host, r"\."), lambda x: F.concat(F.lit("label="), x))
     steps = F.filter(F.split(path, "/"), lambda x: x != "")
     query = F.split(F.regexp_extract(url, r"\?([^#]*)", 1), "&")
-    names = F.transform(F.slice(F.filter(query, lambda x: x != ""), 1, 4), lambda x: F.concat(F.lit("name="), F.split(x, "=")[0]))
+    names = F.transform(F.filter(query, lambda x: x != ""), lambda x: F.concat(F.lit("name="), F.split(x, "=")[0]))
     ending = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,8})$", 1)
     tokens = F.concat(F.array(F.concat(F.lit("scheme="), F.substring_index(url, "://", 1)), F.concat(F.lit("host="), host)), labels,
-                      F.transform(F.slice(steps, 1, 3), lambda x, i: F.concat(F.lit("step"), i.cast("string"), F.lit("="), x)), names,
+                      F.transform(steps, lambda x, i: F.concat(F.lit("step"), i.cast("string"), F.lit("="), x)), names,
                       F.when(ending != "", F.array(F.concat(F.lit("ending="), ending))).otherwise(F.array().cast("array<string>")))
     return F.array_distinct(F.when(F.instr(url, "://") > 0, tokens).otherwise(F.array().cast("array<string>")))
 

@@ -97,6 +97,17 @@ def test_support_is_the_same_number_of_urls_at_any_size(spark):
     assert mined == {("host=hbad.net",), ("label=hbad",)}  # 12 of 8,000 urls: below a share of 0.002
 
 
+def test_tokens_at_any_place_of_a_url(spark):
+    deep = "/".join(f"s{k}" for k in range(40))
+    made = {"a": "http://h{0}.net/a/b/c/d/{1}/{0}", "b": "http://h{0}.net/?a=1&b=2&c=3&d=4&e=5&{1}={0}", "c": "http://{1}.x{0}.b.c.d.e.net/", "d": "http://deep.net/" + deep + "/{1}/{0}"}
+    rows = [(form.format(i, mark), mark == "spam") for form in made.values() for i in range(20) for mark in ("spam", "fine")]
+    mined = urls.mine_rules(spark.createDataFrame(rows, "url string, bad boolean"))
+    assert {tuple(r["tokens"]) for r in mined.collect()} == {("step4=spam",), ("name=spam",), ("label=spam",), ("step40=spam",)}
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(pages, mined, ()).collect()}
+    assert got == {i: "block" if bad else "allow" for i, (_, bad) in enumerate(rows)}
+
+
 # ---- 5 html
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="home">
