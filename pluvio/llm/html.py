@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import numbered, stage
+from pluvio.llm.common import BROADCAST_BYTES, numbered, stage
 from pluvio.llm.urls import url_parts
 
 #: Elements that end a block of text.
@@ -32,7 +32,7 @@ ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*
 SPACE = re.compile(r"\s+")
 #: What a line is in: an element that is not prose, the page itself, its main element.
 OUT, OPEN, KEPT = 0, 1, 2
-#: Two pages that share this part of their open text are copies of one page; nothing in them is a template's.
+#: Text of which a page shares this part with another is a copy; nothing in it is a template's.
 COPY = 0.8
 
 
@@ -90,7 +90,7 @@ def page_lines(html: str) -> list[tuple[int, str]]:
                     break
         inner = state
         if state != OUT:
-            if name in ASIDE or any(MARKS.search(a or b or c) for a, b, c in ATTRIBUTE.findall(tag[3])) and name not in ("html", "body", "article", "main"):
+            if name in ASIDE or any(MARKS.search(a or b or c) for a, b, c in ATTRIBUTE.findall(tag[3])) and name not in ("html", "body"):
                 inner = OUT
             elif name in MAIN:
                 inner = KEPT
@@ -99,9 +99,6 @@ def page_lines(html: str) -> list[tuple[int, str]]:
         state = inner
         stack.append((name, state))
     close()
-    if any(kind == KEPT for kind, _ in lines):
-        # with a main element, what stands beside it is not the article
-        lines = [(OUT if kind == OPEN else kind, text) for kind, text in lines]
     return lines
 
 
@@ -148,16 +145,15 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines = [x for x in page_lines(html.as_py() or "")]
             texts.append([t for k, t in lines if k != OUT])
             states.append([k for k, _ in lines])
-            hashes.append([xxhash.xxh64_intdigest(t) - 2**63 for k, t in lines if k != KEPT])
-            sizes.append([len(t) for k, t in lines if k != KEPT])
+            hashes.append([xxhash.xxh64_intdigest(t) - 2**63 for _, t in lines])
+            sizes.append([len(t) for _, t in lines])
         out = [*(batch[c] for c in ("page_id", "url", "page", "host", "path")), pa.array(texts, pa.list_(pa.string())),
                pa.array(states, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))]
         yield pa.RecordBatch.from_arrays(out, ["page_id", "url", "page", "host", "path", "texts", "states", "hashes", "sizes"])
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, page (hash of the html), host, path, texts (blocks that may stay), states of all blocks,
-    hashes and sizes of the blocks outside a main element."""
+    """page_id, url, page (hash of the html), host, path, texts (blocks that may stay), states, hashes and sizes of all blocks."""
     host, path = url_parts(F.col("url"))
     kind = pages.schema["page_id"].dataType.simpleString()
     rows = pages.select("page_id", "url", F.xxhash64(F.coalesce("html", F.lit(""))).alias("page"), host.alias("host"), path.alias("path"), "html")
@@ -165,8 +161,23 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                                    "states array<int>, hashes array<long>, sizes array<int>")
 
 
+def lost(page: dict, shared: set[int]) -> set[int]:
+    """Of the places that a page shares with another, those whose blocks go: the open ones.
+
+    Text in main elements and beside them are judged apart: a page that shares
+    COPY of what it has of either is a copy and loses nothing. Paragraphs of main
+    elements stay, as articles of one host have some in common.
+    """
+    hit, copied = {}, True
+    for kind in (OPEN, KEPT):
+        at = {i for i, state in enumerate(page["states"]) if state == kind}
+        hit[kind] = at & shared
+        copied &= sum(page["sizes"][i] for i in hit[kind]) >= COPY * sum(page["sizes"][i] for i in at)
+    return set() if copied else hit[OPEN]
+
+
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For the two or three neighbours of a row, the places (among blocks outside a main element) that each shares."""
+    """For the two or three neighbours of a row, the places of the blocks that each loses."""
     for batch in batches:
         hosts, pages, gone = [], [], []
         for host, near in zip(batch["host"].to_pylist(), batch["near"].to_pylist()):
@@ -176,11 +187,7 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 a, b = near[k - 1], near[k]
                 both = common_lines(a["hashes"], b["hashes"])
                 for own, side, page in ((shared[k - 1], 0, a), (shared[k], 1, b)):
-                    open_at = [i for i, state in enumerate(s for s in page["states"] if s != KEPT) if state == OPEN]
-                    size = sum(page["sizes"][i] for i in open_at)
-                    hit = {p[side] for p in both} & set(open_at)
-                    if sum(page["sizes"][i] for i in hit) < COPY * size:
-                        own |= hit
+                    own |= lost(page, {p[side] for p in both})
             for page, own in zip(near, shared):
                 if own:
                     hosts.append(host)
@@ -191,7 +198,7 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_lines(parsed: DataFrame) -> DataFrame:
-    """(host, page, gone): blocks outside a main element that a page shares with the nearest of its host.
+    """(host, page, gone): places of the blocks that a page loses, as it shares them with the nearest of its host.
 
     Pages of a host stand in order of their paths and are compared in pairs, the
     last three together if their number is odd; copies of a page are one. Only
@@ -212,22 +219,21 @@ def shared_lines(parsed: DataFrame) -> DataFrame:
 def extract_text(pages: DataFrame) -> DataFrame:
     """One row per page row: page_id, url, text, n_chars.
 
-    Text of the main element where a page has one; else of the page, less the
-    blocks that it shares with the page of the nearest url. Menus, headers,
-    footers, sidebars, notices, adverts, forms and comments go by their elements
-    and marks in either. A page whose text is settled by its main element takes
-    no part in the last join. Null html is empty; pages without a host have no
-    neighbours; repeated rows stay; an empty table gives an empty result.
+    Text of the page: blocks in its main elements, and of those beside them or
+    of a page without any, what it doesn't share with the page of the nearest
+    url. Menus, headers, footers,
+    sidebars, notices, adverts, forms and comments go by their elements and
+    marks, main elements with such a mark too. Null html is empty; pages without
+    a host have no neighbours; repeated rows stay; an empty table gives an empty
+    result.
     """
     parsed = stage(parse_pages(pages))
-    is_open = F.array_contains("states", OPEN)
-    text = F.array_join("texts", "\n")
-    settled = parsed.filter(~is_open).select("page_id", "url", text.alias("text"))
     gone = stage(shared_lines(parsed))
-    # places among the blocks that may stay: of the open ones, count those before
-    outer = F.filter("states", lambda s: s != KEPT)
-    stay = F.filter(F.transform(outer, lambda s, i: F.struct(s.alias("s"), i.alias("i"))), lambda x: x["s"] == OPEN)
-    left = F.filter("texts", lambda t, i: ~F.coalesce(F.array_contains("gone", F.get(F.col("stay"), i)["i"]), F.lit(False)))
-    opened = (parsed.filter(is_open).join(gone, ["host", "page"], "left").withColumn("stay", stay)
-              .select("page_id", "url", F.array_join(left, "\n").alias("text")))
-    return settled.unionByName(opened).withColumn("n_chars", F.length("text").cast("long"))
+    size = gone.agg(F.sum(F.octet_length("host") + 8 + 4 * F.size("gone"))).first()[0] or 0
+    # places of the blocks that may stay
+    stay = F.filter(F.transform("states", lambda s, i: F.struct(s.alias("s"), i.alias("i"))), lambda x: x["s"] != OUT)
+    left = F.filter("texts", lambda t, i: ~F.array_contains("gone", F.get(F.col("stay"), i)["i"]))
+    text = F.when(F.col("gone").isNull(), F.array_join("texts", "\n")).otherwise(F.array_join(left, "\n"))
+    joined = parsed.join(F.broadcast(gone) if size <= BROADCAST_BYTES else gone, ["host", "page"], "left")
+    return joined.withColumn("stay", F.when(F.col("gone").isNotNull(), stay)).select("page_id", "url", text.alias("text")).withColumn(
+        "n_chars", F.length("text").cast("long"))

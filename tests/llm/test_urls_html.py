@@ -173,6 +173,25 @@ def test_shared_lines_go_between_nearest_pages(spark):
     assert html.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").filter("false")).count() == 0
 
 
+def test_text_beside_and_in_main_elements(spark):
+    def page(i):
+        body = "".join(f"<div>body {i} part {k} of the real text that stands in plain elements</div>" for k in range(4))
+        own = f"<p>teaser {i} goes on with a good many words of its own to tell it from the others</p>"
+        return f"<div>Welcome to all of our pages</div>{body}<article>{own}</article><article class='comment'><p>nice {i}</p></article>"
+
+    want = {i: "\n".join([f"body {i} part {k} of the real text that stands in plain elements" for k in range(4)]
+                         + [f"teaser {i} goes on with a good many words of its own to tell it from the others"]) for i in range(4)}
+    # one article with other things beside it, by two urls: a copy
+    rows = [(i, f"http://h.com/{i}", page(i)) for i in range(4)]
+    rows += [(8 + i, f"http://copy.com/{i}", f"<article><p>one article on two pages</p></article><div>seen {i} times</div>") for i in range(2)]
+    want |= {8 + i: f"one article on two pages\nseen {i} times" for i in range(2)}
+    for limit in (html.BROADCAST_BYTES, -1):
+        html.BROADCAST_BYTES, before = limit, html.BROADCAST_BYTES
+        got = {r["page_id"]: r["text"] for r in html.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        html.BROADCAST_BYTES = before
+        assert got == want
+
+
 def test_articles_of_the_test_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r["page_id"]: r["text"] for r in html.extract_text(pages).collect()}
