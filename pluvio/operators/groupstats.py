@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -19,17 +21,17 @@ def _mean(c: str, decimals: int | None):
 
 def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (),
                 median_cols: Sequence[str] = (), raw_mean_cols: Sequence[str] = (),
-                presence_cols: Sequence[str] | None = None, medians: str = "exact", accuracy: int = 10_000,
+                presence_cols: Sequence[str] | None = None, medians: str = "exact_spread", accuracy: int = 10_000,
                 mean_decimals: int | None = 9) -> DataFrame:
     """keys + ``{c}_mean`` / ``{c}_median`` per group.
 
     Rows where every ``presence_cols`` value is null are ignored (as the
     reference does before grouping); NaN is a missing value. ``raw_mean_cols``
     keep unrounded means (discrete columns are rounded to integers later).
-    ``medians`` names the way, and no size changes it: ``exact`` counts the
-    different values of a group in its aggregate, ``exact_spread`` gives the
-    same values by counts that are dealt over tasks (for few groups with very
-    many different values), and ``sketch`` is approximate with ``accuracy``.
+    ``medians`` names the way, and no size changes it: ``exact_spread`` counts
+    values dealt over tasks, however many a group has, ``exact`` gives the same
+    but holds the different values of a group in one buffer (for groups that are
+    bounded), and ``sketch`` is approximate with ``accuracy``.
     """
     if medians not in ("exact", "exact_spread", "sketch"):
         raise ValueError(f"unknown medians {medians!r}")
@@ -46,13 +48,15 @@ def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (
     stats = src.groupBy(*keys).agg(*aggs) if aggs else src.select(*keys).distinct()
     if medians != "exact_spread" or not median_cols:
         return stats
-    # Few, large groups: exact medians from value counts, pivoted to columns.
+    # Exact medians from value counts, pivoted to columns.
     long = (src.select(*keys, *[F.col(c).cast("double").alias(c) for c in median_cols])
                .unpivot(list(keys), list(median_cols), "column_name", "x"))
-    med = exact_quantiles(long, [*keys, "column_name"], "x", [0.5], small_groups=False)
+    med = exact_quantiles(long, [*keys, "column_name"], "x", [0.5])
     wide = (med.groupBy(*keys).pivot("column_name", list(median_cols)).agg(F.first(F.col("q")[0]))
-               .select(*keys, *[F.col(c).alias(f"{c}_median") for c in median_cols]))
-    return stats.join(wide, list(keys), "left")
+               .select(*[F.col(k).alias(f"__{k}") for k in keys], *[F.col(c).alias(f"{c}_median") for c in median_cols]))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    names = [*stats.columns[:len(keys) + len(mean_cols)], *[f"{c}_median" for c in median_cols], *stats.columns[len(keys) + len(mean_cols):]]
+    return stats.join(wide, same, "left").select(*names)
 
 
 def group_modes(df: DataFrame, keys: Sequence[str], cols: Sequence[str],

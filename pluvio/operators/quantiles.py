@@ -2,12 +2,12 @@
 
 For probability p over n values the result is the smallest value whose
 cumulative count reaches ceil(p·n) (the discrete percentile). Rows are
-first reduced to (group, value, count) with map-side combining; the
-cumulative counts are then computed per value *range bucket* (cut points
-from a cheap sketch over the distinct values) plus the prefix of bucket
-totals, so neither a hot group nor a high-cardinality column ever lands in
-a single window partition. Memory stays bounded, unlike a hash map of all
-values, and cost stays linear, unlike a 1e-6-accuracy GK sketch.
+first reduced to (group, value, count) with map-side combining; these are
+dealt out by ranges of group and value, as many as their number asks for, and
+the cumulative counts are computed per group and range plus the prefix of the
+group's range totals. So neither a hot group nor a high-cardinality column ever
+lands in a single window partition, memory stays bounded, unlike a hash map of
+all values, and cost stays linear, unlike a 1e-6-accuracy GK sketch.
 """
 
 from __future__ import annotations
@@ -20,33 +20,36 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
+#: Counted values in a range.
+PER_RANGE = 100_000
+
+
 def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    out: str = "q", buckets: int = 16, small_groups: bool = True) -> DataFrame:
-    """keys + ``out`` (array, one entry per probability) over non-null, non-NaN values.
+                    out: str = "q", buckets: int | None = None) -> DataFrame:
+    """keys + ``out`` (array, one entry per probability) over non-null, non-NaN values; a null key is a group.
 
-    ``small_groups`` broadcasts the per-group cut table; use it only when the
-    number of groups is bounded (columns, labels), not for data-sized keys.
+    ``buckets`` is the number of ranges of the whole table, by default one for PER_RANGE counted values.
     """
     keys = list(keys)
     v = F.col(value)
-    # The (group, value, count) table feeds three branches below; it holds
-    # distinct values only, so it is materialised once instead of re-reading
-    # the source per branch.
+    # The (group, value, count) table holds distinct values only; it is
+    # materialised once for its size, and once as dealt out.
     counts = materialize(long.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value)
                              .agg(F.count(F.lit(1)).alias("cnt")))
-    probs_cut = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = counts.groupBy(*keys).agg(F.percentile_approx(value, probs_cut, 1000).alias("cuts"),
-                                     F.sum("cnt").alias("n"))
-    cuts = F.broadcast(cuts) if small_groups else cuts
-    b = counts.join(cuts, keys).withColumn(
-        "bucket", F.size(F.filter("cuts", lambda c: c < F.col(value))))
+    ranges = buckets or max(1, -(-counts.count() // PER_RANGE))
+    b = materialize(counts.repartitionByRange(ranges, *keys, value).withColumn("bucket", F.spark_partition_id()))
     w_local = Window.partitionBy(*keys, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = b.withColumn("loc", F.sum("cnt").over(w_local))
     totals = b.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("bt"))
-    # At most `buckets` rows per group in this window.
+    # One row per range of the group in these windows.
     w_off = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "bucket", F.coalesce(F.sum("bt").over(w_off), F.lit(0)).alias("off"))
-    cum = local.join(offsets, [*keys, "bucket"]).withColumn("cum", F.col("loc") + F.col("off"))
+    offsets = totals.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("bucket").alias("__bucket"),
+                            F.coalesce(F.sum("bt").over(w_off), F.lit(0)).alias("off"),
+                            F.sum("bt").over(Window.partitionBy(*keys)).alias("n"))
+    same = F.col("bucket") == F.col("__bucket")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__{k}"))
+    cum = local.join(offsets, same).withColumn("cum", F.col("loc") + F.col("off"))
     aggs = []
     for i, p in enumerate(probs):
         rank = F.greatest(F.ceil(F.lit(float(p)) * F.col("n")), F.lit(1))

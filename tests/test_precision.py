@@ -28,6 +28,22 @@ def test_median_of_a_group_of_three_million_different_values(spark):
         assert row["x_median"] == (n - 1) / 2
 
 
+def test_median_of_few_groups_is_spread(spark, obs_small, monkeypatch):
+    from statistics import median_low
+
+    from pluvio.operators import quantiles, series
+    from pluvio.plans.prepare import normalize
+
+    monkeypatch.setattr(quantiles, "PER_RANGE", 100)
+    rows = [(k, float(i * 7919 % 1009)) for i, k in enumerate(["a", "b", None, "a"] * 250)] + [("b", 5.0)] * 900
+    got = {r["k"]: (r["x_mean"], r["x_median"]) for r in group_stats(
+        spark.createDataFrame(rows, "k string, x double"), ["k"], ["x"], ["x"]).collect()}
+    assert {k: m for k, (_, m) in got.items()} == {k: median_low([x for j, x in rows if j == k]) for k in ("a", "b", None)}
+    norm = normalize(obs_small)
+    plan = series.impute_month(norm, norm)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "percentile" not in plan
+
+
 def test_nan_is_missing_in_group_statistics(spark):
     rows = [("a", 1.0), ("a", 3.0), ("a", 5.0), ("a", math.nan), ("b", math.nan)]
     got = {r["k"]: (r["x_mean"], r["x_median"]) for r in group_stats(
