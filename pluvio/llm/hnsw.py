@@ -74,10 +74,17 @@ def _linked(unit: np.ndarray, links: int) -> np.ndarray:
     return graph
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component near 1: the cosine stays as it is to the last bit,
+    and no square overflows or vanishes."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 class Graph:
     """The vectors of a shard and, per level, its nodes and their flat neighbour array."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray):
+        vectors = _scaled(vectors)
         self.vectors, self.ids = vectors, ids  # ids: (n, k + 1), least first, -1 where a vector has fewer
         self.unit = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
         top = _levels(len(vectors))
@@ -142,6 +149,7 @@ class Graph:
 
     def search(self, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple[int, int, float]]:
         """(query, id, score): up to k of each query, by cosine in double precision, ties to the smaller id."""
+        queries = _scaled(queries)
         unit = (queries / np.linalg.norm(queries, axis=1, keepdims=True)).astype(np.float32)
         if len(self.unit) <= BEAM:
             found = np.tile(np.arange(len(self.unit)), (len(queries), 1))

@@ -1,8 +1,10 @@
 """Operators 9 and 10 against brute force and held-out accuracy."""
 
 import hashlib
+import math
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -53,6 +55,23 @@ def test_odd_vectors(spark):
     assert hnsw.nearest(table.filter("false"), table.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("dim", [2, 5])
+def test_extreme_magnitudes_and_clashing_columns(spark, dim):
+    rng = np.random.default_rng(dim)
+    plain = rng.normal(size=(60, dim))
+    scales = [1.0, 1e-170, 1e160, 5e-300, 1e300, 2.0**-1040]
+    rows = [(i, (v * scales[i % 6]).tolist(), "x", 3, [1]) for i, v in enumerate(plain)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, vector string, dim int, ids array<int>")
+    got = hnsw.nearest(table, table.filter("vec_id % 50 = 0")).collect()
+    assert len(got) == 10
+    exact = [[Fraction(x) for x in r[1]] for r in rows]
+    for r in got:
+        a, b = exact[r["query_id"]], exact[r["vec_id"]]
+        dot, square = sum(x * y for x, y in zip(a, b)), sum(x * x for x in a) * sum(y * y for y in b)
+        want = math.copysign(math.sqrt(dot * dot / square), dot)
+        assert r["score"] == pytest.approx(want, rel=1e-12, abs=1e-14)
+
+
 def test_graph_recall_and_storage():
     rng = np.random.default_rng(0)
     vectors = rng.normal(size=(6000, 32))
