@@ -45,12 +45,15 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
-    """Deal rows out by a hash of ``keys`` before work that is heavy per row.
+    """Deal rows out evenly, or by a hash of ``keys``, before work that is heavy per row.
 
     A file written as few large row groups gives few scan tasks whatever its
-    size; AQE merges the parts again where they are small.
+    size; AQE merges the parts again where they are small. Without keys no value
+    that repeats, or null, gathers rows in one part.
     """
-    return df.repartition(*keys)
+    if keys:
+        return df.repartition(*keys)
+    return df.withColumn("_deal", F.monotonically_increasing_id()).repartition("_deal").drop("_deal")
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, how: str = "inner") -> DataFrame:

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pluvio.llm.bpe import NEAR
 from pluvio.llm.common import running, spread, stage, text_bytes
 
 CAPACITY, END = 2048, 0
@@ -20,22 +24,47 @@ CAPACITY, END = 2048, 0
 ROUNDS, RATE, STEP, LONGER = 40, 4.0, 0.5, 1.02
 
 
-def encoder(ranks_file: str, pattern: str):
-    """The byte-level vocabulary as a tiktoken encoding; its ids equal those of the tokenizers file of the same name."""
-    import tiktoken
-    with open(ranks_file, "rb") as file:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+#: Runs of white space from which the fast coder's split pattern may exhaust its stack; such texts go to the library.
+LONG_RUN = 10_000
 
 
-def _pieces(capacity: int, ranks_file: str, pattern: str, with_ids: bool):
+class Encoder:
+    """Ids by the tokenizers file. Texts on which the rank file of the same vocabulary provably gives the same ids go to the
+    faster tiktoken: those without an added token of the file, without characters from NEAR on (where the two libraries'
+    tables of letters may differ), and without a run of LONG_RUN white-space characters."""
+
+    def __init__(self, tokenizer_file: str, ranks_file: str, pattern: str):
+        import tiktoken
+        from tokenizers import Tokenizer
+        with open(ranks_file, "rb") as file:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+        self.fast = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.exact = Tokenizer.from_file(tokenizer_file)
+        self.exact.no_truncation()
+        self.exact.no_padding()
+        with open(tokenizer_file, encoding="utf-8") as file:
+            added = [re.escape(t["content"]) for t in json.load(file)["added_tokens"]]
+        self.odd = re.compile("|".join([*added, f"[^\\x00-{chr(NEAR - 1)}]", f"\\s{{{LONG_RUN}}}"]))
+
+    def encode(self, text: str) -> list[int]:
+        if self.odd.search(text):
+            return self.exact.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
+
+
+@lru_cache(maxsize=2)
+def encoder(tokenizer_file: str, ranks_file: str, pattern: str) -> Encoder:
+    return Encoder(tokenizer_file, ranks_file, pattern)
+
+
+def _pieces(capacity: int, files: tuple[str, str, str], with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(ranks_file, pattern)
+        coder = encoder(*files)
         for batch in batches:
             rows: list[tuple] = []
             source: list[int] = []
             for at, text in enumerate(batch["text"]):
-                ids = np.array([*coder.encode_ordinary(text.as_py()), END], "<u4")
+                ids = np.array([*coder.encode(text.as_py()), END], "<u4")
                 head = len(ids) % capacity or capacity
                 starts = [0, *range(head, len(ids), capacity)]
                 for piece, (s, e) in enumerate(zip(starts, [*starts[1:], len(ids)])):
@@ -53,15 +82,15 @@ def _pieces(capacity: int, ranks_file: str, pattern: str, with_ids: bool):
     return run
 
 
-def pieces(docs: DataFrame, ranks_file: str, pattern: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_file: str, ranks_file: str, pattern: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of every piece of every row.
 
     A text's ids and END; only what is longer than ``capacity`` is cut, the rest
     of the division first. A null text is empty and has END alone.
     """
-    rows = spread(docs.select("doc_id", text_bytes(docs).cast("string").alias("text")), "doc_id")
+    rows = spread(docs.select("doc_id", text_bytes(docs).cast("string").alias("text")))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_pieces(capacity, ranks_file, pattern, with_ids),
+    return rows.mapInArrow(_pieces(capacity, (tokenizer_file, ranks_file, pattern), with_ids),
                            f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 
@@ -213,6 +242,6 @@ def sequences(packed: DataFrame) -> DataFrame:
     return packed.groupBy("sequence_id").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))
 
 
-def pack_documents(docs: DataFrame, ranks_file: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_file: str, ranks_file: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` of all rows, packed: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(stage(pieces(docs, ranks_file, pattern, capacity)), capacity)
+    return pack(stage(pieces(docs, tokenizer_file, ranks_file, pattern, capacity)), capacity)

@@ -12,10 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ranks_file() -> tuple[str, str]:
-    """The public vocabulary that op3 names, as ranks, and its split pattern."""
+def ranks_file() -> tuple[str, str, str]:
+    """The public tokenizer that op3 names, the same vocabulary as ranks, and its split pattern."""
     import public_tokenizers as P
-    return P.path("byte_bpe_50k.tiktoken"), P.PATTERN
+    return P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN
 
 
 def tokenizer_file() -> str:

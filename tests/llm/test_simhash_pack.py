@@ -86,10 +86,28 @@ def test_components_of_a_long_path(spark):
 @pytest.fixture(scope="module")
 def coder():
     made = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
+    made.no_truncation()
+    made.no_padding()
     return made
 
 
+def test_ids_of_odd_texts(coder):
+    own = pack.Encoder(*ranks_file())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "", "<|endo", " " * 1_200_000, "\n" * 2_000_000 + "a", "a" + "\u3000" * 50_000 + "b"]
+    texts += [f"a{chr(c)}1{chr(c)}!{chr(c)} {chr(c)}{chr(c)}  b" for c in [*range(pack.NEAR + 200), 0x558, 0x58B, 0x208F, 0xA7CE, 0x107BB, 0x1F600]]
+    for text in texts:
+        assert own.encode(text) == coder.encode(text, add_special_tokens=False).ids, text[:30]
+    assert own.encode("a <|endoftext|> b").count(50256) == 1
+
+
+def test_pieces_of_odd_texts(spark, coder):
+    texts = ["a <|endoftext|> b", " " * 1_200_000 + "x", "\n" * 1_500_000, None]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    got = pack.pack_documents(docs, *ranks_file()).collect()
+    sizes = [len(coder.encode(t or "", add_special_tokens=False).ids) + 1 for t in texts]
+    assert sum(r["length"] for r in got) == sum(sizes) and len(got) == sum(-(-n // 2048) for n in sizes)
+
+
 def test_pack_documents(documents, odd_documents, coder):
     for docs in (documents, odd_documents):
         rows = docs.select("doc_id", "text").collect()
