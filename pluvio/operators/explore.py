@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import WEATHER, Roles
 from ..functions.predicates import number, parse_date
+from .selection import quantile_frame, select_quantiles
 
 #: Columns that one aggregate of the summary holds.
 SUMMARY_COLUMNS = 16
@@ -47,7 +48,7 @@ def percentiles(df: DataFrame, cols: Sequence[str] | None = None,
                 accuracy: int | None = None, spec: Roles = WEATHER) -> DataFrame:
     """(column_name, p01, ...) per column over non-null values.
 
-    Exact by default (value counts + distributed prefix sums); with
+    Exact by default (distributed selection); with
     ``accuracy`` a ``percentile_approx`` sketch is used (the reference's
     relative error 0.01 is accuracy 100). Columns without values are skipped.
     """
@@ -57,8 +58,7 @@ def percentiles(df: DataFrame, cols: Sequence[str] | None = None,
         q = (numeric_long(df, cols).filter(F.col("x").isNotNull())
              .groupBy("column_name").agg(F.percentile_approx("x", parr, accuracy).alias("q")))
     else:
-        from .quantiles import exact_quantiles
-        q = exact_quantiles(numeric_long(df, cols), ["column_name"], "x", list(probs))
+        q = quantile_frame(df.sparkSession, select_quantiles(df, cols, list(probs)))
     return q.select("column_name", *[F.col("q")[i].alias(prob_name(p)) for i, p in enumerate(probs)])
 
 

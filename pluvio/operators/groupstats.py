@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from ..config import AUDIT_TOKENS, WEATHER, Roles
 from ..functions.predicates import any_present, is_missing
 from .quantiles import exact_quantiles
+from .selection import select_quantiles
+
+#: Rows of the largest group up to which a group's values may be held in one buffer.
+GROUP_ROWS = 100_000
 
 
 def _mean(c: str, decimals: int | None):
@@ -31,14 +35,20 @@ def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (
     ``medians`` names the way, and no size changes it: ``exact_spread`` counts
     values dealt over tasks, however many a group has, ``exact`` gives the same
     but holds the different values of a group in one buffer (for groups that are
-    bounded), and ``sketch`` is approximate with ``accuracy``.
+    bounded), ``select`` finds them by passes over all columns at once (for few
+    groups of any size, see :mod:`.selection`), ``measured`` counts the rows of
+    each group first and takes ``exact`` if none has more than GROUP_ROWS, else
+    ``exact_spread``; all these give the same. ``sketch`` is approximate with ``accuracy``.
     """
-    if medians not in ("exact", "exact_spread", "sketch"):
+    if medians not in ("exact", "exact_spread", "select", "measured", "sketch"):
         raise ValueError(f"unknown medians {medians!r}")
     presence = list(presence_cols) if presence_cols is not None else [*mean_cols, *median_cols, *raw_mean_cols]
     floats = {c for c, t in df.dtypes if t in ("double", "float")}
     df = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in dict.fromkeys([*presence, *mean_cols, *median_cols, *raw_mean_cols]) if c in floats})
     src = df.filter(any_present(presence)) if presence else df
+    if medians == "measured":
+        largest = src.groupBy(*keys).count().agg(F.max("count")).first()[0] if median_cols else 0
+        medians = "exact" if (largest or 0) <= GROUP_ROWS else "exact_spread"
     aggs = [_mean(c, mean_decimals).alias(f"{c}_mean") for c in mean_cols]
     if medians == "exact":
         aggs += [F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)").alias(f"{c}_median") for c in median_cols]
@@ -46,14 +56,23 @@ def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (
         aggs += [F.percentile_approx(F.col(c), 0.5, accuracy).alias(f"{c}_median") for c in median_cols]
     aggs += [F.avg(F.col(c)).alias(f"{c}_mean") for c in raw_mean_cols]
     stats = src.groupBy(*keys).agg(*aggs) if aggs else src.select(*keys).distinct()
-    if medians != "exact_spread" or not median_cols:
+    if medians not in ("exact_spread", "select") or not median_cols:
         return stats
+    if medians == "select":
+        found = select_quantiles(src, median_cols, [0.5], keys)
+        kinds = [f"`__{k}` {src.schema[k].dataType.simpleString()}" for k in keys] + [f"`{c}_median` double" for c in median_cols]
+        wide = F.broadcast(src.sparkSession.createDataFrame([(*key, *(own[c][0] for c in median_cols)) for key, own in found.items()], ", ".join(kinds)))
+        return _with_medians(stats, wide, keys, mean_cols, median_cols)
     # Exact medians from value counts, pivoted to columns.
     long = (src.select(*keys, *[F.col(c).cast("double").alias(c) for c in median_cols])
                .unpivot(list(keys), list(median_cols), "column_name", "x"))
     med = exact_quantiles(long, [*keys, "column_name"], "x", [0.5])
     wide = (med.groupBy(*keys).pivot("column_name", list(median_cols)).agg(F.first(F.col("q")[0]))
                .select(*[F.col(k).alias(f"__{k}") for k in keys], *[F.col(c).alias(f"{c}_median") for c in median_cols]))
+    return _with_medians(stats, wide, keys, mean_cols, median_cols)
+
+
+def _with_medians(stats: DataFrame, wide: DataFrame, keys: Sequence[str], mean_cols: Sequence[str], median_cols: Sequence[str]) -> DataFrame:
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     names = [*stats.columns[:len(keys) + len(mean_cols)], *[f"{c}_median" for c in median_cols], *stats.columns[len(keys) + len(mean_cols):]]
     return stats.join(wide, same, "left").select(*names)
@@ -88,8 +107,7 @@ def global_stats(df: DataFrame, spec: Roles = WEATHER, default_median: float = 0
     """
     num = [c for c in spec.numeric if c not in spec.discrete]
     row = df.agg(*[F.round(F.avg(F.col(c))).cast("int").alias(c) for c in spec.discrete]).first().asDict()
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in num]).unpivot([], num, "column_name", "x")
-    row.update({r["column_name"]: r["q"][0] for r in exact_quantiles(long, ["column_name"], "x", [0.5]).collect()})
+    row.update({c: q[0] for c, q in select_quantiles(df, num, [0.5]).get((), {}).items()})
     modes = group_modes(df.withColumn("__all", F.lit(1)), ["__all"], list(spec.directions), tokens=None).first()
     out = {c: (row.get(c) if row.get(c) is not None else default_median) for c in num}
     out.update({c: row[c] for c in spec.discrete if row[c] is not None})

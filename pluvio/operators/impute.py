@@ -123,7 +123,7 @@ def impute_tier1(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles
 def tier2_stats(fit: DataFrame, key: str, spec: Roles = WEATHER) -> DataFrame:
     """Per-key medians (normal and continuous) and raw discrete means."""
     return group_stats(fit, [key], median_cols=[*spec.normal, *spec.continuous], raw_mean_cols=spec.discrete,
-                       presence_cols=spec.numeric, medians="exact_spread")
+                       presence_cols=spec.numeric, medians="select")
 
 
 def tier2_modes(fit: DataFrame, key: str, spec: Roles = WEATHER) -> DataFrame:
@@ -176,7 +176,7 @@ def impute_by(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles =
     stats = group_stats(fit, keys, mean_cols=spec.normal if normal_mean else (),
                         median_cols=[*([] if normal_mean else spec.normal), *spec.continuous],
                         raw_mean_cols=spec.discrete, presence_cols=spec.numeric,
-                        medians=spec.medians, mean_decimals=spec.mean_decimals)
+                        medians="select" if broadcast_stats else spec.medians, mean_decimals=spec.mean_decimals)
     # broadcast_stats only for keys with a fixed small domain (e.g. 12 months).
     joined = df.join(F.broadcast(stats) if broadcast_stats else stats, list(keys), "left")
     out = []

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from ..config import WEATHER, Roles
 from .explore import numeric_long
-from .quantiles import exact_quantiles
+from .selection import quantile_frame, select_quantiles
 
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5,
-               accuracy: int | None = None, spec: Roles = WEATHER) -> DataFrame:
+               accuracy: int | None = None, spec: Roles = WEATHER, stored: bool = False) -> DataFrame:
     """(column_name, q1, q3, lower, upper) over non-null values; one aggregate.
 
-    Quartiles are exact (value counts + distributed prefix sums); pass
+    Quartiles are exact (distributed selection; ``stored`` as there); pass
     ``accuracy`` to use a ``percentile_approx`` sketch instead (the
     reference's relative error 0.05 is accuracy 20). A column without values
     yields no row, and is then left unchanged.
@@ -26,7 +26,7 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5,
         q = (numeric_long(df, cols).filter(F.col("x").isNotNull() & ~F.isnan("x"))
              .groupBy("column_name").agg(F.percentile_approx("x", F.array(F.lit(0.25), F.lit(0.75)), accuracy).alias("q")))
     else:
-        q = exact_quantiles(numeric_long(df, cols), ["column_name"], "x", [0.25, 0.75])
+        q = quantile_frame(df.sparkSession, select_quantiles(df, cols, [0.25, 0.75], stored=stored))
     q1, q3 = F.col("q")[0], F.col("q")[1]
     return q.select("column_name", q1.alias("q1"), q3.alias("q3"),
                     (q1 - k * (q3 - q1)).alias("lower"), (q3 + k * (q3 - q1)).alias("upper"))

@@ -13,7 +13,7 @@ from ..config import ROW_MEANS, WEATHER, Roles
 from ..functions.columns import cyclic_month, row_mean
 from .explore import numeric_long
 from .outliers import drop_outlier_rows, fences, iqr_bounds
-from .quantiles import exact_quantiles
+from .selection import select_quantiles
 
 
 def clean_final(df: DataFrame, fit: DataFrame | None = None, cloud_cols: Sequence[str] = ("Cloud9am", "Cloud3pm"),
@@ -69,9 +69,8 @@ def with_cyclic_month(df: DataFrame, col: str = "Month") -> DataFrame:
 def quantile_splits(fit: DataFrame, cols: Sequence[str], n: int = 10) -> dict:
     """Distinct inner cut points per column at probabilities 1/n … (n−1)/n (a few numbers each, none for
     a column without values), exact as with ``QuantileDiscretizer(relativeError=0)``."""
-    rows = exact_quantiles(numeric_long(fit, cols), ["column_name"], "x", [i / n for i in range(1, n)]).collect()
-    found = {r["column_name"]: sorted(set(r["q"])) for r in rows}
-    return {c: found.get(c, []) for c in cols}
+    found = select_quantiles(fit, cols, [i / n for i in range(1, n)]).get((), {})
+    return {c: sorted({x for x in found.get(c, []) if x is not None}) for c in cols}
 
 
 def quantile_bins(df: DataFrame, splits: dict, suffix: str = "_bin") -> DataFrame:

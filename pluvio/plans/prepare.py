@@ -19,7 +19,7 @@ from ..functions.predicates import canonical_binary, normalize_tokens, parse_dat
 from ..operators import impute
 from ..operators.explore import valid_label
 from ..operators.outliers import fences, iqr_bounds, null_outliers
-from ..operators.split import hash_split
+from ..operators.split import hash_split, split_label
 from ..session import materialize
 
 
@@ -77,10 +77,18 @@ class Preparation:
     def split(self) -> tuple[DataFrame, DataFrame]:
         return self._get("split", lambda: hash_split(self.normalized, ratio=self.ratio, spec=self.spec))
 
+    @property
+    def stored(self) -> tuple[DataFrame, DataFrame]:
+        """The split written once: fences are fitted on its columns, and both sides read it."""
+        def build():
+            both = materialize(split_label(self.normalized, ratio=self.ratio, spec=self.spec).withColumnRenamed("split", "__side"))
+            return tuple(both.filter(F.col("__side") == side).drop("__side") for side in ("train", "test"))
+        return self._get("stored", build)
+
     @property
     def bounds(self) -> DataFrame:
         """Tukey fences fitted on the train side only."""
-        return self._get("bounds", lambda: iqr_bounds(self.split[0], self.spec.outliers, spec=self.spec))
+        return self._get("bounds", lambda: iqr_bounds(self.stored[0], self.spec.outliers, spec=self.spec, stored=True))
 
     @property
     def fences(self) -> dict:
@@ -88,11 +96,11 @@ class Preparation:
 
     @property
     def train_clean(self) -> DataFrame:
-        return self._get("train_clean", lambda: self._mat(null_outliers(self.split[0], self.fences)))
+        return self._get("train_clean", lambda: null_outliers(self.stored[0], self.fences))
 
     @property
     def test_clean(self) -> DataFrame:
-        return self._get("test_clean", lambda: null_outliers(self.split[1], self.fences))
+        return self._get("test_clean", lambda: null_outliers(self.stored[1], self.fences))
 
     @property
     def train_tier1(self) -> DataFrame:

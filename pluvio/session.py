@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -78,13 +81,50 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage at a stage boundary so lost executors do not replay it.
 
-    Uses a reliable checkpoint in the session's checkpoint folder; when the
-    session names none, falls back to a disk-backed persist (recomputed from
-    lineage on loss) rather than inventing a machine-local folder.
+    Writes Parquet into the session's checkpoint folder and reads it back, so
+    readers prune columns and push filters down. When the session names no folder,
+    falls back to a disk-backed persist (recomputed from lineage on loss) rather
+    than inventing a machine-local one. :func:`stages` releases what was stored.
     """
     spark = df.sparkSession
-    if ensure_checkpoint_dir(spark):
-        return df.checkpoint(eager=True)
+    folder = ensure_checkpoint_dir(spark)
+    if folder:
+        path = f"{folder.rstrip('/')}/pluvio-stage-{uuid.uuid4().hex}"
+        _own(lambda: _delete(spark, path))
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _own(lambda: out.unpersist(blocking=True))
     out.count()
     return out
+
+
+#: Releases of the open scopes, innermost last.
+_SCOPES: list[list[Callable[[], object]]] = []
+
+
+def _own(release: Callable[[], object]) -> None:
+    if _SCOPES:
+        _SCOPES[-1].append(release)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def stages() -> Iterator[None]:
+    """Release every stage that is stored inside, on errors too.
+
+    For callers that use up a result before they leave: a frame built inside
+    reads the stored files, so it can't be executed afterwards. Scopes nest; each
+    owns what is stored while it is the innermost. Stages stored outside any scope
+    stay until the session's folder is cleared.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for release in reversed(_SCOPES.pop()):
+            release()
