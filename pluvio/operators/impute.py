@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..config import AUDIT_TOKENS, WEATHER, Roles
 from ..functions.predicates import is_missing, threshold_flag
 from .groupstats import group_modes, group_stats
+from .joins import left_join, measured_broadcast
 
 FLAG = "RainToday_inferred"
 
@@ -51,8 +52,7 @@ def _numeric_fill(df: DataFrame, spec: Roles) -> list[Column]:
 def impute_group_numeric(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles = WEATHER) -> DataFrame:
     """Tier-1 numeric fill by group (I1 with 3 keys, I2 with 2 keys)."""
     stats = tier1_stats(fit, keys, spec)
-    joined = df.join(stats, list(keys), "left")
-    return joined.select(*_numeric_fill(df, spec))
+    return left_join(df, [stats], keys).select(*_numeric_fill(df, spec))
 
 
 def _wind_fill(df: DataFrame, spec: Roles, suffix: str = "_mode") -> list[Column]:
@@ -63,7 +63,7 @@ def _wind_fill(df: DataFrame, spec: Roles, suffix: str = "_mode") -> list[Column
 def impute_group_mode(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles = WEATHER) -> DataFrame:
     """Wind directions: missing → group mode (I5 with 3 keys, I6 with 2 keys)."""
     modes = tier1_modes(fit, keys, spec)
-    return df.join(modes, list(keys), "left").select(*_wind_fill(df, spec))
+    return left_join(df, [modes], keys).select(*_wind_fill(df, spec))
 
 
 def raintoday_modes(fit: DataFrame, spec: Roles = WEATHER) -> DataFrame:
@@ -81,7 +81,7 @@ def impute_raintoday_train(df: DataFrame, fit: DataFrame, spec: Roles = WEATHER)
     r = spec.rain_today
     modes = raintoday_modes(fit, spec)  # one row per label value
     up = _upper_rain(df, spec)
-    joined = up.join(F.broadcast(modes), [spec.label], "left")
+    joined = up.join(measured_broadcast(modes), [spec.label], "left")
     return joined.select(*[F.when(is_missing(r, AUDIT_TOKENS, "string"), F.col(f"{r}_mode")).otherwise(F.col(r)).alias(r)
                            if c == r else F.col(c) for c in df.columns])
 
@@ -108,12 +108,12 @@ def impute_tier1(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles
     """
     stats = tier1_stats(fit, keys, spec)
     modes = tier1_modes(fit, keys, spec)
-    joined = df.join(stats, list(keys), "left").join(modes, list(keys), "left")
+    joined = left_join(df, [stats, modes], keys)
     num = joined.select(*_numeric_fill(df, spec), *[f"{c}_mode" for c in spec.directions])
     if train:
         r = spec.rain_today
         rmodes = raintoday_modes(fit, spec)
-        num = _upper_rain(num, spec).join(F.broadcast(rmodes), [spec.label], "left")
+        num = _upper_rain(num, spec).join(measured_broadcast(rmodes), [spec.label], "left")
         num = num.withColumn(r, F.when(is_missing(r, AUDIT_TOKENS, "string"), F.col(f"{r}_mode")).otherwise(F.col(r)))
     else:
         num = impute_raintoday_test(num, spec)

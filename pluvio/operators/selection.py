@@ -16,7 +16,7 @@ expressions, which is too wide to compile well.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -130,14 +130,14 @@ _SCHEMA = "kind string, g int, c int, slot int, floor double, ceiling double, a
 class _Selection:
     """Open searches over the stored columns, {(group number, column): {slot: search}}."""
 
-    def __init__(self, source: DataFrame, columns: int, probs: Sequence[float]):
+    def __init__(self, source: DataFrame, columns: int, probs: Sequence[float], rank: Callable[[float, int], int]):
         self.source, self.probs = source, probs
         self.searches: dict[tuple[int, int], dict[int, _Search]] = {}
         share = min(1.0, max(LEAST, SAMPLE // max(1, columns)) / max(1, source.count()))
         found, samples = self._run({(None, c): {(-math.inf, math.inf): share} for c in range(columns)}, {}, {}, range(columns))
         for (kind, g, c, _), (n, _) in found.items():
             if n:
-                self.searches[g, c] = {i: _Search(n, max(1, math.ceil(p * n))) for i, p in enumerate(probs)}
+                self.searches[g, c] = {i: _Search(n, max(1, rank(p, n))) for i, p in enumerate(probs)}
         self._cut(samples)
         while opened := self._open(lambda s: s.rows > FEW):
             self._narrow(opened)
@@ -196,8 +196,8 @@ class _Selection:
 
 
 def select_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (),
-                     stored: bool = False) -> dict[tuple, dict[str, list[float | None]]]:
-    """{key values: {column: [value per probability]}}: the smallest value whose rank reaches ceil(p * n) in its group.
+                     stored: bool = False, rank: Callable[[float, int], int] = lambda p, n: math.ceil(p * n)) -> dict[tuple, dict[str, list[float | None]]]:
+    """{key values: {column: [value per probability]}}: the smallest value whose rank reaches ``rank``(p, n), at least 1, among its group's n.
 
     Null and NaN are missing; a column without values has None; a null key is a
     group; an empty frame has no group (one, if there are no keys). Groups must be
@@ -222,7 +222,7 @@ def select_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         table = df.sparkSession.createDataFrame([(*key, i) for key, i in numbers.items()], ", ".join([*kinds, "_g int"]))
         same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group])
         source = source.join(F.broadcast(table), same).drop(*group, *[f"_{g}" for g in group])
-    found = _Selection(source, len(cols), probs).searches
+    found = _Selection(source, len(cols), probs, rank).searches
     return {key: {name: [found[g, c][i].value if (g, c) in found else None for i in range(len(probs))] for c, name in enumerate(cols)}
             for key, g in numbers.items()}
 

@@ -15,7 +15,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import AUDIT_TOKENS, DIRECTIONS, RESIDUAL_TOKENS, WEATHER, YES_NO
-from ..operators import audit
+from .. import session
+from ..operators import audit, histogram, joins
 from ..sources.obs import obs
 from . import sqltext as S
 
@@ -454,6 +455,98 @@ def q_hash_split(spark, sf):
     return split.split_label(p.normalized).groupBy("split", "RainTomorrow").agg(F.count(F.lit(1)).alias("n"))
 
 
+_DIGEST = "('0x' || substr(md5(CAST(h AS VARCHAR)), 1, 13))::BIGINT"
+
+
+@register("stratified_split", P.chain(f"""
+SELECT h, RainTomorrow, CASE WHEN row_number() OVER (PARTITION BY RainTomorrow ORDER BY {_DIGEST})
+    <= floor(0.8::DOUBLE * count(*) OVER (PARTITION BY RainTomorrow) + 0.5) THEN 'train' ELSE 'test' END AS split FROM norm"""))
+def q_stratified_split(spark, sf):
+    return split.exact_stratified(prep(spark, sf).normalized.select("h", "RainTomorrow"))
+
+
+_MOSTLY_NULL = "CASE WHEN substr(md5(CAST(h AS VARCHAR)), 1, 1) = '0' THEN Location END"
+
+
+@register("join_null_keys", P.chain(f"""
+, few AS (SELECT h, {_MOSTLY_NULL} AS Location, RainTomorrow FROM norm),
+means AS (SELECT Location, RainTomorrow, avg(MaxTemp) AS mean, count(*) AS n FROM norm GROUP BY ALL)
+SELECT h, Location, RainTomorrow, round(mean, 9) AS mean, n FROM few LEFT JOIN means USING (Location, RainTomorrow)"""))
+def q_join_null_keys(spark, sf):
+    """15 of 16 rows have no Location; a key of more than 1000 rows is dealt to eight parts."""
+    norm = prep(spark, sf).normalized
+    means = norm.groupBy("Location", "RainTomorrow").agg(F.avg("MaxTemp").alias("mean"), F.count(F.lit(1)).alias("n"))
+    few = norm.select("h", F.expr(_MOSTLY_NULL.replace("VARCHAR", "string")).alias("Location"), "RainTomorrow")
+    joined = joins.left_join(session.materialize(few), [means], ["Location", "RainTomorrow"], hot_rows=1000, salts=8)
+    return joined.select("h", "Location", "RainTomorrow", F.round("mean", 9).alias("mean"), "n")
+
+
+@register("semi_join_top", P.chain("""
+SELECT Location, RainTomorrow, count(*) AS n FROM norm WHERE Location IN
+    (SELECT Location FROM norm WHERE Location IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, Location LIMIT 5) GROUP BY ALL"""))
+def q_semi_join_top(spark, sf):
+    norm = prep(spark, sf).normalized
+    top = norm.filter("Location is not null").groupBy("Location").count().orderBy(F.desc("count"), "Location").limit(5)
+    return joins.semi_join_top(norm, top, "Location").groupBy("Location", "RainTomorrow").agg(F.count(F.lit(1)).alias("n"))
+
+
+#: Fixed cuts of the features that the histogram queries split on.
+TREE_CUTS = {"Humidity3pm": range(10, 100, 10), "Pressure3pm": range(990, 1030, 5), "Rainfall": (0.5, 1, 2, 5, 10, 15),
+             "Temp3pm": range(5, 35, 5), "WindGustSpeed": range(30, 80, 10)}
+
+
+def _bin_sql(c, cuts):
+    own = ", ".join(f"{float(x)}" for x in cuts)
+    return f"CASE WHEN {S.q(c)} IS NULL OR isnan({S.q(c)}) THEN 0 ELSE 1 + len(list_filter([{own}], lambda x: x <= {S.q(c)})) END AS {S.q(c)}"
+
+
+def _gain_ctes(name, src, by):
+    """Counts, gains and the best split per ``by`` (and feature, if that is in it) over ``src``."""
+    keys = ", ".join(by)
+    groups = ", ".join(b for b in by if b != "feature")
+    lead = f"{groups}, " if groups else ""
+    counts = S.union_all(f"SELECT {lead}'{c}' AS feature, {S.q(c)} AS bin, count(*) AS n, sum(y) AS p FROM {src} GROUP BY ALL" for c in TREE_CUTS)
+    over = f"PARTITION BY {lead}feature"
+    g = "(1 - ({p} * {p} + ({n} - {p}) * ({n} - {p})) / ({n} * {n}))".format
+    return [f"{name}_counts AS ({counts})",
+            f"{name}_sums AS (SELECT {lead}feature, bin, sum(n) OVER ({over} ORDER BY bin)::DOUBLE AS ln, sum(p) OVER ({over} ORDER BY bin)::DOUBLE AS lp, "
+            f"sum(n) OVER ({over})::DOUBLE AS an, sum(p) OVER ({over})::DOUBLE AS ap FROM {name}_counts)",
+            f"{name}_gains AS (SELECT *, {g(n='an', p='ap')} - ln / an * {g(n='ln', p='lp')} - (an - ln) / an * {g(n='(an - ln)', p='(ap - lp)')} AS gain "
+            f"FROM {name}_sums WHERE ln < an)",
+            f"{name}_best AS (SELECT {lead}feature, CAST(bin AS INTEGER) AS bin, an::BIGINT AS n, ap::BIGINT AS positive, gain FROM {name}_gains WHERE round(gain, 12) > 0 "
+            f"QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY round(gain, 12) DESC, feature, bin) = 1)"]
+
+
+_BINNED = [f"binned AS (SELECT 1 AS node, {P.FOLD.format(k=5)} AS fold, CASE WHEN RainTomorrow = 'Yes' THEN 1 ELSE 0 END AS y, "
+           + ", ".join(_bin_sql(c, cuts) for c, cuts in TREE_CUTS.items()) + " FROM norm)"]
+_SIDE = "CASE root.feature " + " ".join(f"WHEN '{c}' THEN b.{S.q(c)}" for c in TREE_CUTS) + " END"
+_CHILDREN = [f"children AS (SELECT b.* REPLACE (CASE WHEN {_SIDE} <= root.bin THEN 2 ELSE 3 END AS node) FROM binned b, root_best root)"]
+_SPLIT_COLS = "node, feature, bin, n, positive, round(gain, 9) AS gain"
+
+
+def _binned(spark, sf):
+    norm = prep(spark, sf).normalized
+    label = norm.select("*", F.when(F.col("RainTomorrow") == "Yes", 1).otherwise(0).alias("label"))
+    return histogram.bin_columns(split.assign_folds(label, 5), TREE_CUTS, ["fold", "label"])
+
+
+@register("tree_splits", P.chain(", " + ",\n".join([*_BINNED, *_gain_ctes("root", "binned", ["node"]), *_CHILDREN, *_gain_ctes("child", "children", ["node"])])
+                                 + f"\nSELECT {_SPLIT_COLS} FROM root_best UNION ALL SELECT {_SPLIT_COLS} FROM child_best"))
+def q_tree_splits(spark, sf):
+    found = histogram.grow(session.materialize(_binned(spark, sf)), list(TREE_CUTS))
+    return found.withColumn("gain", F.round("gain", 9))
+
+
+_TRAINS = [f"trains AS (SELECT f.fold AS of, b.* EXCLUDE (fold), CAST(f.fold AS INTEGER) AS fold FROM binned b, range(5) f(fold) WHERE b.fold <> f.fold)"]
+
+
+@register("fold_splits", P.chain(", " + ",\n".join([*_BINNED, *_TRAINS, *_gain_ctes("cv", "trains", ["fold", "feature"])])
+                                 + "\nSELECT fold, feature, bin, n, positive, round(gain, 9) AS gain FROM cv_best"))
+def q_fold_splits(spark, sf):
+    found = histogram.fold_splits(_binned(spark, sf), list(TREE_CUTS), 5)
+    return found.withColumn("gain", F.round("gain", 9))
+
+
 @register("assign_folds", P.chain(f"SELECT CAST({P.FOLD.format(k=5)} AS INTEGER) AS fold, count(*) AS n FROM train GROUP BY 1"))
 def q_assign_folds(spark, sf):
     p = prep(spark, sf)
@@ -726,7 +819,7 @@ def q_build_features(spark, sf):
 
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
-from ..operators import models  # noqa: E402
+from ..operators import model_table, models  # noqa: E402
 from .evaluate import Modelling, evaluate  # noqa: E402
 
 # Search grids of the reference scripts (fixed values).
@@ -785,8 +878,16 @@ def q_tune_forest(spark, sf):
 def q_score(spark, sf):
     m = modelling(spark, sf)
     scored = m.tree(maxDepth=7, maxBins=28).transform(m.test)
-    name = F.when(F.col("prediction") == 0.0, "Yes").when(F.col("prediction") == 1.0, "No").alias("predicted_class")
-    return scored.select("h", "prediction", name, vector_to_array("rawPrediction").alias("raw"), vector_to_array("probability").alias("probability"))
+    scored = features.label_map(scored, features.label_names(m.pipeline), "prediction", "predicted_class")
+    return scored.select("h", "prediction", "predicted_class", vector_to_array("rawPrediction").alias("raw"), vector_to_array("probability").alias("probability"))
+
+
+@register("score_by_nodes")
+def q_score_by_nodes(spark, sf):
+    """The forest's nodes as a table, the test side scored by their expressions."""
+    m = modelling(spark, sf)
+    nodes = model_table.node_table(m.forest(seed=2025), f"{session.shared_dir(spark)}/pluvio-model-{uuid4().hex}")
+    return model_table.score_by_nodes(m.test, nodes, keep=["h", "label"])
 
 
 @register("score_label")
