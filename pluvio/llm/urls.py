@@ -1,9 +1,11 @@
-"""URL filters: a stated rule list, then association rules mined level by level."""
+"""URL filters: a stated rule list, then association rules that FP-growth mines from labelled urls."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,8 @@ from pluvio.llm.common import join_groups, numbered, stage
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 #: Least share of labelled urls that a rule's bad urls are (none: at any size LEAST urls do), and least share of its urls that are bad.
 SUPPORT, LEAST, CONFIDENCE = 0.0, 10, 0.8
-#: Rules that are broadcast at most.
-BROADCAST_RULES = 50_000
+#: Rules that are broadcast at most; tokens of a bad url up to which FP-growth lists its combinations.
+BROADCAST_RULES, WIDE = 50_000, 14
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,7 +56,7 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.when(F.instr(url, "://") > 0, tokens).otherwise(F.array().cast("array<string>")))
 
 
-def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, wide: int = WIDE) -> DataFrame:
     """(tokens, key, confidence, support) of token combinations that mark bad urls; ``labelled``: url, bad.
 
     Every different url counts once, bad if any of its rows is, so that a page
@@ -63,12 +65,13 @@ def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
     is confident; it stays if no part of it is a rule at least as confident.
     ``key`` is its rarest token.
 
-    Combinations grow by one token a level. One that as many urls hold as a part
-    of it does (labels given their host, a path's steps that come together, a
-    scheme that all urls have) is as confident as that part, and none that
-    holds a combination of bad urls alone is more confident: neither they nor
-    anything that holds them can stay, so they aren't grown. No token and no
-    length is left out.
+    FP-growth mines the bad urls' tokens; the inverted index then counts the
+    combinations over all urls. Left out before are tokens of fewer bad urls and, of
+    combinations, tokens that all urls have (as confident without) and tokens of
+    bad urls alone (already rules that none holding them can better). An itemset
+    list grows with 2 ** tokens of a url, so where a bad url keeps more than
+    ``wide`` tokens the combinations are grown level by level instead, which drops
+    implied tokens on the way; the rules are the same. No token and no length is left out.
     """
     urls = labelled.filter("url is not null").groupBy("url").agg(F.max("bad").alias("bad"))
     items = stage(urls.select("url", F.coalesce("bad", F.lit(False)).alias("bad"), url_tokens(F.col("url")).alias("items")).filter(F.size("items") > 0))
@@ -77,16 +80,57 @@ def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
     if total < LEAST:
         return stage(items.sparkSession.createDataFrame([], empty))
     least = max(support * total, LEAST)
-    # numbers for the tokens that enough bad urls have; an order that all combinations are written in
+    # numbers for the tokens that enough bad urls have, the rarest first; an order that all combinations are written in
     hits = F.count_if("bad").alias("hits")
     tokens = items.select("bad", F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("freq"), hits)
     tokens = stage(numbered(tokens.filter(F.col("hits") >= least), ["freq", "token"], "id").withColumn("key", F.concat("id", F.lit(","))))
-    held = join_groups(items.select("url", "bad", F.explode("items").alias("token")),
-                       tokens.select("token", "id"), "token")
-    # one row per url and combination: all but the last token, and that
-    held = stage(held.select("url", "bad", F.lit("").alias("front"), F.col("id").alias("last")))
+    held = stage(join_groups(items.select("url", "bad", F.explode("items").alias("token")), tokens.select("token", "id", "freq", "hits"), "token"))
+    grown = (held.filter((F.col("hits") < F.col("freq")) & (F.col("freq") < total))
+             .groupBy("url", "bad").agg(F.array_sort(F.collect_list("id")).alias("ids")).filter(F.size("ids") > 1))
+    grown = stage(grown)
+    widest = grown.filter("bad").agg(F.max(F.size("ids"))).first()[0] or 0
     level = tokens.select("key", "freq", "hits")
-    found = level
+    if widest > wide:
+        found = level.unionByName(_by_levels(held.select("url", "bad", F.lit("").alias("front"), F.col("id").alias("last")), level, total, least))
+    elif widest:
+        found = level.unionByName(_by_growth(grown, least))
+    else:
+        found = level
+    strong = found.withColumn("confidence", F.col("hits") / F.col("freq")).filter(F.col("confidence") >= confidence)
+    named = (strong.withColumn("id", F.explode(F.split(F.rtrim(F.col("key"), F.lit(",")), ",").cast("array<long>"))).withColumnRenamed("key", "ids")
+             .join(tokens.select("id", "token", F.col("freq").alias("n")), "id"))
+    rules = stage(named.groupBy("ids").agg(F.array_sort(F.collect_list("token")).alias("tokens"), F.min_by("token", F.struct("n", "token")).alias("key"),
+                                           F.first("confidence").alias("confidence"), (F.first("hits") / total).alias("support")).drop("ids"))
+    inner = _matches(rules.select(F.col("tokens").alias("own"), F.col("confidence").alias("least"), F.col("tokens").alias("held")), rules, "own") \
+        .filter((F.size("tokens") < F.size("own")) & (F.col("confidence") >= F.col("least"))).select(F.col("own").alias("tokens")).distinct()
+    return stage(rules.join(inner, "tokens", "left_anti").select("tokens", "key", "confidence", "support"))
+
+
+def _by_growth(grown: DataFrame, least: float) -> DataFrame:
+    """(key, freq, hits) of the combinations of two tokens or more that ``least`` bad urls hold: FP-growth over (url, bad, ids)."""
+    bad = grown.filter("bad").select("ids")
+    n = bad.count()
+    mined = FPGrowth(itemsCol="ids", minSupport=min(1.0, (math.ceil(least) - 0.5) / n)).fit(bad).freqItemsets
+    sets = stage(mined.filter(F.size("items") > 1).select(F.array_sort("items").alias("set"), F.col("freq").alias("hits")))
+    # every url against the sets of its tokens, by a set's first, its rarest
+    index = sets.select(F.col("set")[0].alias("first"), "set", "hits")
+    if index.count() <= BROADCAST_RULES:
+        index = F.broadcast(index)
+    held = grown.select("ids", F.explode("ids").alias("first")).join(index, "first").filter(F.size(F.array_except("set", "ids")) == 0)
+    key = F.concat(F.array_join(F.col("set").cast("array<string>"), ","), F.lit(",")).alias("key")
+    return stage(held.groupBy("set", "hits").agg(F.count("*").alias("freq")).select(key, "freq", "hits"))
+
+
+def _by_levels(held: DataFrame, level: DataFrame, total: int, least: float) -> DataFrame:
+    """(key, freq, hits) of the combinations of two tokens or more, grown by one token a level over (url, bad, front, last).
+
+    One that as many urls hold as a part of it does (labels given their host, a
+    path's steps that come together) is as confident as that part, and none
+    that holds a combination of bad urls alone is more confident: neither they
+    nor anything that holds them can stay, so they aren't grown.
+    """
+    hits = F.count_if("bad").alias("hits")
+    found = level.filter("false")
     base = stage(level.filter((F.col("freq") > F.col("hits")) & (F.col("freq") < total)).select("key", "freq"))
     while not base.isEmpty():
         key = F.concat("front", F.col("last").cast("string"), F.lit(","))
@@ -106,14 +150,7 @@ def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
                       .filter("known = size and least > n").select(F.col("whole").alias("key"), F.col("n").alias("freq"), "hits"))
         found = found.unionByName(level)
         base = stage(level.filter("freq > hits").select("key", "freq"))
-    strong = found.withColumn("confidence", F.col("hits") / F.col("freq")).filter(F.col("confidence") >= confidence)
-    named = (strong.withColumn("id", F.explode(F.split(F.rtrim(F.col("key"), F.lit(",")), ",").cast("array<long>"))).withColumnRenamed("key", "ids")
-             .join(tokens.select("id", "token", F.col("freq").alias("n")), "id"))
-    rules = stage(named.groupBy("ids").agg(F.array_sort(F.collect_list("token")).alias("tokens"), F.min_by("token", F.struct("n", "token")).alias("key"),
-                                           F.first("confidence").alias("confidence"), (F.first("hits") / total).alias("support")).drop("ids"))
-    inner = _matches(rules.select(F.col("tokens").alias("own"), F.col("confidence").alias("least"), F.col("tokens").alias("held")), rules, "own") \
-        .filter((F.size("tokens") < F.size("own")) & (F.col("confidence") >= F.col("least"))).select(F.col("own").alias("tokens")).distinct()
-    return stage(rules.join(inner, "tokens", "left_anti").select("tokens", "key", "confidence", "support"))
+    return found
 
 
 def _matches(sets: DataFrame, rules: DataFrame, held: str) -> DataFrame:

@@ -59,8 +59,13 @@ def labelled():
     return rows + rows[:50] + [(None, True)]
 
 
-def test_mined_rules_are_those_of_brute_force(spark, labelled):
-    mined = urls.mine_rules(spark.createDataFrame(labelled, "url string, bad boolean"), support=0.02)
+@pytest.mark.parametrize("wide", [urls.WIDE, 1])
+def test_mined_rules_are_those_of_brute_force(spark, labelled, wide, monkeypatch):
+    used = []
+    for name in ("_by_growth", "_by_levels"):
+        monkeypatch.setattr(urls, name, lambda *a, way=getattr(urls, name), name=name: used.append(name) or way(*a))
+    mined = urls.mine_rules(spark.createDataFrame(labelled, "url string, bad boolean"), support=0.02, wide=wide)
+    assert used == ["_by_growth" if wide > 1 else "_by_levels"]
     got = {tuple(sorted(r["tokens"])): (round(r["confidence"], 9), round(r["support"], 9)) for r in mined.collect()}
     tokens = {r["url"]: r["t"] for r in spark.createDataFrame([(u,) for u, _ in labelled if u], "url string").distinct()
               .select("url", urls.url_tokens(urls.F.col("url")).alias("t")).collect()}
