@@ -555,7 +555,8 @@ def q_assign_folds(spark, sf):
 
 @register("iqr_bounds", P.chain("SELECT * FROM bounds"))
 def q_iqr_bounds(spark, sf):
-    return prep(spark, sf).bounds
+    # the fences alone: only their columns are stored
+    return iqr_bounds(prep(spark, sf).split[0], SPEC.outliers, spec=SPEC)
 
 
 @register("null_outliers", P.chain(P.select_out("trc")))
