@@ -25,18 +25,19 @@ from pluvio.llm.words import split_words, word_table
 #: Longest n-gram in words, buckets, gain of a factor e, words of a document that may be drawn, per cent drawn, seed of the draw.
 GRAMS, BUCKETS, SCALE, LEAST_WORDS, PERCENT, SEED = 2, 10_000, 1000, 20, 25, 7
 #: Words that are interned together; n-grams up to this many bytes are verified eight bytes at a time, longer ones one by one.
-CHUNK, LANES_BYTES = 200_000, 64
+CHUNK, LANES_BYTES = 50_000, 64
 _TABLE = word_table(digits=True)
 
 
 class GramTable:
     """The n-grams of a chunk of words, interned: ``slot`` per occurrence; ``owner`` (-1: free), ``key``, ``bucket`` and ``count`` per slot."""
 
-    def __init__(self, data: bytes, starts: np.ndarray, ends: np.ndarray, buckets: int = BUCKETS, hashed=xxh64_intdigest):
+    def __init__(self, data: bytes, starts: np.ndarray, ends: np.ndarray, buckets: int = BUCKETS, hashed=xxh64_intdigest, first: Sequence[bytes] = ()):
+        """``first``: the bytes of the first occurrences, where the caller has them."""
         self.data, self.starts, self.sizes = data, starts, ends - starts
         padded = np.frombuffer(data + b"\0" * 8, np.uint8)
         self.lanes = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (max(1, len(padded) - 7),), (1,))
-        spans = [data[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
+        spans = [*first, *[data[s:e] for s, e in zip(starts[len(first):].tolist(), ends[len(first):].tolist())]]
         self.hashes = np.fromiter(map(hashed, spans), np.uint64, len(spans))
         room = 1 << max(4, (2 * len(spans)).bit_length())
         self.owner = np.full(room, -1, np.int64)
@@ -44,7 +45,8 @@ class GramTable:
         self.used = np.flatnonzero(self.owner >= 0)
         self.key, self.bucket = np.zeros(room, np.uint64), np.zeros(room, np.int64)
         self.key[self.used] = self.hashes[self.owner[self.used]]
-        self.bucket[self.used] = np.fromiter((zlib.crc32(spans[i]) % buckets for i in self.owner[self.used].tolist()), np.int64, len(self.used))
+        owners = np.sort(self.owner[self.used])  # in the order in which their bytes lie
+        self.bucket[self.slot[owners]] = np.fromiter(map(zlib.crc32, map(spans.__getitem__, owners.tolist())), np.int64, len(owners)) % buckets
         self.count = np.bincount(self.slot, minlength=room)
 
     def _probe(self, mask: int) -> np.ndarray:
@@ -94,7 +96,7 @@ class Chunk:
             at = at[of[at - n + 1] == of[at]]
             begin.append(starts[at - n + 1]), end.append(ends[at]), own.append(of[at])
         self.of = np.concatenate(own)
-        self.table = GramTable(b" ".join(words), np.concatenate(begin), np.concatenate(end), buckets)
+        self.table = GramTable(b" ".join(words), np.concatenate(begin), np.concatenate(end), buckets, first=words[context:])
 
 
 def chunks(texts: Iterator[bytes], grams: int = GRAMS, buckets: int = BUCKETS, size: int = CHUNK) -> Iterator[tuple[Chunk, np.ndarray]]:
