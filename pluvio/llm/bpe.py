@@ -24,7 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import scratch_dir
+from pluvio.llm.common import scratch_dir, stage
 
 #: Words of the lexicon, and their longest length in bytes. Others are merged; the result is the same.
 WORDS, LONGEST = 60_000, 48
@@ -32,6 +32,8 @@ WORDS, LONGEST = 60_000, 48
 HELD, REMEMBERED = 300_000, 400_000
 #: Words that are encoded together, characters of a text that are split at once, bytes up to which words are merged as rows.
 CHUNK, SLICE, ROW_BYTES = 500_000, 1_000_000, 32
+#: Bins of a doubling in the histogram of word counts.
+BINS = 16
 NONE = np.iinfo(np.int64).max
 
 #: The classes of the split pattern up to NEAR; texts with characters beyond it are split by the library itself.
@@ -401,14 +403,23 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(docs: DataFrame, words: int = WORDS, text: str = "text") -> DataFrame:
-    """(word, n): the most frequent words of all texts, ties by their bytes; words over LONGEST bytes take no part.
+    """(word, n): the most frequent words of all texts, ``words`` at most; words over LONGEST bytes take no part.
 
     Words here are runs between ASCII characters that are neither letters nor
-    digits. Each task passes on its counts, so a word that is everywhere makes a row per task.
+    digits. Each task passes on its counts, so a word that is everywhere makes a
+    row per task. The least count that leaves no more than ``words`` is found on a
+    histogram of the counts, BINS to a doubling, which has no more rows at any size.
     """
     counted = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(_count_words, "word binary, n long")
     short = counted.filter(F.octet_length("word") < LONGEST).groupBy("word").agg(F.sum("n").alias("n"))
-    return short.orderBy(F.desc("n"), "word").limit(words)
+    counts = stage(short.withColumn("bin", F.floor(F.log2("n") * BINS).cast("int")))
+    cut, found = None, 0
+    for row in sorted(counts.groupBy("bin").count().collect(), reverse=True):
+        found += row["count"]
+        if found > words:
+            break
+        cut = row["bin"]
+    return counts.filter(F.col("bin") >= cut if cut is not None else F.lit(False)).select("word", "n")
 
 
 def compile_lexicon(words: Sequence[bytes], tokenizer_file: str) -> Lexicon:
