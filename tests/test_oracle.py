@@ -46,4 +46,4 @@ def test_every_query_has_oracle_or_is_a_model():
     q, o = QUERIES, ORACLE
     assert set(o) <= set(q)
     assert set(q) - set(o) <= {"fit_tree", "fit_forest", "cross_validate", "tune_two_stage", "tune_forest", "score",
-                               "score_label", "evaluate_tree", "evaluate_forest", "model_sets"}
+                               "score_label", "score_by_nodes", "evaluate_tree", "evaluate_forest", "model_sets"}
