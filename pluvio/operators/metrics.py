@@ -2,18 +2,18 @@
 
 Rates come from one confusion aggregate. ROC/PR curves come from per-score
 class counts and their cumulative sums; the cumulative sums are computed
-per score *bucket* (range buckets from a quantile sketch) plus a prefix of
-the bucket totals, so no step needs all distinct scores in one task.
+per range of the stored counts, as many ranges as the counts ask for, plus a
+prefix of the range totals, so no step needs all distinct scores in one task.
 """
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -142,25 +142,29 @@ def score_counts(pred: DataFrame, score: str = "score", label: str = "label", po
         F.count_if(is_pos).alias("pos"), F.count_if(~is_pos).alias("neg"))
 
 
-def descending_prefix(counts: DataFrame, order: str, values: Sequence[str], buckets: int = 64) -> DataFrame:
-    """Adds ``cum_<v>`` = sum of ``v`` over rows with ``order`` >= this row's (desc order).
+#: Rows of a range of the distributed prefix sum.
+PER_RANGE = 100_000
 
-    Distributed prefix sum: rows are cut into ``buckets`` score ranges (cut
-    points from an approximate quantile sketch, a few numbers), summed
-    cumulatively inside each range, and offset by the exclusive prefix of the
-    range totals (at most ``buckets`` rows). No window ever holds all scores.
+
+def descending_prefix(counts: DataFrame, order: str, values: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Adds ``cum_<v>`` = sum of ``v`` over rows with ``order`` >= this row's (desc order, nulls last).
+
+    ``counts`` is stored, so its source is read once; its rows, as many as there
+    are different scores, are dealt out by ranges of ``order``, one for PER_RANGE
+    rows (or ``buckets``), summed cumulatively inside each range and offset by the ranges before (one
+    row each). No window ever holds all scores, however many there are.
     Also adds ``tot_<v>`` (grand totals).
     """
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = counts.agg(F.percentile_approx(order, F.array(*[F.lit(p) for p in probs]), 10000).alias("q")).first()["q"]
-    cuts = sorted(set(x for x in (cuts or []) if x is not None and not math.isnan(x)))
-    # Bucket 0 holds the highest scores.
-    above = sum((F.when(F.col(order) < F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0)) if cuts else F.lit(0)
-    b = counts.withColumn("bucket", above)
-    w = Window.partitionBy("bucket").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    stored = materialize(counts)
+    ranges = buckets or -(-stored.count() // PER_RANGE)
+    if ranges > 1:
+        b = materialize(stored.repartitionByRange(ranges, F.col(order).desc_nulls_last()).withColumn("bucket", F.spark_partition_id()))
+    else:
+        b = stored.withColumn("bucket", F.lit(0))
+    w = Window.partitionBy("bucket").orderBy(F.col(order).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     local = b.select("*", *[F.sum(v).over(w).alias(f"loc_{v}") for v in values])
     totals = b.groupBy("bucket").agg(*[F.sum(v).alias(f"bt_{v}") for v in values])
-    wall = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
+    wall = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = totals.select("bucket", *[F.coalesce(F.sum(f"bt_{v}").over(wall), F.lit(0)).alias(f"off_{v}")
                                         for v in values],
                             *[F.sum(f"bt_{v}").over(Window.partitionBy()).alias(f"tot_{v}") for v in values])
