@@ -1,17 +1,18 @@
 """Pearson correlation: matrix, feature-label, collinear pairs, coverage.
 
-The matrix is one covariance of standardised columns, feature and label one aggregate of
+The matrix comes from one scan's mergeable centred products, feature and label are one aggregate of
 Spark's streaming ``corr``, instead of one job per feature.
 """
 
 from __future__ import annotations
 
 import math
-from typing import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,28 +28,84 @@ def _prepared(df: DataFrame, cols: Sequence[str], spec: Roles) -> DataFrame:
                     encode_binary(spec.label, spec.positive).alias("label_num"))
 
 
+#: Rows that partial moments are merged to before they reach the driver.
+MERGED = 16
+
+
+class Moments:
+    """Count, means and centred products of complete rows; two of them merge exactly as if their rows had come together.
+
+    A batch is centred on its first row, then on its mean, so that an offset far
+    beyond the spread (1e9 and 1) loses nothing and equal values have a deviation of exactly 0.
+    """
+
+    def __init__(self, n: int, mean: np.ndarray, products: np.ndarray):
+        self.n, self.mean, self.products = n, mean, products
+
+    @classmethod
+    def of(cls, rows: np.ndarray) -> Moments:
+        shifted = rows - rows[0]
+        centre = shifted.mean(0)
+        shifted -= centre
+        return cls(len(rows), rows[0] + centre, shifted.T @ shifted)
+
+    def merge(self, other: Moments) -> Moments:
+        n = self.n + other.n
+        apart = other.mean - self.mean
+        return Moments(n, self.mean + apart * (other.n / n), self.products + other.products + np.outer(apart, apart) * (self.n * other.n / n))
+
+
+def _merge(found: list[Moments]) -> Iterator[pa.RecordBatch]:
+    if found:
+        whole = reduce(Moments.merge, found)
+        yield pa.RecordBatch.from_arrays([pa.array([whole.n], pa.int64()), pa.array([whole.mean], pa.list_(pa.float64())),
+                                          pa.array([whole.products.ravel()], pa.list_(pa.float64()))], ["n", "mean", "products"])
+
+
+def _rows_to_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: list[Moments] = []
+    with np.errstate(all="ignore"):
+        for batch in batches:
+            if len(batch):
+                own = Moments.of(np.column_stack([batch[c].to_numpy(zero_copy_only=False) for c in batch.schema.names]))
+                found = [found[0].merge(own)] if found else [own]
+        yield from _merge(found)
+
+
+def _read_moments(rows) -> list[Moments]:
+    made = [(r["n"], np.array(r["mean"], float), np.array(r["products"], float)) for r in rows]
+    return [Moments(n, mean, products.reshape(len(mean), -1)) for n, mean, products in made]
+
+
+def _moments_to_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    with np.errstate(all="ignore"):
+        yield from _merge([m for batch in batches for m in _read_moments(batch.to_pylist())])
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None, spec: Roles = WEATHER) -> DataFrame:
     """(col_a, col_b, r) for every pair i<j over listwise-complete rows.
 
-    One aggregate gives each column's mean and deviation; the covariance of the
-    standardised columns, summed per task, is the matrix, whatever a column's
-    scale. Rows are neither multiplied nor shuffled, and one value per pair of
-    columns reaches the driver. r is null where a column is constant or only one
-    row is complete; without complete rows there are no pairs.
+    One scan: each task merges its batches' centred products (numpy on Arrow
+    batches), these are merged in MERGED tasks and then on the driver, one value per
+    pair of columns each. Rows are neither multiplied nor shuffled. r is null where
+    a column is constant, holds an infinite value or only one row is complete;
+    without complete rows there are no pairs.
     """
     cols = list(cols or spec.audit_numeric)
     complete = _prepared(df, cols, spec).na.drop(subset=cols).select(*[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(cols)])
-    xs = complete.columns
-    fit = complete.agg(F.count(F.lit(1)).alias("n"), *[F.avg(x).alias(f"m_{x}") for x in xs], *[F.stddev_samp(x).alias(f"s_{x}") for x in xs]).first()
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))] if fit["n"] else []
-    if fit["n"] > 1:
-        unit = [((F.col(x) - fit[f"m_{x}"]) / fit[f"s_{x}"] if fit[f"s_{x}"] else F.lit(0.0)).alias(x) for x in xs]
-        vectors = VectorAssembler(inputCols=xs, outputCol="v").transform(complete.select(*unit)).select("v")
-        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    else:
-        matrix = np.full((len(cols), len(cols)), np.nan)
-    found = [(cols[i], cols[j], None if math.isnan(matrix[i, j]) else float(matrix[i, j])) for i, j in pairs]
-    return df.sparkSession.createDataFrame(found, "col_a string, col_b string, r double")
+    schema = "n long, mean array<double>, products array<double>"
+    partial = complete.mapInArrow(_rows_to_moments, schema).repartition(MERGED).mapInArrow(_moments_to_moments, schema)
+    with np.errstate(all="ignore"):
+        found = _read_moments(partial.collect())
+        whole = reduce(Moments.merge, found) if found else None
+        rows = []
+        if whole:
+            spread = np.sqrt(np.diag(whole.products))
+            matrix = whole.products / spread[:, None] / spread[None, :]
+            for i, j in combinations(range(len(cols)), 2):
+                r = float(matrix[i, j])
+                rows.append((cols[i], cols[j], None if math.isnan(r) or whole.n < 2 else r))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 
 
 def corr_with_label(df: DataFrame, cols: Sequence[str] | None = None, spec: Roles = WEATHER) -> DataFrame:

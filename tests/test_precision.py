@@ -101,3 +101,21 @@ def test_tables_round_trip(spark, tmp_path):
     assert dict(read_table(spark, str(tmp_path / "csv"), "csv").dtypes)["i"] == "int"
     with pytest.raises(ValueError):
         read_table(spark, "x", "orc")
+
+
+def test_correlation_of_offset_and_merged_columns_equals_numpy(spark):
+    import numpy as np
+    from pluvio.operators.correlation import Moments, corr_matrix
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(5000, 3))
+    data = np.column_stack([base[:, 0] + 1e9, base[:, 0] * 0.5 + base[:, 1] - 1e9, base[:, 2] * 1e-6 + 3, np.full(5000, 0.1)])
+    frame = spark.createDataFrame([("Yes" if i % 2 else "No", *map(float, r)) for i, r in enumerate(data)], "RainTomorrow string, a double, b double, c double, k double")
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in corr_matrix(frame.repartition(9), ["a", "b", "c", "k"]).collect()}
+    want = np.corrcoef((data[:, :3] - data[0, :3]).T)
+    for i, j in ((0, 1), (0, 2), (1, 2)):
+        assert abs(got["abc"[i], "abc"[j]] - want[i, j]) < 1e-9
+    assert [got[x, "k"] for x in "abc"] == [None] * 3
+    one, two, both = (Moments.of(data[s]) for s in (slice(0, 7), slice(7, None), slice(None)))
+    merged = one.merge(two)
+    assert merged.n == both.n and np.allclose(merged.mean, both.mean, rtol=1e-15) and np.allclose(merged.products, both.products, rtol=1e-7, atol=1e-9)
+    assert corr_matrix(frame.filter("false"), ["a", "b"]).count() == 0
