@@ -157,10 +157,10 @@ def descending_prefix(counts: DataFrame, order: str, values: Sequence[str], buck
     """
     stored = materialize(counts)
     ranges = buckets or -(-stored.count() // PER_RANGE)
-    if ranges > 1:
-        b = materialize(stored.repartitionByRange(ranges, F.col(order).desc_nulls_last()).withColumn("bucket", F.spark_partition_id()))
-    else:
-        b = stored.withColumn("bucket", F.lit(0))
+    if ranges <= 1:  # PER_RANGE rows at most, one window
+        whole = Window.orderBy(F.col(order).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+        return stored.select("*", *[F.sum(v).over(whole).alias(f"cum_{v}") for v in values], *[F.sum(v).over(Window.partitionBy()).alias(f"tot_{v}") for v in values])
+    b = materialize(stored.repartitionByRange(ranges, F.col(order).desc_nulls_last()).withColumn("bucket", F.spark_partition_id()))
     w = Window.partitionBy("bucket").orderBy(F.col(order).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     local = b.select("*", *[F.sum(v).over(w).alias(f"loc_{v}") for v in values])
     totals = b.groupBy("bucket").agg(*[F.sum(v).alias(f"bt_{v}") for v in values])
