@@ -112,9 +112,8 @@ class Roles:
                       "WindSpeed9am", "WindSpeed3pm")
     ints: tuple = ("Cloud9am", "Cloud3pm")
     medians: str = "measured"  # of groups by keys that grow with the data: see group_stats
-    # Decimal places applied to fitted means before they fill gaps; keeps the
-    # filled values independent of floating summation order across engines.
-    mean_decimals: int | None = 9
+    # Decimal places of fitted means before they fill gaps; None keeps them in full.
+    mean_decimals: int | None = None
 
     @property
     def numeric(self) -> tuple:
@@ -129,5 +128,11 @@ class Roles:
     def with_(self, **kw) -> "Roles":
         return replace(self, **kw)
 
+    def check(self, names, needed=None) -> None:
+        """Raise for columns that are ``needed`` (default: all of the roles) and not among ``names``."""
+        absent = [c for c in dict.fromkeys(self.columns if needed is None else needed) if c not in set(names)]
+        if absent:
+            raise ValueError(f"columns that the table lacks: {', '.join(absent)}")
+
 
 WEATHER = Roles()

@@ -49,14 +49,20 @@ def invalid_date(c: str, fmt: str, is_text: bool = True) -> Column:
 # ---------------------------------------------------------------------------
 
 def table_profile(df: DataFrame) -> DataFrame:
-    """(position, column_name, type, n_rows, n_cols): schema plus one count job."""
+    """(position, column_name, type, nullable, n_rows, n_cols): schema plus one count job."""
     fields = df.schema.fields
     arr = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-                             F.lit(f.dataType.simpleString()).alias("type")) for i, f in enumerate(fields)])
+                             F.lit(f.dataType.simpleString()).alias("type"), F.lit(f.nullable).alias("nullable"))
+                    for i, f in enumerate(fields)])
     return (df.agg(F.count(F.lit(1)).alias("n_rows"))
               .select(F.inline(arr), "n_rows", F.lit(len(fields)).alias("n_cols")))
 
 
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """``n`` rows: the first by ``order`` (each task keeps its own first n), or any where none is named."""
+    return (df.orderBy(*order) if order else df).limit(n)
+
+
 # ---------------------------------------------------------------------------
 # Q1 / Q2: missing values and completeness
 # ---------------------------------------------------------------------------
@@ -135,6 +141,22 @@ def invalid_dates(df: DataFrame, col: str = "Date", fmt: str = "yyyy-MM-dd",
     return bad.orderBy(*order).limit(limit)
 
 
+def invalid_date_report(df: DataFrame, col: str = "Date", fmt: str = "yyyy-MM-dd",
+                        extra_cols: Sequence[str] = ("Location",), limit: int = 20) -> DataFrame:
+    """The examples of :func:`invalid_dates` with ``n_invalid``, how many rows there are in all.
+
+    Rows that agree in the date and the extra columns are counted on the map side;
+    the total and the examples read that one small shuffle. No row if no date is bad.
+    """
+    is_text = dict(df.dtypes)[col] == "string"
+    cols = [col, *extra_cols]
+    counts = df.filter(invalid_date(col, fmt, is_text)).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.col(c).asc_nulls_first() for c in (*extra_cols, col)]
+    first = counts.orderBy(*order).limit(limit).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least("_n", F.lit(limit)))))
+    total = counts.agg(F.sum("_n").alias("n_invalid")).scalar()
+    return first.orderBy(*order).limit(limit).select(*cols, total.alias("n_invalid"))
+
+
 def date_span(df: DataFrame, col: str = "Date", fmt: str = "yyyy-MM-dd") -> DataFrame:
     """(first_date, last_date, n_invalid) over the parsed dates."""
     is_text = dict(df.dtypes)[col] == "string"

@@ -8,8 +8,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import WEATHER, Roles
-from ..functions.predicates import number, parse_date
+from ..config import AUDIT_TOKENS, WEATHER, Roles
+from ..functions.predicates import is_missing, is_null, number, parse_date
 from .selection import quantile_frame, select_quantiles
 
 #: Columns that one aggregate of the summary holds.
@@ -79,8 +79,7 @@ def class_balance(df: DataFrame, label: str | None = None, domain: Sequence[str]
     domain = domain or spec.label_domain
     counts = df.filter(F.col(label).isin(*domain)).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy())  # at most len(domain) rows
-    return (counts.select(label, "n", F.round(F.col("n") * 100.0 / total, 6).alias("pct"))
-                  .orderBy(F.desc("n"), label))
+    return order_by_count(counts.select(label, "n", F.round(F.col("n") * 100.0 / total, 6).alias("pct")), ties=[label])
 
 
 def majority_baseline(df: DataFrame, label: str | None = None, domain: Sequence[str] | None = None,
@@ -92,7 +91,7 @@ def majority_baseline(df: DataFrame, label: str | None = None, domain: Sequence[
     agg = counts.agg(F.max_by(label, F.struct("n", label)).alias("majority_label"),
                      F.max("n").alias("n_majority"), F.sum("n").alias("n_total"))
     return agg.select("majority_label", "n_majority", "n_total",
-                      F.round(F.try_divide(F.col("n_majority").cast("double"), F.col("n_total")), 9).alias("accuracy"))
+                      F.try_divide(F.col("n_majority").cast("double"), F.col("n_total")).alias("accuracy"))
 
 
 def _values_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -104,37 +103,43 @@ def cardinality(df: DataFrame, cols: Sequence[str] | None = None, approx: bool =
                 spec: Roles = WEATHER) -> DataFrame:
     """(column_name, n_distinct) of non-null values for several columns at once."""
     cols = [c for c in (cols or spec.categorical) if c in df.columns]
-    long = _values_long(df, cols).filter(F.col("value").isNotNull())
+    long = _values_long(df, cols).filter(~is_null("value"))
     if approx:
         return long.groupBy("column_name").agg(F.approx_count_distinct("value").alias("n_distinct"))
     return (long.distinct()
                 .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct")))
 
 
-def value_counts(df: DataFrame, cols: Sequence[str], keep_null: bool = False) -> DataFrame:
+def value_counts(df: DataFrame, cols: Sequence[str], keep_null: bool = False, drop_missing: bool = False) -> DataFrame:
+    """(column_name, value, n); ``drop_missing`` leaves out nulls and the audit's missing tokens."""
     long = _values_long(df, cols)
-    if not keep_null:
-        long = long.filter(F.col("value").isNotNull())
+    if drop_missing:
+        long = long.filter(~is_missing("value", AUDIT_TOKENS, "string"))
+    elif not keep_null:
+        long = long.filter(~is_null("value"))
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def top_k(df: DataFrame, cols: Sequence[str] | None = None, k: int = 10, spec: Roles = WEATHER) -> DataFrame:
+def top_k(df: DataFrame, cols: Sequence[str] | None = None, k: int = 10, spec: Roles = WEATHER, drop_missing: bool = False) -> DataFrame:
     """(column_name, value, n, rank): the k most frequent non-null values per column.
 
+    A missing token ("NA") is a category unless ``drop_missing`` leaves such values out.
+
     The rank filter becomes a WindowGroupLimit, so each map task keeps only
     its local top k per column before the shuffle.
     """
     cols = [c for c in (cols or spec.categorical) if c in df.columns]
     w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value"))
-    return (value_counts(df, cols).withColumn("rank", F.row_number().over(w))
+    return (value_counts(df, cols, drop_missing=drop_missing).withColumn("rank", F.row_number().over(w))
                                   .filter(F.col("rank") <= k))
 
 
 def rare_categories(df: DataFrame, cols: Sequence[str] | None = None, threshold: int = 50,
-                    spec: Roles = WEATHER) -> DataFrame:
-    """(column_name, value, n) for values (null included) seen fewer than ``threshold`` times."""
+                    spec: Roles = WEATHER, drop_missing: bool = False) -> DataFrame:
+    """(column_name, value, n) for values seen fewer than ``threshold`` times; null and missing
+    tokens are values too unless ``drop_missing`` leaves them out."""
     cols = [c for c in (cols or spec.categorical) if c in df.columns]
-    return value_counts(df, cols, keep_null=True).filter(F.col("n") < threshold)
+    return value_counts(df, cols, keep_null=True, drop_missing=drop_missing).filter(F.col("n") < threshold)
 
 
 def with_month(df: DataFrame, spec: Roles = WEATHER) -> DataFrame:
@@ -148,9 +153,8 @@ def rate_by(df: DataFrame, keys: Sequence[str], label: str | None = None, positi
     label = label or spec.label
     positive = positive or spec.positive
     v = valid_label(df, spec)
-    return (v.groupBy(*keys).agg(F.round(F.avg(F.when(F.col(label) == positive, 1).otherwise(0)), 9).alias("rate"),
-                                 F.count(F.lit(1)).alias("n"))
-             .orderBy(*keys))
+    rates = v.groupBy(*keys).agg(F.avg(F.when(F.col(label) == positive, 1).otherwise(0)).alias("rate"), F.count(F.lit(1)).alias("n"))
+    return order_by_key(rates, keys)
 
 
 def rate_by_top(df: DataFrame, key: str | None = None, k: int = 10, label: str | None = None,
@@ -158,21 +162,27 @@ def rate_by_top(df: DataFrame, key: str | None = None, k: int = 10, label: str |
     """(key, rate, n) for the k most frequent keys: one grouping, then top-k."""
     key = key or spec.location
     per = rate_by(df, [key], label, positive, spec)
-    return per.orderBy(F.desc("n"), F.asc(key)).limit(k)
+    return order_by_count(per, ties=[key]).limit(k)
 
 
 # Sorts, limits and set operations (L1-L3, U1-U4) --------------------------
 
 def order_by_count(df: DataFrame, count_col: str = "n", ties: Sequence[str] = ()) -> DataFrame:
+    """Largest counts first (L1); ``ties`` decide among equal ones."""
     return df.orderBy(F.desc(count_col), *ties)
 
 
+def order_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ascending keys, nulls first (L2)."""
+    return df.orderBy(*keys)
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
-    return df.select(col).where(F.col(col).isNotNull()).distinct()
+    return df.select(col).where(~is_null(col)).distinct()
 
 
 def outside_domain(df: DataFrame, col: str, domain: Sequence[str]) -> DataFrame:

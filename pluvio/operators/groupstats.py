@@ -26,12 +26,13 @@ def _mean(c: str, decimals: int | None):
 def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (),
                 median_cols: Sequence[str] = (), raw_mean_cols: Sequence[str] = (),
                 presence_cols: Sequence[str] | None = None, medians: str = "exact_spread", accuracy: int = 10_000,
-                mean_decimals: int | None = 9) -> DataFrame:
+                mean_decimals: int | None = None) -> DataFrame:
     """keys + ``{c}_mean`` / ``{c}_median`` per group.
 
     Rows where every ``presence_cols`` value is null are ignored (as the
     reference does before grouping); NaN is a missing value. ``raw_mean_cols``
-    keep unrounded means (discrete columns are rounded to integers later).
+    keep unrounded means (discrete columns are rounded to integers later); a column
+    may be in both ``mean_cols`` and ``median_cols``. ``mean_decimals`` rounds the former's means.
     ``medians`` names the way, and no size changes it: ``exact_spread`` counts
     values dealt over tasks, however many a group has, ``exact`` gives the same
     but holds the different values of a group in one buffer (for groups that are

@@ -31,6 +31,16 @@ def tier1_stats(fit: DataFrame, keys: Sequence[str], spec: Roles = WEATHER) -> D
                        medians=spec.medians, mean_decimals=spec.mean_decimals)
 
 
+def wide_stats(fit: DataFrame, keys: Sequence[str], spec: Roles = WEATHER) -> DataFrame:
+    """Mean and median of every continuous column, mean of the discrete ones (G1, G2 in full).
+
+    The tiers read one of the two per column and take :func:`tier1_stats`.
+    """
+    both = [c for c in spec.numeric if c not in spec.discrete]
+    return group_stats(fit, keys, mean_cols=both, median_cols=both, raw_mean_cols=spec.discrete, presence_cols=spec.numeric,
+                       medians=spec.medians, mean_decimals=spec.mean_decimals)
+
+
 def tier1_modes(fit: DataFrame, keys: Sequence[str], spec: Roles = WEATHER) -> DataFrame:
     return group_modes(fit, keys, spec.directions, tokens=AUDIT_TOKENS)
 
@@ -134,8 +144,8 @@ def impute_secondary(df: DataFrame, fit: DataFrame, key: str | None = None, spec
                      infer_flag: bool = False) -> DataFrame:
     """Tier 2: residual nulls by label (I7) or by the inferred rain flag (I8).
 
-    The statistics have one row per key value (labels or Yes/No), a proven
-    tiny size, so they are broadcast.
+    The statistics have one row per key value (labels or Yes/No) and are broadcast:
+    their medians by selection raise an error beyond 1,000 groups, whatever key the roles name.
     """
     if infer_flag:
         key = FLAG
@@ -177,7 +187,7 @@ def impute_by(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles =
                         median_cols=[*([] if normal_mean else spec.normal), *spec.continuous],
                         raw_mean_cols=spec.discrete, presence_cols=spec.numeric,
                         medians="select" if broadcast_stats else spec.medians, mean_decimals=spec.mean_decimals)
-    # broadcast_stats only for keys with a fixed small domain (e.g. 12 months).
+    # broadcast_stats only for few groups (e.g. 12 months): medians by selection raise an error beyond 1,000.
     joined = df.join(F.broadcast(stats) if broadcast_stats else stats, list(keys), "left")
     out = []
     for c in df.columns:

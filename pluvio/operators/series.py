@@ -30,7 +30,7 @@ def impute_month(df: DataFrame, fit: DataFrame, spec: Roles = WEATHER) -> DataFr
 
 
 def daily_series(df: DataFrame, cols: Sequence[str] | None = None, spec: Roles = WEATHER,
-                 decimals: int | None = 9) -> DataFrame:
+                 decimals: int | None = None) -> DataFrame:
     """One row per (location, date): numeric columns averaged (rows with a date only)."""
     cols = list(cols or spec.numeric)
     m = lambda c: F.round(F.avg(c), decimals) if decimals is not None else F.avg(c)
@@ -70,7 +70,7 @@ def impute_location_month(daily: DataFrame, fit: DataFrame | None = None, spec:
 # ---------------------------------------------------------------------------
 
 def direction_vectors(df: DataFrame, cols: Sequence[str] | None = None, spec: Roles = WEATHER,
-                      decimals: int | None = 9) -> DataFrame:
+                      decimals: int | None = None) -> DataFrame:
     """Adds ``{c}_ux`` = sin θ and ``{c}_uy`` = cos θ (θ clockwise from north)."""
     out = {}
     for c in cols or spec.directions:

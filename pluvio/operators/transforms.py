@@ -6,11 +6,12 @@ import math
 from typing import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ROW_MEANS, WEATHER, Roles
 from ..functions.columns import cyclic_month, row_mean
+from ..session import materialize
 from .explore import numeric_long
 from .outliers import drop_outlier_rows, fences, iqr_bounds
 from .selection import select_quantiles
@@ -31,7 +32,7 @@ def retention(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """(stage, n_rows, n_dropped, pct_kept) per named stage vs the previous one.
 
     Each stage is counted by its own aggregate; the small per-stage rows are
-    then ordered by stage position.
+    then ordered by stage position. :class:`Passage` counts stages as they are written.
     """
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(i).alias("pos"), F.lit(name).alias("stage"), "n_rows")
              for i, (name, df) in enumerate(stages)]
@@ -45,6 +46,31 @@ def retention(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
                       F.round(F.try_divide(F.col("n_rows") * 100.0, prev), 6).alias("pct_kept"))
 
 
+class Passage:
+    """Retention counted while stages are written (R8), without a scan of their own.
+
+    ``write(name, df)`` stores the stage and observes its rows on the way; ``table()``
+    compares each with the one before, as :func:`retention` does. The counter is the
+    last step before the files, so only tasks whose files count add to it, even where
+    an executor is lost and its tasks run again.
+    """
+
+    def __init__(self) -> None:
+        self.stages: list[tuple[str, Observation]] = []
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        seen = Observation(f"rows of {name}")
+        self.stages.append((name, seen))
+        return materialize(df.observe(seen, F.count(F.lit(1)).alias("n_rows")))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(stage, n_rows, n_dropped, pct_kept), one row per stage written."""
+        counts = [(name, seen.get["n_rows"]) for name, seen in self.stages]
+        rows = [(name, n, was - n if k else 0, round(n * 100.0 / was, 6) if k and was else None)
+                for k, ((name, n), (_, was)) in enumerate(zip(counts, [(None, 0), *counts]))]
+        return spark.createDataFrame(rows, "stage string, n_rows long, n_dropped long, pct_kept double")
+
+
 def unclassified_rate(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
     """(n_rows, n_unclassified, pct): rows with a null feature cannot be scored."""
     bad = F.lit(False)

@@ -17,19 +17,24 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import AUDIT_TOKENS, DIRECTIONS, RESIDUAL_TOKENS, WEATHER, YES_NO
 from .. import session
 from ..operators import audit, histogram, joins
+from ..functions.predicates import complete_rows
 from ..sources.obs import obs
 from . import sqltext as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-SPEC = WEATHER
+#: Means are rounded before they fill gaps, so that no summation order shows in the compared values.
+SPEC = WEATHER.with_(mean_decimals=9)
 COLS = list(SPEC.columns)
+_NORMAL, _CONT, _DISC = list(SPEC.normal), list(SPEC.continuous), list(SPEC.discrete)
+_NUMERIC = list(SPEC.numeric)
+_ANY_NUM = "(" + " OR ".join(f"{S.q(c)} IS NOT NULL" for c in _NUMERIC) + ")"
 
 
 #: Queries whose doubles are rounded to 9 decimals here, as their SQL does; operators return full precision.
 ROUNDED = frozenset("""numeric_summary corr_matrix corr_with_label collinear_pairs error_interval rates_by_label weighted_rates f1
-    roc_curve auc_roc auc_roc_hard auc_pr evaluate_tree evaluate_forest row_means daily_means cyclic_month standardize build_features""".split())
+    roc_curve auc_roc auc_roc_hard auc_pr evaluate_tree evaluate_forest majority_baseline rate_by_month rate_by_top_location direction_to_vector row_means daily_means cyclic_month standardize build_features feature_vector model_set_elements""".split())
 
 
 def rounded(df: DataFrame, decimals: int = 9) -> DataFrame:
@@ -117,6 +122,14 @@ def q_invalid_dates(spark, sf):
     return audit.invalid_dates(obs(spark, sf))
 
 
+@register("invalid_date_report", S.with_obs(f"""
+SELECT Date, Location, (SELECT count(*) FROM obs WHERE {_BAD_DATE}) AS n_invalid FROM obs WHERE {_BAD_DATE}
+ORDER BY Location ASC NULLS FIRST, Date ASC NULLS FIRST LIMIT 20
+"""))
+def q_invalid_date_report(spark, sf):
+    return audit.invalid_date_report(obs(spark, sf))
+
+
 _DATE_SPAN_SQL = S.with_obs(f"""
 SELECT min(CAST(try_strptime(Date, '%Y-%m-%d') AS DATE)) AS first_date,
        max(CAST(try_strptime(Date, '%Y-%m-%d') AS DATE)) AS last_date,
@@ -346,6 +359,23 @@ def q_rare_categories(spark, sf):
     return explore.rare_categories(obs(spark, sf))
 
 
+_NO_TOKENS = f"vc AS (SELECT * FROM ({_VC}) v WHERE NOT {S.missing('value')})"
+
+
+@register("top_k_present", S.with_obs("""
+SELECT * FROM (SELECT column_name, value, n,
+                      CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value ASC) AS INTEGER) AS rank
+               FROM vc) WHERE rank <= 10
+""", _NO_TOKENS))
+def q_top_k_present(spark, sf):
+    return explore.top_k(obs(spark, sf), drop_missing=True)
+
+
+@register("rare_present", S.with_obs("SELECT column_name, value, n FROM vc WHERE n < 50", _NO_TOKENS))
+def q_rare_present(spark, sf):
+    return explore.rare_categories(obs(spark, sf), drop_missing=True)
+
+
 _MONTH = "CAST(month(CAST(try_strptime(Date, '%Y-%m-%d') AS DATE)) AS INTEGER)"
 _RATE_MONTH_SQL = S.with_obs(f"""
 SELECT {_MONTH} AS Month, round(avg(CASE WHEN RainTomorrow = 'Yes' THEN 1 ELSE 0 END), 9) AS rate, count(*) AS n
@@ -444,7 +474,7 @@ from .prepare import Preparation  # noqa: E402
 
 def prep(spark, sf, materialize: bool = True) -> Preparation:
     """The cascade for one query; ``materialize=False`` where each stage is read once."""
-    return Preparation(obs(spark, sf), materialize_stages=materialize)
+    return Preparation(obs(spark, sf), SPEC, materialize_stages=materialize)
 
 
 @register("hash_split", P.chain(f"""
@@ -567,13 +597,32 @@ def q_null_outliers(spark, sf):
 @register("group_stats_label", P.chain("SELECT * FROM st3"))
 def q_group_stats_label(spark, sf):
     p = prep(spark, sf, materialize=False)
-    return impute.tier1_stats(p.train_clean, p.keys3)
+    return impute.tier1_stats(p.train_clean, p.keys3, SPEC)
 
 
 @register("group_stats", P.chain("SELECT * FROM st2"))
 def q_group_stats(spark, sf):
     p = prep(spark, sf, materialize=False)
-    return impute.tier1_stats(p.train_clean, p.keys2)
+    return impute.tier1_stats(p.train_clean, p.keys2, SPEC)
+
+
+def _wide_sql(keys):
+    both, k = _NORMAL + _CONT, ", ".join(S.q(x) for x in keys)
+    aggs = [f"round(avg({S.q(c)}), 9) AS {S.q(c + '_mean')}, quantile_disc({S.q(c)}, 0.5) AS {S.q(c + '_median')}" for c in both]
+    aggs += [f"avg({S.q(c)}) AS {S.q(c + '_mean')}" for c in _DISC]
+    return P.chain(f"SELECT {k}, {', '.join(aggs)} FROM trc WHERE {_ANY_NUM} GROUP BY {k}")
+
+
+@register("group_stats_wide_label", _wide_sql(P.K3))
+def q_group_stats_wide_label(spark, sf):
+    p = prep(spark, sf, materialize=False)
+    return impute.wide_stats(p.train_clean, p.keys3, SPEC)
+
+
+@register("group_stats_wide", _wide_sql(P.K2))
+def q_group_stats_wide(spark, sf):
+    p = prep(spark, sf, materialize=False)
+    return impute.wide_stats(p.train_clean, p.keys2, SPEC)
 
 
 @register("group_modes", P.chain("SELECT * FROM md3"))
@@ -585,13 +634,13 @@ def q_group_modes(spark, sf):
 @register("impute_tier1_train", P.chain(P.select_out("trn")))
 def q_impute_tier1_train(spark, sf):
     p = prep(spark, sf)
-    return impute.impute_group_numeric(p.train_clean, p.train_clean, p.keys3)
+    return impute.impute_group_numeric(p.train_clean, p.train_clean, p.keys3, SPEC)
 
 
 @register("impute_tier1_test", P.chain(P.select_out("ten")))
 def q_impute_tier1_test(spark, sf):
     p = prep(spark, sf)
-    return impute.impute_group_numeric(p.test_clean, p.train_clean, p.keys2)
+    return impute.impute_group_numeric(p.test_clean, p.train_clean, p.keys2, SPEC)
 
 
 _RT_TRAIN_SQL = P.chain(f"""
@@ -609,7 +658,7 @@ def q_impute_raintoday_train(spark, sf):
 @register("impute_raintoday_test", P.chain(P.select_out("ter")))
 def q_impute_raintoday_test(spark, sf):
     p = prep(spark, sf)
-    return impute.impute_raintoday_test(impute.impute_group_numeric(p.test_clean, p.train_clean, p.keys2))
+    return impute.impute_raintoday_test(impute.impute_group_numeric(p.test_clean, p.train_clean, p.keys2, SPEC))
 
 
 @register("impute_wind_train", P.chain(f"SELECT {', '.join(P._wind_fill(c) for c in P.OUT)} FROM trc LEFT JOIN md3 {P._using(P.K3)}"))
@@ -793,6 +842,11 @@ def q_row_means(spark, sf):
     return features.with_row_means(prep(spark, sf).normalized).select("h", *ROW_MEANS)
 
 
+@register("complete_rows", P.chain(f"SELECT h, Date, Location FROM norm WHERE NOT ({' OR '.join(S.missing(c) for c in COLS)})"))
+def q_complete_rows(spark, sf):
+    return complete_rows(prep(spark, sf).normalized, COLS).select("h", "Date", "Location")
+
+
 @register("index_label", P.chain(
     "SELECT RainTomorrow, CAST(CASE WHEN RainTomorrow = 'Yes' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label, count(*) AS n "
     "FROM norm GROUP BY ALL"))
@@ -814,6 +868,18 @@ def q_build_features(spark, sf):
     return model.transform(p.train_final_m).select("h", *_FEAT, "label")
 
 
+@register("feature_vector", P.chain(
+    f"SELECT h, Rainfall AS f0, {', '.join(f'{name} AS f{i}' for i, name in enumerate(ROW_MEANS, 1))}, RainTomorrow AS class_name "
+    f"FROM (SELECT h, Rainfall, {_MEANS_SQL}, RainTomorrow FROM trf) t"))
+def q_feature_vector(spark, sf):
+    """The vector's elements in order, and the label mapped to its index and back."""
+    p = prep(spark, sf)
+    model = features.build_features(p.train_final_m)
+    rows = features.label_map(model.transform(p.train_final_m), features.label_names(model), out="class_name")
+    elements = vector_to_array("features")
+    return rows.select("h", *[elements[i].alias(f"f{i}") for i in range(len(_FEAT))], "class_name")
+
+
 # ---------------------------------------------------------------------------
 # Models, tuning, scoring, evaluation (M*, E13, E15): rows-only checks
 # ---------------------------------------------------------------------------
@@ -918,9 +984,6 @@ from ..operators import series, transforms  # noqa: E402
 from ..operators.outliers import iqr_bounds  # noqa: E402
 from ..operators.split import hash_split  # noqa: E402
 
-_NORMAL, _CONT, _DISC = list(SPEC.normal), list(SPEC.continuous), list(SPEC.discrete)
-_NUMERIC = list(SPEC.numeric)
-_ANY_NUM = "(" + " OR ".join(f"{S.q(c)} IS NOT NULL" for c in _NUMERIC) + ")"
 
 
 def _by_stats_sql(src, keys, normal, cont, disc):
@@ -950,7 +1013,7 @@ def _by_fill_sql(cols, normal, cont, disc):
     f"({_by_stats_sql('trc', ['Month'], _NORMAL, _CONT, _DISC)}) st USING (Month)"))
 def q_impute_month(spark, sf):
     p = prep(spark, sf)
-    return series.impute_month(p.train_clean, p.train_clean)
+    return series.impute_month(p.train_clean, p.train_clean, SPEC)
 
 
 _DAILY_COLS = ["Location", "Date", *_NUMERIC, "Month"]
@@ -969,7 +1032,7 @@ def _with_daily(body, *more):
 @register("neighbour_impute", _with_daily(f"SELECT {', '.join(S.q(c) for c in _DAILY_COLS)} FROM neigh"))
 def q_neighbour_impute(spark, sf):
     p = prep(spark, sf)
-    return series.neighbour_impute(series.daily_series(p.normalized))
+    return series.neighbour_impute(series.daily_series(p.normalized, decimals=9))
 
 
 _DCONT = _CONT + _DISC  # daily means of clouds are continuous
@@ -980,7 +1043,7 @@ _DCONT = _CONT + _DISC  # daily means of clouds are continuous
     f"({_by_stats_sql('neigh', ['Location', 'Month'], _NORMAL, _DCONT, [])}) st USING (Location, Month)"))
 def q_impute_location_month(spark, sf):
     p = prep(spark, sf)
-    return series.impute_location_month(series.neighbour_impute(series.daily_series(p.normalized)))
+    return series.impute_location_month(series.neighbour_impute(series.daily_series(p.normalized, decimals=9)), spec=SPEC)
 
 
 _DIRS = list(SPEC.directions)
@@ -1076,6 +1139,17 @@ def q_retention(spark, sf):
                                  ("clean_final", transforms.clean_final(p.train_final_m))])
 
 
+@register("retention_written", ORACLE["retention"])
+def q_retention_written(spark, sf):
+    """The same numbers, counted as each stage is written."""
+    p, seen = prep(spark, sf), transforms.Passage()
+    p.raw = seen.write("input", p.raw)
+    p._cache["normalized"] = seen.write("valid_label", p.normalized)
+    p._cache["stored"] = (seen.write("train", p.split[0]), p.split[1])
+    seen.write("clean_final", transforms.clean_final(p.train_final_m))
+    return seen.table(spark)
+
+
 _DM = {**ROW_MEANS, "Cloud_avg": ("Cloud9am", "Cloud3pm")}
 
 
@@ -1135,6 +1209,26 @@ def q_model_sets(spark, sf):
     return b.select("h", "features_linear", "features_binned")
 
 
+_LINEAR = ", ".join(
+    f"CASE WHEN s.{S.q(c + '_s')} IS NULL OR s.{S.q(c + '_s')} = 0 THEN (CASE WHEN f.{S.q(c)} IS NOT NULL THEN 0.0 END) "
+    f"ELSE round((f.{S.q(c)} - s.{S.q(c + '_m')}) / s.{S.q(c + '_s')}, 9) END AS linear_{i}" for i, c in enumerate(_FCOLS))
+_SCALES = ", ".join(f"avg({S.q(c)}) AS {S.q(c + '_m')}, stddev_samp({S.q(c)}) AS {S.q(c + '_s')}" for c in _FCOLS)
+_BINNED = ", ".join(f"CAST(CASE WHEN f.{S.q(c)} IS NOT NULL THEN len(list_filter(b.{S.q(c)}, lambda x: x <= f.{S.q(c)})) END AS DOUBLE) "
+                    f"AS binned_{i}" for i, c in enumerate(_FCOLS))
+
+
+@register("model_set_elements", S.with_obs(
+    f"SELECT h, {_LINEAR}, round(sin(2 * pi() * (Month - 1) / 12), 9) AS linear_{len(_FCOLS)}, "
+    f"round(cos(2 * pi() * (Month - 1) / 12), 9) AS linear_{len(_FCOLS) + 1}, "
+    f"{_BINNED} FROM (SELECT h, Month, Rainfall, {_MEANS_SQL} FROM tef) f, (SELECT {_SCALES} FROM feat) s, splits b",
+    *P.ctes(), _FEAT_CTE, _SPLITS))
+def q_model_set_elements(spark, sf):
+    """Both vectors of the test side by their elements; NaN stands for a missing one."""
+    linear, binned = vector_to_array("features_linear"), vector_to_array("features_binned")
+    return q_model_sets(spark, sf).select("h", *[F.nullif(linear[i], F.lit(float("nan"))).alias(f"linear_{i}") for i in range(len(_FCOLS) + 2)],
+                                          *[F.nullif(binned[i], F.lit(float("nan"))).alias(f"binned_{i}") for i in range(len(_FCOLS))])
+
+
 @register("impute_global", P.chain(
     "SELECT " + ", ".join(
         (f"coalesce({S.q(c)}, (SELECT quantile_disc({S.q(c)}, 0.5) FROM trc)) AS {S.q(c)}" if c in _NORMAL + _CONT else
@@ -1160,7 +1254,12 @@ SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name, {_TYP
        (SELECT count(*) FROM obs) AS n_rows, CAST(count(*) OVER () AS INTEGER) AS n_cols
 FROM (DESCRIBE SELECT * FROM obs)"""))
 def q_table_profile(spark, sf):
-    return audit.table_profile(obs(spark, sf))
+    return audit.table_profile(obs(spark, sf)).drop("nullable")  # DuckDB has another notion of it
+
+
+@register("table_preview", S.with_obs("SELECT * FROM obs ORDER BY h, Date NULLS FIRST, Location NULLS FIRST LIMIT 5"))
+def q_table_preview(spark, sf):
+    return audit.preview(obs(spark, sf), 5, ["h", "Date", "Location"])
 
 
 @register("unclassified_rate", S.with_obs(f"""

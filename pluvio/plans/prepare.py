@@ -24,7 +24,11 @@ from ..session import materialize
 
 
 def normalize(df: DataFrame, spec: Roles = WEATHER) -> DataFrame:
-    """Typed projection + token normalisation + calendar keys (P4-P8), one select."""
+    """Typed projection + token normalisation + calendar keys (P4-P8), one select.
+
+    A table without one of the roles' columns is an error that names them.
+    """
+    spec.check(df.columns)
     dtypes = dict(df.dtypes)
     out = []
     for c in df.columns:
