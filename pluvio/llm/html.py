@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -27,13 +28,35 @@ MAIN = frozenset(("article", "main"))
 MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|complementary|contentinfo|cookies?|consent|disqus|foot(?:er)?|"
                    r"header|menu|modal|nav\w*|newsletter|notices?|popup|promo\w*|related|replies|search|share|sharing|sidebar|social|"
                    r"sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+#: Marks of a whole article, and elements of text, whose classes often are words of the text's own subject.
+MAIN_MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|comments?|disqus|promo\w*|related|replies|sponsor\w*)(?:$|[\s_-])", re.I)
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr caption figcaption span a b i em strong small mark q cite code time".split())
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACE = re.compile(r"\s+")
 #: What a line is in: an element that is not prose, the page itself, its main element.
 OUT, OPEN, KEPT = 0, 1, 2
 #: Text of which a page shares this part with another is a copy; nothing in it is a template's.
-COPY = 0.8
+#: Places of a line in a page beyond which their row of bits is kept.
+COPY, FREQUENT = 0.8, 1000
+
+
+def marked(name: str, attributes: str) -> bool:
+    """Whether an element's class, id or role says that it is no prose of the page.
+
+    Containers go by any word of theirs. Elements of text, and articles, go by an
+    attribute that has no other word (``class="ad"``, not ``class="social housing"``
+    or ``share-price``); articles also by the words of MAIN_MARKS.
+    """
+    for found in ATTRIBUTE.findall(attributes):
+        value = "".join(found)
+        if not MARKS.search(value):
+            continue
+        if name not in TEXT and name not in MAIN or name in MAIN and MAIN_MARKS.search(value):
+            return True
+        if all(MARKS.search(word) for word in re.split(r"[\s_-]+", value) if word):
+            return True
+    return False
 
 
 def page_lines(html: str) -> list[tuple[int, str]]:
@@ -90,7 +113,7 @@ def page_lines(html: str) -> list[tuple[int, str]]:
                     break
         inner = state
         if state != OUT:
-            if name in ASIDE or any(MARKS.search(a or b or c) for a, b, c in ATTRIBUTE.findall(tag[3])) and name not in ("html", "body"):
+            if name in ASIDE or name not in ("html", "body") and marked(name, tag[3]):
                 inner = OUT
             elif name in MAIN:
                 inner = KEPT
@@ -103,7 +126,12 @@ def page_lines(html: str) -> list[tuple[int, str]]:
 
 
 def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Places of one longest common subsequence, by rows of bits that are kept to walk back over."""
+    """Places of one longest common subsequence, by rows of bits.
+
+    Lines that the other page lacks are left out first. Every k-th row is kept, k
+    the square root of their number, and those between are made again on the walk
+    back, so two pages of n lines take n ** 1.5 / 4 bytes and no n * n.
+    """
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
         head += 1
@@ -111,26 +139,46 @@ def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
         tail += 1
     found = [(i, i) for i in range(head)]
-    x, y = a[head:len(a) - tail], b[head:len(b) - tail]
-    where: dict[int, int] = {}
+    both = set(a[head:len(a) - tail]) & set(b[head:len(b) - tail])
+    at = [i for i in range(head, len(a) - tail) if a[i] in both]
+    bt = [j for j in range(head, len(b) - tail) if b[j] in both]
+    x, y = [a[i] for i in at], [b[j] for j in bt]
+    where: dict[int, list[int]] = {}
     for j, line in enumerate(y):
-        where[line] = where.get(line, 0) | 1 << j
+        where.setdefault(line, []).append(j)
     every = (1 << len(y)) - 1
-    rows, bits = [every], every
-    for line in x:
-        hit = bits & where.get(line, 0)
-        bits = (bits + hit | bits - hit) & every
-        rows.append(bits)
-    i, j, middle = len(x), len(y), []
 
-    def length(i: int, j: int) -> int:
-        return j - (rows[i] & (1 << j) - 1).bit_count()
+    def row_of(places: list[int]) -> int:
+        row = bytearray(len(y) // 8 + 1)
+        for j in places:
+            row[j >> 3] |= 1 << (j & 7)
+        return int.from_bytes(row, "little")
+
+    frequent = {line: row_of(places) for line, places in where.items() if len(places) > FREQUENT}
 
+    def following(bits: int, lines: list[int]) -> Iterator[int]:
+        for line in lines:
+            hit = bits & (frequent[line] if line in frequent else row_of(where[line]))
+            bits = (bits + hit | bits - hit) & every
+            yield bits
+
+    step = math.isqrt(len(x)) + 1
+    kept = [every]
+    for i, bits in enumerate(following(every, x), 1):
+        if i % step == 0:
+            kept.append(bits)
+    i, j, middle = len(x), len(y), []
+    first, rows = len(x) + 1, []
     while i and j:
+        if i - 1 < first:  # the rows from the kept one at or before i - 1 up to i
+            first = (i - 1) // step * step
+            rows = [kept[first // step], *following(kept[first // step], x[first:i])]
+        upper, lower = rows[i - 1 - first], rows[i - first]
+        # the row's set bits are places of y that add no line; those that differ in two rows tell where a line was found
         if x[i - 1] == y[j - 1]:
             i, j = i - 1, j - 1
-            middle.append((head + i, head + j))
-        elif length(i - 1, j) == length(i, j):
+            middle.append((at[i], bt[j]))
+        elif upper == lower or (upper & (1 << j) - 1).bit_count() == (lower & (1 << j) - 1).bit_count():
             i -= 1
         else:
             j -= 1

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from pluvio.llm.common import stage, text_bytes
 
-#: Keys that one filter shard holds at most on average, and bytes of filters that may be broadcast.
-SHARD_KEYS, BROADCAST_BYTES = 32_768, 32 << 20
+#: Keys that one filter shard holds at most on average, bytes of filters that may be broadcast, and lines that meet one copy of a filter.
+SHARD_KEYS, BROADCAST_BYTES, LINES_PART = 32_768, 32 << 20, 2_000_000
 
 
 class CuckooFilter:
@@ -189,11 +189,47 @@ def _probe(tables: dict[int, bytes]) -> Callable:
     return probe
 
 
+def _probe_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by shard, its filter's row (without h) ahead of its lines: one filter is held at a time."""
+    table, own = None, None
+    for batch in batches:
+        shards = batch["shard"].to_numpy()
+        heads = np.flatnonzero(np.asarray(batch["h"].is_null())).tolist()
+        changes = (np.flatnonzero(np.diff(shards)) + 1).tolist()
+        cuts = sorted({0, *heads, *(k + 1 for k in heads), *changes, len(batch)})
+        for s, e in zip(cuts, cuts[1:]):
+            if not batch["h"][s].is_valid:
+                table, own = CuckooFilter(table=batch["filter"][s].as_py()), shards[s]
+            elif own == shards[s]:  # a shard without a filter has no repeated line
+                part = batch.slice(s, e - s)
+                hit = table.contains(pairs(part["h"].to_pylist()))
+                yield pa.RecordBatch.from_arrays([part["d1"], part["d2"], part["h"]], schema=LINES).filter(pa.array(hit))
+
+
+def probe_shards(lines: DataFrame, filters: DataFrame, n_shards: int) -> DataFrame:
+    """The ``lines`` whose digest its shard's filter may hold, each shard's lines beside its filter.
+
+    Lines are counted by shard first: one of more than LINES_PART is dealt to as
+    many parts as it asks for, each with a copy of the filter, so a hot line
+    gathers nowhere. No task holds more than one filter, however many there are.
+    """
+    keyed = lines.withColumn("shard", _shard(n_shards))
+    parts = stage(keyed.groupBy("shard").agg(F.ceil(F.count("*") / LINES_PART).cast("int").alias("parts")))
+    hot = F.broadcast(parts.filter("parts > 1"))  # at most lines / LINES_PART rows
+    part = F.pmod(F.monotonically_increasing_id(), F.coalesce("parts", F.lit(1))).cast("int")
+    dealt = keyed.join(hot, "shard", "left").select("shard", part.alias("part"), "d1", "d2", "h", F.lit(None).cast("binary").alias("filter"))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
+    none = [F.lit(None).cast(kind).alias(n) for n, kind in (("d1", "long"), ("d2", "long"), ("h", "binary"))]
+    beside = filters.join(hot, "shard", "left").select("shard", copies.alias("part"), *none, "filter")
+    return (dealt.unionByName(beside).repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("h").isNotNull())
+            .mapInArrow(_probe_shards, "d1 long, d2 long, h binary"))
+
+
 def repeated_lines(lines: DataFrame, counts: DataFrame, min_docs: int) -> DataFrame:
     """(d1, d2, drop): the digests that each document loses; ``lines`` and ``counts`` staged.
 
-    Filters within BROADCAST_BYTES go to every task and leave few lines for the
-    exact join; beyond that all lines take it. The result is the same.
+    The filters leave few lines for the exact join: within BROADCAST_BYTES they go
+    to every task, beyond that lines go to their shard's filter. The result is the same.
     """
     repeated = stage(counts.filter(F.col("n_docs") >= min_docs))
     filters, n_shards = build_filters(repeated)
@@ -202,6 +238,8 @@ def repeated_lines(lines: DataFrame, counts: DataFrame, min_docs: int) -> DataFr
         tables = {r["shard"]: bytes(r["filter"]) for r in filters.collect()}
         lines = (lines.withColumn("shard", _shard(n_shards))
                  .mapInArrow(_probe(tables), "d1 long, d2 long, h binary, shard int").drop("shard"))
+    else:
+        lines = probe_shards(lines, filters, n_shards)
     return lines.join(repeated.select("h"), "h").groupBy("d1", "d2").agg(F.collect_set("h").alias("drop"))
 
 

@@ -165,7 +165,7 @@ def judge_documents(docs: DataFrame, keep: list[str]) -> DataFrame:
     source are groups; a null or empty text has 0 of everything and fails; rows
     that repeat are judged alike. An empty table gives an empty result.
     """
-    rows = spread(docs.select(*dict.fromkeys(["doc_id", "lang", "source", *keep, "text"])), "doc_id")
+    rows = spread(docs.select(*dict.fromkeys(["doc_id", "lang", "source", *keep, "text"])))
     counts = document_counts(rows, list(dict.fromkeys(["lang", "source", *keep])))
     stats = stage(counts.withColumn("base_failed", base_failed()).withColumns(transformed()))
     params = stage(robust_estimates(stats.filter(~F.col("base_failed"))))

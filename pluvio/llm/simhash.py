@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,19 +37,20 @@ def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(ends), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(words: int, seed: int):
+def _fingerprints(words: int, seed: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), words, seed) for t in batch["text"]], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(prints.view(np.int64))], [*names, "fp"])
     return run
 
 
-def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) of every row; ``fp`` is the fingerprint as a signed long."""
-    rows = spread(docs.select("doc_id", text_bytes(docs).alias("text")), "doc_id")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_fingerprints(words, seed), f"doc_id {kind}, fp long")
+def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, ``keep``, fp) of every row; ``fp`` is the fingerprint as a signed long."""
+    names = ["doc_id", *keep]
+    rows = spread(docs.select(*names, text_bytes(docs).alias("text")))
+    fields = ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
+    return rows.mapInArrow(_fingerprints(words, seed, names), f"{fields}, fp long")
 
 
 def hook(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -231,19 +232,21 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()))
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
-    """One row per document row: doc_id, fp (signed long), component_id.
+def near_duplicates(docs: DataFrame, words: int = 4, budget: int = 4, seed: int = 42, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per document row: doc_id, ``keep``, fp (signed long), component_id, component.
 
     component_id is the smallest doc_id reachable over fingerprints that differ
     in ``budget`` bits or fewer. Null and empty texts have fingerprint 0 and link
     like any other; equal fingerprints are one node, however many rows have it;
-    null ids never name a component (its id is null if it has no other). An
-    empty table gives an empty result.
+    null ids never name a component (its id is null if it has no other). Ids that
+    repeat may name two components; ``component``, a fingerprint in it, tells all
+    apart. An empty table gives an empty result.
     """
-    signed = stage(fingerprints(docs, words, seed))
+    signed = stage(fingerprints(docs, words, seed, keep))
     nodes = stage(signed.groupBy("fp").agg(F.min("doc_id").alias("least")))
     labels = components(link_prints(nodes.select("fp"), budget))
     named = stage(nodes.join(labels, nodes["fp"] == labels["node"], "left")
                   .select("fp", "least", F.coalesce("label", "fp").alias("label")))
     names = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    return signed.join(named.join(names, "label").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    found = named.join(names, "label").select("fp", "component_id", F.col("label").alias("component"))
+    return signed.join(found, "fp").select("doc_id", *keep, "fp", "component_id", "component")

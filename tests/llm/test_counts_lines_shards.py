@@ -161,6 +161,9 @@ def brute_lines(texts, least=10):
 @pytest.mark.parametrize("bound", [32 << 20, 0])
 def test_line_dedup(documents, odd_documents, monkeypatch, bound):
     monkeypatch.setattr(lines, "BROADCAST_BYTES", bound)
+    if not bound:  # several shards, each dealt to several parts
+        monkeypatch.setattr(lines, "SHARD_KEYS", 4)
+        monkeypatch.setattr(lines, "LINES_PART", 500)
     for docs in (documents, odd_documents):
         rows = docs.select("doc_id", "text").collect()
         want = Counter((r[0], *x) for r, x in zip(rows, brute_lines([r[1] for r in rows])))
@@ -168,6 +171,19 @@ def test_line_dedup(documents, odd_documents, monkeypatch, bound):
         assert Counter(rows_of(got, "doc_id", "n_lines", "n_dropped", "kept")) == want
 
 
+def test_sharded_filters_leave_few_lines(documents, monkeypatch):
+    monkeypatch.setattr(lines, "SHARD_KEYS", 4)
+    monkeypatch.setattr(lines, "LINES_PART", 500)
+    own = lines.document_lines(documents).cache()
+    repeated = lines.count_lines(own).filter("n_docs >= 10")
+    filters, n_shards = lines.build_filters(repeated)
+    left = lines.probe_shards(own, filters, n_shards)
+    hits, total = own.join(repeated.select("h"), "h").count(), own.count()
+    assert n_shards > 1 and hits <= left.count() <= hits + total // 100
+    assert left.join(repeated.select("h"), "h").count() == hits
+    assert lines.probe_shards(own.filter("false"), filters, n_shards).count() == 0
+
+
 def test_line_counts_and_filters_are_reversible(documents):
     half = lines.document_lines(documents.filter("doc_id % 2 = 0")).cache()
     other = lines.document_lines(documents.filter("doc_id % 2 = 1")).cache()

@@ -42,10 +42,16 @@ def test_stages(spark, request, name):
     single = stage(P.near_dedup(spark, cleaned, ""))
     after = [tuple(r) for r in single.collect()]
     prints = [brute_print(r[1]) for r in now]
-    groups = brute_classes(prints, [r[0] for r in now]) if now else []
+    groups = brute_classes(prints, range(len(now))) if now else []  # the place of a row of the group names it
+    members = {}
+    for row, group in zip(now, groups):
+        members.setdefault(group, []).append(row)
     assert not Counter(after) - Counter(now)
-    named = [r for r in after if r[0] is not None]
-    assert Counter(r[0] for r in named) == Counter({g for g in groups if g is not None})
+    group_of = dict(zip(now, groups))
+    assert Counter(group_of[r] for r in after) == Counter(members.keys())
+    for r in after:
+        ids = [m[0] for m in members[group_of[r]] if m[0] is not None]
+        assert r[0] == (min(ids) if ids else None)
 
     mixed = stage(P.mix_sources(spark, single, ""))
     out = Counter(tuple(r) for r in mixed.collect())
@@ -60,6 +66,16 @@ def test_stages(spark, request, name):
     assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == Counter(r[0] for r in out.elements())
 
 
+def test_ids_that_repeat_or_lack_keep_a_row_of_each_group(spark):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 2), (2, b, "en", "s", 2), (2, b, "en", "s", 2), (None, a, None, None, None),
+            (None, c, None, "s", 3), (None, c, "en", None, 3), (None, c, "en", None, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [tuple(r) for r in P.near_dedup(spark, docs, "").collect()]
+    assert sorted((r[1][0], r[0]) for r in got) == [("a", 1), ("b", 1), ("g", None)]
+    assert set(got) <= set(rows)
+
+
 def test_run_is_the_stages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for _, step in P.STAGES:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 from itertools import combinations
 
@@ -147,6 +148,30 @@ def test_common_lines():
         assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
 
 
+def test_common_lines_of_very_long_pages():
+    rng = random.Random(2)
+    a, b = ([rng.randint(0, 40) for _ in range(rng.randint(150, 400))] for _ in range(2))
+    assert len(html.common_lines(a, b)) == brute_lcs(a, b)
+    tracemalloc.start()
+    a = [k * 7 % 30_011 for k in range(30_000)]
+    pairs = html.common_lines(a, [k * 11 % 30_011 for k in range(30_000)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+    assert peak < 60 << 20  # a row of bits for every line would be 110 MB
+
+
+def test_marks_need_evidence_on_text_and_articles():
+    def kept(page):
+        return [t for k, t in html.page_lines(page) if k != html.OUT]
+
+    assert kept('<article class="share-price"><p>real text</p></article>') == ["real text"]
+    assert kept('<article><p class="share-prices">one</p><p class="social housing">two</p><h2 id="search-and-rescue">three</h2></article>') == ["one", "two", "three"]
+    assert kept('<article>x<p class="ad">buy</p><p class="advert banner">buy</p><li class="social-share">tell</li></article>') == ["x"]
+    assert kept('<article class="comment-body"><p>nice</p></article><article class="related post">more</article><article class="ad">buy</article>') == []
+    assert kept('<div class="share-tools">tell</div><div id="comments"><article>nice</article></div><div class="story">text</div>') == ["text"]
+
+
 def open_page(i, shared=True):
     own = "".join(f"<p>own text {i} of block {k} with some more words in it</p>" for k in range(4))
     return f"<html><body><div><p>Welcome to our site</p></div>{own}<p>All rights {'kept' if shared else i}</p></body></html>"
