@@ -36,17 +36,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of linked fingerprints: that of the smallest doc_id.
 
-    Of rows that share the id, the first in the order of their texts' hashes
-    stays. Rows without an id go with groups that have one; of all such rows in
-    groups that have none, the first in that order stays for each text.
+    Of rows that share the id, the first in the order of their digests stays.
+    Rows without an id come last: one stays where its group has no other. Ids may
+    repeat in several groups; each keeps its own row.
     """
     docs = docs.select(*COLUMNS)
-    found = simhash.near_duplicates(docs)
-    first = (found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
-    kept = docs.join(first.withColumnRenamed("doc_id", "_first"), docs["doc_id"].eqNullSafe(F.col("_first"))).drop("_first")
-    order = Window.partitionBy("doc_id", "_text").orderBy("_h", "lang", "source", "n_chars")
-    kept = kept.withColumn("_text", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).withColumn("_h", F.xxhash64("text"))
-    return kept.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*COLUMNS)
+    # 128 bits that name a row's content; rows that agree in all columns are interchangeable
+    gaps = F.concat(*[F.isnull(c).cast("string") for c in COLUMNS])
+    docs = docs.withColumns({f"_r{k}": F.xxhash64(F.lit(k), gaps, *COLUMNS) for k in (1, 2)})
+    found = simhash.near_duplicates(docs, keep=["_r1", "_r2"])
+    least = F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "_r1", "_r2")).alias("w")
+    first = found.groupBy("component").agg(least).select("w._r1", "w._r2")
+    # copies of a row meet before the join, combined in the tasks that read them
+    rows = docs.groupBy("_r1", "_r2").agg(*[F.first(c).alias(c) for c in COLUMNS])
+    return rows.join(first, ["_r1", "_r2"], "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
