@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import BROADCAST_BYTES, numbered, stage
+from pluvio.llm.common import BROADCAST_BYTES, join_groups, numbered, stage
 from pluvio.llm.urls import url_parts
 
 #: Elements that end a block of text.
@@ -256,10 +256,10 @@ def shared_lines(parsed: DataFrame) -> DataFrame:
                  .agg(F.min_by(F.struct("path", "hashes", "sizes", "states"), F.struct("path", "url")).alias("p"))
                  .select("host", "page", "p.*"))
     placed = numbered(different, ["host", "path", "page"], "place")
-    hosts = placed.groupBy("host").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    hosts = stage(placed.groupBy("host").agg(F.min("place").alias("first"), F.count("*").alias("n")))
     pair = F.greatest(F.lit(0), F.least(F.expr("(place - first) div 2"), F.expr("n div 2 - 1")))
-    # dealt by pair: a join's partitioning by host would leave all pairs of a host in one task
-    pairs = (placed.join(hosts, "host").withColumn("pair", pair).repartition("host", "pair").groupBy("host", "pair")
+    # dealt by pair: a partitioning by host would leave all pairs of a host in one task
+    pairs = (join_groups(placed, hosts, "host").withColumn("pair", pair).repartition("host", "pair").groupBy("host", "pair")
              .agg(F.collect_list(F.struct("place", "page", "hashes", "sizes", "states")).alias("near")).select("host", "near"))
     return pairs.mapInArrow(_difference, "host string, page long, gone array<int>")
 
