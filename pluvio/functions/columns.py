@@ -15,7 +15,8 @@ def calendar_keys(df: DataFrame, date_col: str = "Date") -> DataFrame:
     """Adds ``Month`` (int) and ``DayMonth`` (``ddMM`` text)."""
     return df.withColumns({
         "Month": F.month(date_col),
-        "DayMonth": F.date_format(date_col, "ddMM"),
+        # as date_format(…, "ddMM"), which builds a zoned date-time for every row
+        "DayMonth": F.concat(*[F.lpad(part(date_col).cast("string"), 2, "0") for part in (F.dayofmonth, F.month)]),
     })
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import AUDIT_TOKENS, WEATHER, Roles
 from ..functions.predicates import any_present, is_missing
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, sorted_medians
 from .selection import select_quantiles
 
 #: Rows of the largest group up to which a group's values may be held in one buffer.
@@ -26,7 +26,7 @@ def _mean(c: str, decimals: int | None):
 def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (),
                 median_cols: Sequence[str] = (), raw_mean_cols: Sequence[str] = (),
                 presence_cols: Sequence[str] | None = None, medians: str = "exact_spread", accuracy: int = 10_000,
-                mean_decimals: int | None = None) -> DataFrame:
+                mean_decimals: int | None = None, stored: bool = False) -> DataFrame:
     """keys + ``{c}_mean`` / ``{c}_median`` per group.
 
     Rows where every ``presence_cols`` value is null are ignored (as the
@@ -36,20 +36,23 @@ def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (
     ``medians`` names the way, and no size changes it: ``exact_spread`` counts
     values dealt over tasks, however many a group has, ``exact`` gives the same
     but holds the different values of a group in one buffer (for groups that are
-    bounded), ``select`` finds them by passes over all columns at once (for few
+    bounded), ``sorted`` sorts the rows by group and takes the medians in Arrow batches, one
+    group at a time in a buffer (also for bounded groups), ``select`` finds them by passes over all columns at once (for few
     groups of any size, see :mod:`.selection`), ``measured`` counts the rows of
-    each group first and takes ``exact`` if none has more than GROUP_ROWS, else
+    each group first and takes ``sorted`` if none has more than GROUP_ROWS, else
     ``exact_spread``; all these give the same. ``sketch`` is approximate with ``accuracy``.
+    ``stored`` says that ``df`` reads files, so that ``select`` doesn't store its columns again.
     """
-    if medians not in ("exact", "exact_spread", "select", "measured", "sketch"):
+    if medians not in ("exact", "exact_spread", "select", "sorted", "measured", "sketch"):
         raise ValueError(f"unknown medians {medians!r}")
     presence = list(presence_cols) if presence_cols is not None else [*mean_cols, *median_cols, *raw_mean_cols]
     floats = {c for c, t in df.dtypes if t in ("double", "float")}
     df = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in dict.fromkeys([*presence, *mean_cols, *median_cols, *raw_mean_cols]) if c in floats})
     src = df.filter(any_present(presence)) if presence else df
     if medians == "measured":
-        largest = src.groupBy(*keys).count().agg(F.max("count")).first()[0] if median_cols else 0
-        medians = "exact" if (largest or 0) <= GROUP_ROWS else "exact_spread"
+        # of all rows, as only the keys are read for that
+        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] if median_cols else 0
+        medians = "sorted" if (largest or 0) <= GROUP_ROWS else "exact_spread"
     aggs = [_mean(c, mean_decimals).alias(f"{c}_mean") for c in mean_cols]
     if medians == "exact":
         aggs += [F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)").alias(f"{c}_median") for c in median_cols]
@@ -57,13 +60,17 @@ def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (
         aggs += [F.percentile_approx(F.col(c), 0.5, accuracy).alias(f"{c}_median") for c in median_cols]
     aggs += [F.avg(F.col(c)).alias(f"{c}_mean") for c in raw_mean_cols]
     stats = src.groupBy(*keys).agg(*aggs) if aggs else src.select(*keys).distinct()
-    if medians not in ("exact_spread", "select") or not median_cols:
+    if medians not in ("exact_spread", "select", "sorted") or not median_cols:
         return stats
     if medians == "select":
-        found = select_quantiles(src, median_cols, [0.5], keys)
+        found = select_quantiles(src, median_cols, [0.5], keys, stored=stored)
         kinds = [f"`__{k}` {src.schema[k].dataType.simpleString()}" for k in keys] + [f"`{c}_median` double" for c in median_cols]
         wide = F.broadcast(src.sparkSession.createDataFrame([(*key, *(own[c][0] for c in median_cols)) for key, own in found.items()], ", ".join(kinds)))
         return _with_medians(stats, wide, keys, mean_cols, median_cols)
+    if medians == "sorted":
+        wide = sorted_medians(src, keys, median_cols)
+        wide = wide.select(*[F.col(k).alias(f"__{k}") for k in keys], *[F.col(c).alias(f"{c}_median") for c in median_cols])
+        return _with_medians(stats, wide, keys, mean_cols, median_cols)
     # Exact medians from value counts, pivoted to columns.
     long = (src.select(*keys, *[F.col(c).cast("double").alias(c) for c in median_cols])
                .unpivot(list(keys), list(median_cols), "column_name", "x"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import AUDIT_TOKENS, WEATHER, Roles
 from ..functions.predicates import is_missing, threshold_flag
 from .groupstats import group_modes, group_stats
-from .joins import left_join, measured_broadcast
+from .joins import join_statistics, measured_broadcast
 
 FLAG = "RainToday_inferred"
 
@@ -62,7 +62,7 @@ def _numeric_fill(df: DataFrame, spec: Roles) -> list[Column]:
 def impute_group_numeric(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles = WEATHER) -> DataFrame:
     """Tier-1 numeric fill by group (I1 with 3 keys, I2 with 2 keys)."""
     stats = tier1_stats(fit, keys, spec)
-    return left_join(df, [stats], keys).select(*_numeric_fill(df, spec))
+    return join_statistics(df, [stats], keys).select(*_numeric_fill(df, spec))
 
 
 def _wind_fill(df: DataFrame, spec: Roles, suffix: str = "_mode") -> list[Column]:
@@ -73,7 +73,7 @@ def _wind_fill(df: DataFrame, spec: Roles, suffix: str = "_mode") -> list[Column
 def impute_group_mode(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles = WEATHER) -> DataFrame:
     """Wind directions: missing → group mode (I5 with 3 keys, I6 with 2 keys)."""
     modes = tier1_modes(fit, keys, spec)
-    return left_join(df, [modes], keys).select(*_wind_fill(df, spec))
+    return join_statistics(df, [modes], keys).select(*_wind_fill(df, spec))
 
 
 def raintoday_modes(fit: DataFrame, spec: Roles = WEATHER) -> DataFrame:
@@ -114,11 +114,11 @@ def impute_tier1(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles
     """Numeric, RainToday and wind tier 1 in one apply step.
 
     Numeric statistics and wind modes are grouped on the same keys, so the
-    rows are shuffled once and both statistic tables join on that partitioning.
+    rows meet both statistic tables in one pass: broadcast where these measure small, else on one shuffle.
     """
     stats = tier1_stats(fit, keys, spec)
     modes = tier1_modes(fit, keys, spec)
-    joined = left_join(df, [stats, modes], keys)
+    joined = join_statistics(df, [stats, modes], keys)
     num = joined.select(*_numeric_fill(df, spec), *[f"{c}_mode" for c in spec.directions])
     if train:
         r = spec.rain_today
@@ -130,10 +130,10 @@ def impute_tier1(df: DataFrame, fit: DataFrame, keys: Sequence[str], spec: Roles
     return num.select(*_wind_fill(df, spec))
 
 
-def tier2_stats(fit: DataFrame, key: str, spec: Roles = WEATHER) -> DataFrame:
-    """Per-key medians (normal and continuous) and raw discrete means."""
+def tier2_stats(fit: DataFrame, key: str, spec: Roles = WEATHER, stored: bool = False) -> DataFrame:
+    """Per-key medians (normal and continuous) and raw discrete means (G3/G4); ``stored`` as in ``select_quantiles``."""
     return group_stats(fit, [key], median_cols=[*spec.normal, *spec.continuous], raw_mean_cols=spec.discrete,
-                       presence_cols=spec.numeric, medians="select")
+                       presence_cols=spec.numeric, medians="select", stored=stored)
 
 
 def tier2_modes(fit: DataFrame, key: str, spec: Roles = WEATHER) -> DataFrame:
@@ -141,11 +141,11 @@ def tier2_modes(fit: DataFrame, key: str, spec: Roles = WEATHER) -> DataFrame:
 
 
 def impute_secondary(df: DataFrame, fit: DataFrame, key: str | None = None, spec: Roles = WEATHER,
-                     infer_flag: bool = False) -> DataFrame:
+                     infer_flag: bool = False, stored: bool = False) -> DataFrame:
     """Tier 2: residual nulls by label (I7) or by the inferred rain flag (I8).
 
     The statistics have one row per key value (labels or Yes/No) and are broadcast:
-    their medians by selection raise an error beyond 1,000 groups, whatever key the roles name.
+    their medians by selection raise an error beyond 1,000 groups, whatever key the roles name. ``stored`` says that ``fit`` reads files.
     """
     if infer_flag:
         key = FLAG
@@ -154,7 +154,7 @@ def impute_secondary(df: DataFrame, fit: DataFrame, key: str | None = None, spec
     else:
         key = key or spec.label
         rows = df
-    stats = tier2_stats(fit, key, spec)
+    stats = tier2_stats(fit, key, spec, stored)
     modes = tier2_modes(fit, key, spec)
     joined = rows.join(F.broadcast(stats), [key], "left").join(F.broadcast(modes), [key], "left")
     out = []

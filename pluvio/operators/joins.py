@@ -9,6 +9,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 #: Rows of a key from which it is dealt to SALTS parts; bytes of a table that may be broadcast; keys that may be sent as a filter.
 HOT_ROWS, SALTS, BROADCAST_BYTES, FILTER_KEYS = 1_000_000, 64, 32 << 20, 10_000
 
@@ -50,6 +52,22 @@ def left_join(rows: DataFrame, tables: Sequence[DataFrame], keys: Sequence[str],
     return some.drop("_part").unionByName(absent)
 
 
+def join_statistics(rows: DataFrame, tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """:func:`left_join` of all ``rows`` with fitted ``tables``, which are stored once.
+
+    Tables that measure small (BROADCAST_BYTES each) are broadcast, so that the rows are read once
+    and neither shuffled nor sorted; null keys match nothing there either. The others meet the rows by ``left_join``.
+    """
+    wide = []
+    for table in map(materialize, tables):
+        sent = measured_broadcast(table)
+        if sent is table:
+            wide.append(table)
+        else:
+            rows = rows.join(sent, list(keys), "left")
+    return left_join(rows, wide, keys) if wide else rows
+
+
 def semi_join_top(rows: DataFrame, top: DataFrame, key: str) -> DataFrame:
     """The rows whose ``key`` is in ``top`` (J6), exactly; null keys match nothing.
 

@@ -12,8 +12,11 @@ all values, and cost stays linear, unlike a 1e-6-accuracy GK sketch.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,3 +59,65 @@ def exact_quantiles(long: DataFrame, keys: Sequence[str], value: str, probs: Seq
         aggs.append(F.min(F.when(F.col("cum") >= rank, v)).alias(f"__q{i}"))
     res = cum.groupBy(*keys).agg(*aggs)
     return res.select(*keys, F.array(*[F.col(f"__q{i}") for i in range(len(probs))]).alias(out))
+
+
+def sorted_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """keys + one double per column: the discrete median (rank ceil(n / 2)) of each group's values; null and NaN are missing, a null key is a group.
+
+    Rows are shuffled and sorted by the keys alone; a task walks through them in Arrow batches and holds
+    one group and a batch at a time, so groups must be bounded. Groups that end in a batch are taken together.
+    """
+    keys, cols = list(keys), list(cols)
+    rows = df.select(*keys, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
+    made = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_medians(len(keys), len(cols)), _median_schema(rows, keys, len(cols)))
+    return made.select(*keys, *[F.col(f"_v{i}").alias(c) for i, c in enumerate(cols)])
+
+
+def _median_schema(rows: DataFrame, keys: Sequence[str], n: int) -> str:
+    return ", ".join([*(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys), *(f"_v{i} double" for i in range(n))])
+
+
+def _medians(n_keys: int, n_values: int):
+    """A task's medians over batches that are sorted by their first ``n_keys`` columns; the last group of a batch waits for the next."""
+
+    def heads(table: pa.Table) -> np.ndarray:
+        """First row of each group."""
+        new = np.zeros(len(table), bool)
+        new[:1] = True
+        for k in range(n_keys):
+            code = table.column(k).combine_chunks().dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+            new[1:] |= code[1:] != code[:-1]
+        return np.flatnonzero(new)
+
+    def taken(table: pa.Table, first: np.ndarray) -> Iterator[pa.RecordBatch]:
+        group = np.repeat(np.arange(len(first)), np.diff(first, append=len(table)))
+        out = []
+        for i in range(n_keys, n_keys + n_values):
+            value = table.column(i).to_numpy()
+            keep = ~np.isnan(value)
+            own, value = group[keep], value[keep]
+            value = value[np.lexsort((value, own))]
+            n = np.bincount(own, minlength=len(first))
+            at = np.cumsum(n) - n + np.maximum(n - 1, 0) // 2
+            median = value[np.minimum(at, len(value) - 1)] if len(value) else np.zeros(len(first))
+            out.append(pa.array(median, mask=n == 0))
+        held = table.select(range(n_keys)).take(first).combine_chunks()
+        yield from pa.table([*held.columns, *out], names=table.column_names).to_batches(10_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            # a group that goes on through whole batches is only looked through once it ends
+            if waiting and not len(heads(pa.Table.from_batches([waiting[0].slice(0, 1), batch]))) > 1:
+                waiting.append(batch)
+                continue
+            table = pa.Table.from_batches([*waiting, batch])
+            first = heads(table)
+            if len(first) > 1:
+                yield from taken(table.slice(0, int(first[-1])), first[:-1])
+            waiting = table.slice(int(first[-1])).combine_chunks().to_batches()
+        if waiting:
+            yield from taken(pa.Table.from_batches(waiting), np.zeros(1, int))
+    return run

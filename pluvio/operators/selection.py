@@ -69,19 +69,24 @@ class _Search:
             self.value = self.floor
 
 
-def _values(batch: pa.RecordBatch, column: int, groups: np.ndarray | None) -> Iterator[tuple[int, np.ndarray]]:
-    """(group number, its sorted values of a column) in a batch."""
-    value = batch[f"_v{column}"].to_numpy(zero_copy_only=False)
-    if groups is None:
-        yield 0, np.sort(value[~np.isnan(value)])
-        return
-    order = np.lexsort((value, groups))
-    value, own = value[order], groups[order]
-    keep = ~np.isnan(value)
-    value, own = value[keep], own[keep]
+def _parts(groups: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of a batch's rows by group and, in it, (group number, start, end)."""
+    order = np.argsort(groups, kind="stable")
+    own = groups[order]
     heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, int)
-    for s, e in zip(heads, [*heads[1:], len(own)]):
-        yield int(own[s]), value[s:e]
+    return order, [(int(own[s]), int(s), int(e)) for s, e in zip(heads, [*heads[1:], len(own)])]
+
+
+def _values(batch: pa.RecordBatch, column: int, parts: tuple | None) -> Iterator[tuple[int, np.ndarray]]:
+    """(group number, its sorted values of a column) in a batch; ``parts`` as of :func:`_parts`."""
+    value = batch[f"_v{column}"].to_numpy(zero_copy_only=False)
+    order, found = parts or (slice(None), [(0, 0, len(value))])
+    value = value[order]
+    for g, s, e in found:
+        own = np.sort(value[s:e])  # NaN last
+        own = own[:len(own) - np.count_nonzero(np.isnan(own))]
+        if len(own) or parts is None:
+            yield g, own
 
 
 def _pass(ranges: dict, cuts: dict, picks: dict):
@@ -97,7 +102,7 @@ def _pass(ranges: dict, cuts: dict, picks: dict):
         for batch in batches:
             if random is None:
                 random = np.random.default_rng(len(batch))
-            groups = batch["_g"].to_numpy(zero_copy_only=False) if "_g" in batch.schema.names else None
+            groups = _parts(batch["_g"].to_numpy(zero_copy_only=False)) if "_g" in batch.schema.names else None
             for c in columns:
                 for g, value in _values(batch, c, groups):
                     if (None, c) in ranges:

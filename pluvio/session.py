@@ -14,6 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 HUGE_METHODS = "-XX:-DontCompileHugeMethods"
 
+#: Bytes of a method from which HotSpot interprets it, unless it is started with HUGE_METHODS.
+JIT_LIMIT = 8000
+
+
+def compilable(spark: SparkSession) -> None:
+    """Let Spark split what would be a method beyond JIT_LIMIT, as a projection of all columns is; a lower limit of the session stays."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(name)) > JIT_LIMIT:
+        spark.conf.set(name, str(JIT_LIMIT))
+
 
 def local_session(cores: int | str = "*", app: str = "pluvio",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DIRECTIONS
+from ..session import compilable
 
 # Row hash of a lineitem row (shared by Spark and SQL text).
 H_EXPR = "l_orderkey*31 + l_partkey*17 + l_linenumber*7 + cast(l_quantity as bigint)"
@@ -61,6 +62,7 @@ def obs(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
     tables are one row group each, which one task would read and derive all
     columns of. Turn it off for files of many row groups; rows are the same.
     """
+    compilable(spark)
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
     if spread:
