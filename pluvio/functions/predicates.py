@@ -115,10 +115,18 @@ def canonical_binary(c, yes: str = "Yes", no: str = "No") -> Column:
     return F.when(low == yes.lower(), F.lit(yes)).when(low == no.lower(), F.lit(no)).otherwise(c)
 
 
-def parse_date(c, fmt: str = "yyyy-MM-dd", is_text: bool = True) -> Column:
+ISO_DATE = "yyyy-MM-dd"
+
+
+def parse_date(c, fmt: str = ISO_DATE, is_text: bool = True) -> Column:
     """Tolerant date parse: unparsable text (or invalid casts) give null."""
     c = _c(c)
-    return F.try_to_date(c, fmt) if is_text else c.try_cast("date")
+    if not is_text:
+        return c.try_cast("date")
+    if fmt != ISO_DATE:
+        return F.try_to_date(c, fmt)
+    # the plain form by a cast, which builds no zoned date-time for every row
+    return F.when(c.rlike("\\A[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}\\z"), c.try_cast("date")).otherwise(F.try_to_date(c, fmt))
 
 
 def threshold_flag(c, threshold: float = 0.0, yes: str = "Yes", no: str = "No") -> Column:

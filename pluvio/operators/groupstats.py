@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import AUDIT_TOKENS, WEATHER, Roles
 from ..functions.predicates import any_present, is_missing
+from ..session import materialize
 from .quantiles import exact_quantiles, sorted_medians
 from .selection import select_quantiles
 
@@ -49,21 +50,25 @@ def group_stats(df: DataFrame, keys: Sequence[str], mean_cols: Sequence[str] = (
     floats = {c for c, t in df.dtypes if t in ("double", "float")}
     df = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in dict.fromkeys([*presence, *mean_cols, *median_cols, *raw_mean_cols]) if c in floats})
     src = df.filter(any_present(presence)) if presence else df
-    if medians == "measured":
-        # of all rows, as only the keys are read for that
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] if median_cols else 0
-        medians = "sorted" if (largest or 0) <= GROUP_ROWS else "exact_spread"
     aggs = [_mean(c, mean_decimals).alias(f"{c}_mean") for c in mean_cols]
     if medians == "exact":
         aggs += [F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)").alias(f"{c}_median") for c in median_cols]
     elif medians == "sketch":
         aggs += [F.percentile_approx(F.col(c), 0.5, accuracy).alias(f"{c}_median") for c in median_cols]
     aggs += [F.avg(F.col(c)).alias(f"{c}_mean") for c in raw_mean_cols]
-    stats = src.groupBy(*keys).agg(*aggs) if aggs else src.select(*keys).distinct()
+    if medians == "measured" and median_cols:
+        # the groups' rows are counted with their means, which are stored for that
+        stats = materialize(src.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_rows")))
+        largest = stats.agg(F.max("_rows")).first()[0] or 0
+        stats, medians = stats.drop("_rows"), "sorted" if largest <= GROUP_ROWS else "exact_spread"
+    else:
+        stats = src.groupBy(*keys).agg(*aggs) if aggs else src.select(*keys).distinct()
     if medians not in ("exact_spread", "select", "sorted") or not median_cols:
         return stats
     if medians == "select":
-        found = select_quantiles(src, median_cols, [0.5], keys, stored=stored)
+        # rows without any value are in no median; left in, they need no other column than the open ones
+        absent_too = stored and set(median_cols) <= set(presence)
+        found = select_quantiles(df if absent_too else src, median_cols, [0.5], keys, stored=stored)
         kinds = [f"`__{k}` {src.schema[k].dataType.simpleString()}" for k in keys] + [f"`{c}_median` double" for c in median_cols]
         wide = F.broadcast(src.sparkSession.createDataFrame([(*key, *(own[c][0] for c in median_cols)) for key, own in found.items()], ", ".join(kinds)))
         return _with_medians(stats, wide, keys, mean_cols, median_cols)
@@ -107,15 +112,15 @@ def group_modes(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
 
 
 def global_stats(df: DataFrame, spec: Roles = WEATHER, default_median: float = 0.0,
-                 default_mode: str = "N") -> dict:
+                 default_mode: str = "N", stored: bool = False) -> dict:
     """Whole-frame medians, rounded discrete means and direction modes.
 
     Returns a small dict of scalars (one per column), like a fitted model;
-    empty columns fall back to the defaults.
+    empty columns fall back to the defaults. ``stored`` as in :func:`group_stats`.
     """
     num = [c for c in spec.numeric if c not in spec.discrete]
     row = df.agg(*[F.round(F.avg(F.col(c))).cast("int").alias(c) for c in spec.discrete]).first().asDict()
-    row.update({c: q[0] for c, q in select_quantiles(df, num, [0.5]).get((), {}).items()})
+    row.update({c: q[0] for c, q in select_quantiles(df, num, [0.5], stored=stored).get((), {}).items()})
     modes = group_modes(df.withColumn("__all", F.lit(1)), ["__all"], list(spec.directions), tokens=None).first()
     out = {c: (row.get(c) if row.get(c) is not None else default_median) for c in num}
     out.update({c: row[c] for c in spec.discrete if row[c] is not None})

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..config import AUDIT_TOKENS, WEATHER, Roles
 from ..functions.predicates import is_missing, threshold_flag
 from .groupstats import group_modes, group_stats
+from ..session import materialize
 from .joins import join_statistics, measured_broadcast
 
 FLAG = "RainToday_inferred"
@@ -154,8 +155,9 @@ def impute_secondary(df: DataFrame, fit: DataFrame, key: str | None = None, spec
     else:
         key = key or spec.label
         rows = df
-    stats = tier2_stats(fit, key, spec, stored)
-    modes = tier2_modes(fit, key, spec)
+    # stored, as the result may be read more than once
+    stats = materialize(tier2_stats(fit, key, spec, stored))
+    modes = materialize(tier2_modes(fit, key, spec))
     joined = rows.join(F.broadcast(stats), [key], "left").join(F.broadcast(modes), [key], "left")
     out = []
     for c in df.columns:

@@ -45,15 +45,18 @@ class _Search:
     low: float | None = None
     high: float | None = None
     value: float | None = None
+    between: int = 0
 
     def cut(self, sample: np.ndarray) -> None:
-        """Set the cuts by a sorted sample of the range; where both would be its ends, one value of the sample is both cuts."""
+        """Set the cuts by a sorted sample of the range, and about how many rows lie ``between`` them; where both would be its ends, one value of the sample is both cuts."""
         at, n = self.place / self.rows, len(sample)
         room = ERRORS * math.sqrt(at * (1 - at) / n) + 1 / n
         low, high = math.floor((at - room) * n), math.ceil((at + room) * n)
         self.low, self.high = (float(sample[low]) if low >= 0 else self.floor), (float(sample[high]) if high < n else self.ceiling)
         if (self.low, self.high) == (self.floor, self.ceiling):
             self.low = self.high = float(sample[min(n - 1, int(at * n))])
+        inside = np.searchsorted(sample, self.high, "right") - np.searchsorted(sample, self.low)
+        self.between = max(1, math.ceil(self.rows * int(inside) / n))
 
     def counted(self, below: int, between: int) -> None:
         """Of the range's rows ``below`` are less than ``low`` and ``between`` lie from ``low`` to ``high``."""
@@ -109,7 +112,8 @@ def _pass(ranges: dict, cuts: dict, picks: dict):
                         counts["n", g, c, 0] = counts.get(("n", g, c, 0), 0) + np.array([len(value), 0])
                     for (floor, ceiling), share in {**ranges.get((None, c), {}), **ranges.get((g, c), {})}.items():
                         own = value[np.searchsorted(value, floor):np.searchsorted(value, ceiling, "right")]
-                        own = own if share >= 1 else own[random.random(len(own)) < share]
+                        # a copy, as a slice would hold the whole batch's values until the task ends
+                        own = own.copy() if share >= 1 else own[random.random(len(own)) < share]
                         if len(own):
                             kept.setdefault(("sample", g, c, 0, floor, ceiling), []).append(own)
                     for slot, floor, low, high in cuts.get((g, c), ()):
@@ -118,7 +122,7 @@ def _pass(ranges: dict, cuts: dict, picks: dict):
                     for slot, floor, ceiling in picks.get((g, c), ()):
                         own = value[np.searchsorted(value, floor):np.searchsorted(value, ceiling, "right")]
                         if len(own):
-                            kept.setdefault(("pick", g, c, slot, floor, ceiling), []).append(own)
+                            kept.setdefault(("pick", g, c, slot, floor, ceiling), []).append(own.copy())
         rows = [(*key, None, None, int(a), int(b), None) for key, (a, b) in counts.items()]
         rows += [(*key, 0, 0, np.concatenate(own)) for key, own in kept.items()]
         for at in range(0, len(rows), 1000):
@@ -175,9 +179,10 @@ class _Selection:
         cuts: dict = {}
         for key, own in opened.items():
             for i, s in own.items():
-                floor, ceiling = (s.floor, s.ceiling) if s.low is None else (s.low, s.high)
-                # between the cuts lie fewer rows than in the range; samples are small enough in any case
-                ranges.setdefault(key, {})[floor, ceiling] = min(1.0, each / s.rows * (1 if s.low is None else 30))
+                floor, ceiling, rows = (s.floor, s.ceiling, s.rows) if s.low is None else (s.low, s.high, s.between)
+                if floor < ceiling:  # a single value needs no closer cuts
+                    share = min(1.0, each / rows)
+                    ranges.setdefault(key, {})[floor, ceiling] = max(share, ranges.get(key, {}).get((floor, ceiling), 0.0))
                 if s.low is not None:
                     cuts.setdefault(key, []).append((i, s.floor, s.low, s.high))
         found, samples = self._run(ranges, cuts, {}, [c for _, c in opened])

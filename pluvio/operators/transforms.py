@@ -92,10 +92,10 @@ def with_cyclic_month(df: DataFrame, col: str = "Month") -> DataFrame:
     return df.withColumns({k: v for k, v in cyclic_month(col).items()})
 
 
-def quantile_splits(fit: DataFrame, cols: Sequence[str], n: int = 10) -> dict:
+def quantile_splits(fit: DataFrame, cols: Sequence[str], n: int = 10, stored: bool = False) -> dict:
     """Distinct inner cut points per column at probabilities 1/n … (n−1)/n (a few numbers each, none for
-    a column without values), exact as with ``QuantileDiscretizer(relativeError=0)``."""
-    found = select_quantiles(fit, cols, [i / n for i in range(1, n)]).get((), {})
+    a column without values), exact as with ``QuantileDiscretizer(relativeError=0)``; ``stored`` as in ``select_quantiles``."""
+    found = select_quantiles(fit, cols, [i / n for i in range(1, n)], stored=stored).get((), {})
     return {c: sorted({x for x in found.get(c, []) if x is not None}) for c in cols}
 
 
@@ -130,11 +130,11 @@ def standardize(df: DataFrame, stats: dict, suffix: str = "_std") -> DataFrame:
 
 
 def model_sets(train: DataFrame, test: DataFrame, cols: Sequence[str], n_bins: int = 10,
-               label: str = "label") -> tuple[DataFrame, DataFrame]:
+               label: str = "label", stored: bool = False) -> tuple[DataFrame, DataFrame]:
     """``features_linear`` (standardised + cyclic month) and ``features_binned``
-    (quantile bins), both fitted on train and applied to both sides."""
+    (quantile bins), both fitted on train and applied to both sides; ``stored`` says that ``train`` reads files."""
     stats = scaler_stats(train, cols)
-    splits = quantile_splits(train, cols, n_bins)
+    splits = quantile_splits(train, cols, n_bins, stored)
 
     def build(df: DataFrame) -> DataFrame:
         x = quantile_bins(standardize(with_cyclic_month(df), stats), splits)

@@ -676,13 +676,13 @@ def q_impute_wind_test(spark, sf):
 @register("impute_tier2_train", P.chain(P.select_out("tr2")))
 def q_impute_tier2_train(spark, sf):
     p = prep(spark, sf)
-    return impute.impute_secondary(p.train_tier1, p.train_tier1, SPEC.label)
+    return impute.impute_secondary(p.train_tier1, p.train_tier1, SPEC.label, stored=True)
 
 
 @register("impute_tier2_test", P.chain(P.select_out("te2")))
 def q_impute_tier2_test(spark, sf):
     p = prep(spark, sf)
-    return impute.impute_secondary(p.test_tier1, p.train_tier1, infer_flag=True)
+    return impute.impute_secondary(p.test_tier1, p.train_tier1, infer_flag=True, stored=True)
 
 
 @register("prepare_train", P.chain(P.select_out("trf")))
@@ -864,8 +864,8 @@ _FEAT = ["Rainfall", *ROW_MEANS]
     f"SELECT h, Rainfall, {_MEANS_SQL}, CAST(CASE WHEN RainTomorrow = 'Yes' THEN 0.0 ELSE 1.0 END AS DOUBLE) AS label FROM trf"))
 def q_build_features(spark, sf):
     p = prep(spark, sf)
-    model = features.build_features(p.train_final_m)
-    return model.transform(p.train_final_m).select("h", *_FEAT, "label")
+    model = features.build_features(p.train_final)
+    return model.transform(p.train_final).select("h", *_FEAT, "label")
 
 
 @register("feature_vector", P.chain(
@@ -874,8 +874,8 @@ def q_build_features(spark, sf):
 def q_feature_vector(spark, sf):
     """The vector's elements in order, and the label mapped to its index and back."""
     p = prep(spark, sf)
-    model = features.build_features(p.train_final_m)
-    rows = features.label_map(model.transform(p.train_final_m), features.label_names(model), out="class_name")
+    model = features.build_features(p.train_final)
+    rows = features.label_map(model.transform(p.train_final), features.label_names(model), out="class_name")
     elements = vector_to_array("features")
     return rows.select("h", *[elements[i].alias(f"f{i}") for i in range(len(_FEAT))], "class_name")
 
@@ -1123,7 +1123,7 @@ _CLEAN = ("cf AS (SELECT trf.* FROM trf, ev WHERE coalesce(Cloud9am <> 9, true)
 @register("clean_final", S.with_obs(P.select_out("cf"), *P.ctes(), _EVAP_FENCE, _CLEAN))
 def q_clean_final(spark, sf):
     p = prep(spark, sf)
-    return transforms.clean_final(p.train_final_m)
+    return transforms.clean_final(p.train_final)
 
 
 @register("retention", S.with_obs("""
@@ -1136,7 +1136,7 @@ FROM (SELECT 0 AS pos, 'input' AS stage, count(*) AS n_rows FROM obs
 def q_retention(spark, sf):
     p = prep(spark, sf)
     return transforms.retention([("input", p.raw), ("valid_label", p.normalized), ("train", p.split[0]),
-                                 ("clean_final", transforms.clean_final(p.train_final_m))])
+                                 ("clean_final", transforms.clean_final(p.train_final))])
 
 
 @register("retention_written", ORACLE["retention"])
@@ -1146,7 +1146,7 @@ def q_retention_written(spark, sf):
     p.raw = seen.write("input", p.raw)
     p._cache["normalized"] = seen.write("valid_label", p.normalized)
     p._cache["stored"] = (seen.write("train", p.split[0]), p.split[1])
-    seen.write("clean_final", transforms.clean_final(p.train_final_m))
+    seen.write("clean_final", transforms.clean_final(p.train_final))
     return seen.table(spark)
 
 
@@ -1172,7 +1172,8 @@ _FEAT_CTE = f"feat AS (SELECT h, Month, Rainfall, {_MEANS_SQL} FROM trf)"
 
 
 def _feat_frame(p):
-    return features.with_row_means(p.train_final_m).select("h", "Month", *_FCOLS)
+    """The model's columns of the final train side, stored: fitted on and then read."""
+    return session.materialize(features.with_row_means(p.train_final).select("h", "Month", *_FCOLS))
 
 
 _SPLITS = ("splits AS (SELECT " + ", ".join(
@@ -1186,7 +1187,7 @@ _SPLITS = ("splits AS (SELECT " + ", ".join(
         f"AS {S.q(c + '_bin')}" for c in _FCOLS) + " FROM feat f, splits s", *P.ctes(), _FEAT_CTE, _SPLITS))
 def q_quantile_bins(spark, sf):
     f = _feat_frame(prep(spark, sf))
-    return transforms.quantile_bins(f, transforms.quantile_splits(f, _FCOLS)).select("h", *[c + "_bin" for c in _FCOLS])
+    return transforms.quantile_bins(f, transforms.quantile_splits(f, _FCOLS, stored=True)).select("h", *[c + "_bin" for c in _FCOLS])
 
 
 @register("standardize", S.with_obs(
@@ -1203,9 +1204,9 @@ def q_standardize(spark, sf):
 @register("model_sets")
 def q_model_sets(spark, sf):
     p = prep(spark, sf)
-    tr = features.with_row_means(p.train_final_m)
+    tr = _feat_frame(p)
     te = features.with_row_means(p.test_final)
-    a, b = transforms.model_sets(tr, te, _FCOLS)
+    a, b = transforms.model_sets(tr, te, _FCOLS, stored=True)
     return b.select("h", "features_linear", "features_binned")
 
 
@@ -1238,7 +1239,7 @@ def q_model_set_elements(spark, sf):
         for c in P.OUT) + " FROM trc"))
 def q_impute_global(spark, sf):
     p = prep(spark, sf)
-    return impute.impute_global(p.train_clean, groupstats.global_stats(p.train_clean))
+    return impute.impute_global(p.train_clean, groupstats.global_stats(p.train_clean, stored=True))
 
 
 # ---------------------------------------------------------------------------

@@ -119,12 +119,12 @@ class Preparation:
     @property
     def train_final(self) -> DataFrame:
         return self._get("train_final", lambda: self._canonical(
-            impute.impute_secondary(self.train_tier1, self.train_tier1, self.spec.label, self.spec)))
+            impute.impute_secondary(self.train_tier1, self.train_tier1, self.spec.label, self.spec, stored=self.materialize_stages)))
 
     @property
     def test_final(self) -> DataFrame:
         return self._get("test_final", lambda: self._canonical(
-            impute.impute_secondary(self.test_tier1, self.train_tier1, spec=self.spec, infer_flag=True)))
+            impute.impute_secondary(self.test_tier1, self.train_tier1, spec=self.spec, infer_flag=True, stored=self.materialize_stages)))
 
     @property
     def train_final_m(self) -> DataFrame:
