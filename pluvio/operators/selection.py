@@ -1,11 +1,11 @@
 """Exact quantiles of all columns at once by distributed selection.
 
 No row is multiplied and no value is shuffled. Samples of the rows in a rank's
-range choose two cuts near the rank; a pass over the stored columns then counts,
-for all columns and ranks together, the rows below and between the cuts, which
-proves where the rank lies, and samples what is between for closer cuts. So a range
-narrows about fifty times a pass, until few rows are left in it (they are sorted
-and the rank is taken) or the cuts meet. As in quickselect the samples only choose
+range choose cuts near the rank; a pass over the stored columns then counts,
+for all columns and ranks together, the rows below and at each cut, which
+proves where the rank lies: at a cut (as with values that repeat), or between two. So a range
+narrows thousands of times in two passes, until few rows are left in it (they are sorted
+and the rank is taken) or a cut is the rank's value. As in quickselect the samples only choose
 where to count: the result is exact whatever they hold.
 
 Passes count in Arrow batches with numpy (one binary search per value): 160 counts
@@ -30,8 +30,9 @@ from ..functions.predicates import number
 from ..session import materialize
 
 #: Sampled values that a pass sends to the driver, least of them for a range, standard errors of a place that the cuts leave room for,
-#: rows of a range that are sorted in one buffer, groups at most.
+#: rows of a range that are sorted in one buffer, groups at most; cuts of a range, and of all ranges.
 SAMPLE, LEAST, ERRORS, FEW, MAX_GROUPS = 800_000, 200, 4.0, 20_000, 1_000
+CUTS, ALL_CUTS = 128, 16_384
 
 
 @dataclass
@@ -42,32 +43,30 @@ class _Search:
     place: int
     floor: float = -math.inf
     ceiling: float = math.inf
-    low: float | None = None
-    high: float | None = None
+    cuts: np.ndarray | None = None
     value: float | None = None
-    between: int = 0
 
-    def cut(self, sample: np.ndarray) -> None:
-        """Set the cuts by a sorted sample of the range, and about how many rows lie ``between`` them; where both would be its ends, one value of the sample is both cuts."""
+    def cut(self, sample: np.ndarray, most: int) -> None:
+        """Set about ``most`` cuts by a sorted sample of the range: around the rank, evenly by rows, and the value that is likeliest the rank's."""
         at, n = self.place / self.rows, len(sample)
         room = ERRORS * math.sqrt(at * (1 - at) / n) + 1 / n
-        low, high = math.floor((at - room) * n), math.ceil((at + room) * n)
-        self.low, self.high = (float(sample[low]) if low >= 0 else self.floor), (float(sample[high]) if high < n else self.ceiling)
-        if (self.low, self.high) == (self.floor, self.ceiling):
-            self.low = self.high = float(sample[min(n - 1, int(at * n))])
-        inside = np.searchsorted(sample, self.high, "right") - np.searchsorted(sample, self.low)
-        self.between = max(1, math.ceil(self.rows * int(inside) / n))
-
-    def counted(self, below: int, between: int) -> None:
-        """Of the range's rows ``below`` are less than ``low`` and ``between`` lie from ``low`` to ``high``."""
-        if self.place <= below:
-            self.rows, self.ceiling = below, math.nextafter(self.low, -math.inf)
-        elif self.place > below + between:
-            self.place, self.rows = self.place - below - between, self.rows - below - between
-            self.floor = math.nextafter(self.high, math.inf)
-        else:
-            self.place, self.rows, self.floor, self.ceiling = self.place - below, between, self.low, self.high
-        self.low = self.high = None
+        low, high = max(0, math.floor((at - room) * n)), min(n - 1, math.ceil((at + room) * n))
+        near = sample[np.unique(np.linspace(low, high, most).astype(int))]
+        self.cuts = np.unique(np.append(near, sample[min(n - 1, int(at * n))]))
+
+    def counted(self, below: np.ndarray, equal: np.ndarray) -> None:
+        """Of the range's rows ``below`` are less than each cut and ``equal`` are the cut itself."""
+        cuts, upto = self.cuts, below + equal
+        at = int(np.searchsorted(upto, self.place))
+        self.cuts = None
+        if at < len(cuts) and self.place > below[at]:
+            self.value = float(cuts[at])
+            return
+        before = int(upto[at - 1]) if at else 0
+        self.rows = (int(below[at]) if at < len(cuts) else self.rows) - before
+        self.place -= before
+        self.floor = math.nextafter(cuts[at - 1], math.inf) if at else self.floor
+        self.ceiling = math.nextafter(cuts[at], -math.inf) if at < len(cuts) else self.ceiling
         if self.floor == self.ceiling:
             self.value = self.floor
 
@@ -80,23 +79,25 @@ def _parts(groups: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     return order, [(int(own[s]), int(s), int(e)) for s, e in zip(heads, [*heads[1:], len(own)])]
 
 
-def _values(batch: pa.RecordBatch, column: int, parts: tuple | None) -> Iterator[tuple[int, np.ndarray]]:
-    """(group number, its sorted values of a column) in a batch; ``parts`` as of :func:`_parts`."""
+def _values(batch: pa.RecordBatch, column: int, parts: tuple | None, ordered: bool = True) -> Iterator[tuple[int, np.ndarray]]:
+    """(group number, its values of a column, sorted if ``ordered``) in a batch; ``parts`` as of :func:`_parts`."""
     value = batch[f"_v{column}"].to_numpy(zero_copy_only=False)
     order, found = parts or (slice(None), [(0, 0, len(value))])
     value = value[order]
     for g, s, e in found:
-        own = np.sort(value[s:e])  # NaN last
-        own = own[:len(own) - np.count_nonzero(np.isnan(own))]
+        own = value[s:e]
+        own = np.sort(own[~np.isnan(own)]) if ordered else own[~np.isnan(own)]
         if len(own) or parts is None:
             yield g, own
 
 
 def _pass(ranges: dict, cuts: dict, picks: dict):
     """A task's share of a pass. ``ranges``: {(group, column): {(floor, ceiling): share to sample}}; group None stands for all groups.
-    ``cuts`` and ``picks``: {(group, column): [(slot, floor, low, high)]} and {(group, column): [(slot, floor, ceiling)]}.
-    Rows: kind (n, sample, count, pick), group, column, slot, floor, ceiling, a, b and values."""
+    ``cuts`` and ``picks``: {(group, column): [(slot, floor, sorted cuts)]} and {(group, column): [(slot, floor, ceiling)]}.
+    Rows: kind (n, sample, count, pick), group, column, slot, floor, ceiling (the cut, for a count), a, b and values."""
     columns = sorted({c for part in (ranges, cuts, picks) for _, c in part})
+    whole = (-math.inf, math.inf)
+    ordered = bool(cuts or picks) or any(own.keys() != {whole} for own in ranges.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[tuple, np.ndarray] = {}
@@ -107,23 +108,28 @@ def _pass(ranges: dict, cuts: dict, picks: dict):
                 random = np.random.default_rng(len(batch))
             groups = _parts(batch["_g"].to_numpy(zero_copy_only=False)) if "_g" in batch.schema.names else None
             for c in columns:
-                for g, value in _values(batch, c, groups):
+                for g, value in _values(batch, c, groups, ordered):
                     if (None, c) in ranges:
                         counts["n", g, c, 0] = counts.get(("n", g, c, 0), 0) + np.array([len(value), 0])
                     for (floor, ceiling), share in {**ranges.get((None, c), {}), **ranges.get((g, c), {})}.items():
-                        own = value[np.searchsorted(value, floor):np.searchsorted(value, ceiling, "right")]
+                        own = value if (floor, ceiling) == whole else value[np.searchsorted(value, floor):np.searchsorted(value, ceiling, "right")]
                         # a copy, as a slice would hold the whole batch's values until the task ends
                         own = own.copy() if share >= 1 else own[random.random(len(own)) < share]
                         if len(own):
                             kept.setdefault(("sample", g, c, 0, floor, ceiling), []).append(own)
-                    for slot, floor, low, high in cuts.get((g, c), ()):
-                        at = np.searchsorted(value, [floor, low]), np.searchsorted(value, high, "right")
-                        counts["count", g, c, slot] = counts.get(("count", g, c, slot), 0) + np.array([at[0][1] - at[0][0], at[1] - at[0][1]])
+                    for slot, floor, points in cuts.get((g, c), ()):
+                        first = np.searchsorted(value, points)
+                        seen = np.stack([first - np.searchsorted(value, floor), np.searchsorted(value, points, "right") - first])
+                        counts["count", g, c, slot] = counts.get(("count", g, c, slot), 0) + seen
                     for slot, floor, ceiling in picks.get((g, c), ()):
                         own = value[np.searchsorted(value, floor):np.searchsorted(value, ceiling, "right")]
                         if len(own):
                             kept.setdefault(("pick", g, c, slot, floor, ceiling), []).append(own.copy())
-        rows = [(*key, None, None, int(a), int(b), None) for key, (a, b) in counts.items()]
+        rows = [(*key, None, None, int(n[0]), int(n[1]), None) for key, n in counts.items() if key[0] == "n"]
+        for kind, g, c, slot in counts:
+            if kind == "count":
+                points = next(p for i, _, p in cuts[g, c] if i == slot)
+                rows += [(kind, g, c, slot, float(p), float(p), int(a), int(b), None) for p, a, b in zip(points, *counts[kind, g, c, slot])]
         rows += [(*key, 0, 0, np.concatenate(own)) for key, own in kept.items()]
         for at in range(0, len(rows), 1000):
             parts = list(zip(*rows[at:at + 1000]))
@@ -144,53 +150,57 @@ class _Selection:
         self.searches: dict[tuple[int, int], dict[int, _Search]] = {}
         share = min(1.0, max(LEAST, SAMPLE // max(1, columns)) / max(1, source.count()))
         found, samples = self._run({(None, c): {(-math.inf, math.inf): share} for c in range(columns)}, {}, {}, range(columns))
-        for (kind, g, c, _), (n, _) in found.items():
-            if n:
+        for (kind, g, c, _), own in found.items():
+            if n := next(iter(own.values()))[0]:
                 self.searches[g, c] = {i: _Search(n, max(1, rank(p, n))) for i, p in enumerate(probs)}
-        self._cut(samples)
         while opened := self._open(lambda s: s.rows > FEW):
-            self._narrow(opened)
+            self._cut(opened, samples)
+            samples = self._narrow(opened)
         if opened := self._open(lambda s: True):
             self._pick(opened)
 
     def _run(self, ranges: dict, cuts: dict, picks: dict, columns: Sequence[int]) -> tuple[dict, dict]:
-        """Counts by (kind, group, column, slot), summed by Spark, and sorted samples by (group, column, floor, ceiling)."""
+        """Counts by (kind, group, column, slot) and cut, summed by Spark, and sorted samples by (group, column, floor, ceiling)."""
         names = [*(c for c in ["_g"] if c in self.source.columns), *(f"_v{c}" for c in sorted(set(columns)))]
         made = self.source.select(*names).mapInArrow(_pass(ranges, cuts, picks), _SCHEMA)
         rows = made.groupBy(*_NAMES[:6]).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.flatten(F.collect_list("found")).alias("found")).collect()
-        counts = {(r["kind"], r["g"], r["c"], r["slot"]): (r["a"], r["b"]) for r in rows if r["kind"] != "sample"}
+        counts: dict[tuple, dict] = {}
+        for r in rows:
+            if r["kind"] in ("n", "count"):
+                counts.setdefault((r["kind"], r["g"], r["c"], r["slot"]), {})[r["floor"]] = r["a"], r["b"]
         return counts, {(r["g"], r["c"], r["floor"], r["ceiling"]): np.sort(r["found"]) for r in rows if r["kind"] == "sample"}
 
     def _open(self, wanted) -> dict:
         found = {key: {i: s for i, s in own.items() if s.value is None and wanted(s)} for key, own in self.searches.items()}
         return {key: own for key, own in found.items() if own}
 
-    def _cut(self, samples: dict) -> None:
-        for (g, c), own in self._open(lambda s: s.rows > FEW).items():
+    def _cut(self, opened: dict, samples: dict) -> None:
+        """Cuts for the ranges that were sampled."""
+        most = min(CUTS, max(3, ALL_CUTS // sum(map(len, opened.values()))))
+        for (g, c), own in opened.items():
             for search in own.values():
                 sample = samples.get((g, c, search.floor, search.ceiling))
                 if sample is not None:
-                    search.cut(sample)
+                    search.cut(sample, most)
 
-    def _narrow(self, opened: dict) -> None:
-        """Count at all cuts and sample between them; ranges that have no cuts yet are sampled."""
+    def _narrow(self, opened: dict) -> dict:
+        """Count at all cuts; ranges that have none yet are sampled, and the samples returned."""
         each = max(LEAST, SAMPLE // sum(map(len, opened.values())))
         ranges: dict = {}
         cuts: dict = {}
         for key, own in opened.items():
             for i, s in own.items():
-                floor, ceiling, rows = (s.floor, s.ceiling, s.rows) if s.low is None else (s.low, s.high, s.between)
-                if floor < ceiling:  # a single value needs no closer cuts
-                    share = min(1.0, each / rows)
-                    ranges.setdefault(key, {})[floor, ceiling] = max(share, ranges.get(key, {}).get((floor, ceiling), 0.0))
-                if s.low is not None:
-                    cuts.setdefault(key, []).append((i, s.floor, s.low, s.high))
+                if s.cuts is None:
+                    ranges.setdefault(key, {})[s.floor, s.ceiling] = min(1.0, each / s.rows)
+                else:
+                    cuts.setdefault(key, []).append((i, s.floor, s.cuts))
         found, samples = self._run(ranges, cuts, {}, [c for _, c in opened])
         for (g, c), own in opened.items():
             for i, s in own.items():
-                if s.low is not None:
-                    s.counted(*found.get(("count", g, c, i), (0, 0)))
-        self._cut(samples)
+                if s.cuts is not None:
+                    seen = found.get(("count", g, c, i), {})
+                    s.counted(*np.array([seen[float(x)] for x in s.cuts]).T)
+        return samples
 
     def _pick(self, opened: dict) -> None:
         """The rank itself out of the few rows of its range, sorted by Spark; one value for each search reaches the driver."""
