@@ -9,7 +9,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import counted_batches, materialize
 
 #: Rows of a key from which it is dealt to SALTS parts; bytes of a table that may be broadcast; keys that may be sent as a filter.
 HOT_ROWS, SALTS, BROADCAST_BYTES, FILTER_KEYS = 1_000_000, 64, 32 << 20, 10_000
@@ -59,7 +59,9 @@ def join_statistics(rows: DataFrame, tables: Sequence[DataFrame], keys: Sequence
     and neither shuffled nor sorted; null keys match nothing there either. The others meet the rows by ``left_join``.
     """
     wide = []
-    for table in map(materialize, tables):
+    with counted_batches(rows.sparkSession):
+        stored = [materialize(table) for table in tables]
+    for table in stored:
         sent = measured_broadcast(table)
         if sent is table:
             wide.append(table)
