@@ -16,7 +16,8 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, stages
+from . import fold_trees
 
 
 def fit_tree(df: DataFrame, **params) -> DecisionTreeClassificationModel:
@@ -71,7 +72,8 @@ def cross_validate(df: DataFrame, est: Estimator, grid: dict, k: int = 5, parall
                    fold_col: str | None = None, seed: int = 2025) -> CrossValidatorModel:
     """M4: k-fold CV on areaUnderROC; ``fold_col`` gives reproducible folds.
 
-    Decision trees that differ in their depth alone are fitted once, at the greatest one (see :func:`_share_depths`).
+    Decision trees that differ in their depth alone are fitted once, at the greatest one (see :func:`_share_depths`). Forests, and trees
+    of many rows, are grown for all folds and settings at once (see :mod:`.fold_trees`), which gives the same trees.
     """
     evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC")
     kind = _FoldValidator if fold_col else CrossValidator
@@ -80,6 +82,9 @@ def cross_validate(df: DataFrame, est: Estimator, grid: dict, k: int = 5, parall
     if not fold_col:
         return cv.fit(df)
     cv = cv.setFoldCol(fold_col)
+    found = _grow_folds(df, cv)
+    if found:
+        return found
     if type(est) is DecisionTreeClassifier and max(grid.get("maxDepth", [MAX_SHARED + 1])) <= MAX_SHARED:
         return _share_depths(df, cv)
     return cv.fit(df)
@@ -121,6 +126,65 @@ def _share_depths(df: DataFrame, cv: CrossValidator) -> CrossValidatorModel:
     return cv._copyValues(CrossValidatorModel(best, [float(x) for x in average], [], [float(x) for x in areas.std(axis=0)]))
 
 
+#: Training rows from which a tree's folds are grown together; below it Spark's fits are faster. Forests always are.
+MANY_ROWS = 1_000_000
+
+#: Values that trees grown together have, beside those of the grid.
+_GROWN = dict(featuresCol="features", labelCol="label", minInstancesPerNode=1, minInfoGain=0.0, minWeightFractionPerNode=0.0, maxMemoryInMB=256)
+_GROWN_FOREST = dict(featureSubsetStrategy="auto", subsamplingRate=1.0, bootstrap=True)
+
+
+def _grow_folds(df: DataFrame, cv: CrossValidator) -> CrossValidatorModel | None:
+    """``cv.fit(df)`` with the trees of all folds and settings grown at once; None where :mod:`.fold_trees` doesn't hold."""
+    est, maps = cv.getEstimator(), cv.getEstimatorParamMaps()
+    is_forest = type(est) is RandomForestClassifier
+    if not (is_forest or type(est) is DecisionTreeClassifier) or est.isDefined("weightCol") or est.isDefined("thresholds"):
+        return None
+    if {p.name for pm in maps for p in pm} - {"maxDepth", "maxBins", "impurity"} or any(
+            est.getOrDefault(name) != value for name, value in {**_GROWN, **(_GROWN_FOREST if is_forest else {})}.items()):
+        return None
+    wanted = [tuple({**{n: est.getOrDefault(n) for n in ("maxBins", "impurity", "maxDepth")}, **{p.name: v for p, v in pm.items()}}.values()) for pm in maps]
+    trees = est.getNumTrees() if is_forest else 1
+    if not 1 < trees <= fold_trees.MOST_TREES if is_forest else max(d for _, _, d in wanted) > MAX_SHARED:
+        return None
+    if {"nominal", "binary"} & set(df.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})):
+        return None
+    k, fold = cv.getNumFolds(), F.col(cv.getFoldCol())
+    rows = df.groupBy(F.when(fold.between(0, k - 1), fold).alias("fold"), "label").count().collect()
+    n = [[sum(r[2] for r in rows if r[0] == i and r[1] == value) for value in (0.0, 1.0)] for i in range(k)]
+    total = np.sum(n, axis=0)
+    if total.sum() != sum(r[2] for r in rows) or any(sum(own) == 0 or (total - own).min() == 0 for own in n):
+        return None
+    if not is_forest and total.sum() < MANY_ROWS:
+        return None
+    kinds = sorted({(b, i) for b, i, _ in wanted})
+    settings = [fold_trees.Setting(b, i, max(1, *(d for x, y, d in wanted if (x, y) == (b, i)))) for b, i in kinds]
+    at = [(kinds.index((b, i)), d) for b, i, d in wanted]
+    grown = fold_trees.FoldTrees(df, cv.getFoldCol(), [int(total.sum() - sum(own)) for own in n], settings, trees, est.getSeed(), is_forest)
+    with stages(), grown:
+        if not grown.grow():
+            return None
+        if is_forest:
+            areas = _forest_areas(grown, cv, at)
+        else:
+            seen = grown.seen()
+            areas = np.array([[_area(grown.trees[i][s][0].values(d, False), seen[i, s]) for s, d in at] for i in range(k)])
+    average = areas.mean(axis=0)
+    best = est.fit(df, maps[int(np.argmax(average))])
+    return cv._copyValues(CrossValidatorModel(best, [float(x) for x in average], [], [float(x) for x in areas.std(axis=0)]))
+
+
+def _forest_areas(grown: fold_trees.FoldTrees, cv: CrossValidator, at: Sequence[tuple[int, int]]) -> np.ndarray:
+    """(fold, setting and depth) areas that the evaluator gives for the validation rows' scores."""
+    evaluator, scored = cv.getEvaluator(), grown.scored(at)
+    spark = scored.sparkSession
+    places = [(i, c) for i in range(cv.getNumFolds()) for c in range(len(at))]
+    with ThreadPool(cv.getParallelism()) as pool:
+        found = pool.map(inheritable_thread_target(spark)(
+            lambda own: evaluator.evaluate(scored.filter(F.col("fold") == own[0]).select("label", F.col(f"s{own[1]}").alias("rawPrediction")))), places)
+    return np.array(found).reshape(-1, len(at))
+
+
 def _nodes(model: DecisionTreeClassificationModel, spark: SparkSession) -> dict[int, tuple]:
     """{id: (class counts, left id, right id)} of a tree; the root's id is 0, a leaf's children are None."""
     from .model_table import node_table
