@@ -377,7 +377,7 @@ class _Job:
     nodes: np.ndarray
     features: np.ndarray
     all_features: bool
-    bins: int
+    bins: int  # of the widest feature
     trees: int
 
     @property
@@ -409,7 +409,7 @@ def _splits(rows: DataFrame, jobs: list[_Job], level: int, layout: _Layout, maps
                 for bins_of in sorted({settings[s].bins for f, s in sides if f == fold}):
                     bins = layout.bins(mine, maps[fold, bins_of])
                     for i, j in enumerate(jobs):
-                        if j.tree.fold == fold and j.bins == bins_of:
+                        if j.tree.fold == fold and settings[j.tree.setting].bins == bins_of:
                             _count(held[i], j, local[i], bins, label, counts, level)
         for i, j in enumerate(jobs):
             # (place, node, bin, label) to one value per node
@@ -439,7 +439,7 @@ def _splits(rows: DataFrame, jobs: list[_Job], level: int, layout: _Layout, maps
             if len(nodes):
                 table = np.stack([sums.pop((i, int(n))) for n in nodes]).reshape(len(nodes), -1, j.bins, 2)
                 features = j.features[np.searchsorted(j.nodes, nodes)]
-                tried = np.array([len(c) for c in cuts[j.tree.fold, j.bins]])[features]
+                tried = np.array([len(c) for c in cuts[j.tree.fold, settings[j.tree.setting].bins]])[features]
                 columns = _best(table, tried, settings[j.tree.setting].impurity)
                 yield pa.record_batch([pa.array(np.full(len(nodes), i, np.int32)), pa.array(nodes.astype(np.int32)), *columns], names=names)
 
@@ -527,7 +527,8 @@ class FoldTrees:
             return False
         self.layout = _Layout([np.unique(np.concatenate([own[j] for own in self.cuts.values()])) for j in range(d)])
         self.maps = {key: self.layout.maps(own) for key, own in self.cuts.items()}
-        if any(s.bins > 256 or self.n_trees * (1 << max(0, s.depth - 1)) * self.tried * s.bins * 24 > GROUP for s in self.settings):
+        # A sample larger than expected gives a cut or two beyond the setting's bins.
+        if any(s.bins > 250 or self.n_trees * (1 << max(0, s.depth - 1)) * self.tried * s.bins * 24 > GROUP for s in self.settings):
             return False
         if self.layout.bits + self.forest * TREE_BITS > 63 or self.n_trees > MOST_TREES:
             return False
@@ -565,7 +566,7 @@ class FoldTrees:
                     if own:
                         nodes = np.array([stack[k][1] for k in own])
                         by = nodes.argsort()
-                        jobs.append(_Job(self.trees[m[0]][m[1]][t], nodes[by], chosen[own][by], not subsets, self.settings[m[1]].bins, self.n_trees))
+                        jobs.append(_Job(self.trees[m[0]][m[1]][t], nodes[by], chosen[own][by], not subsets, 1 + max(map(len, self.cuts[m[0], self.settings[m[1]].bins])), self.n_trees))
             if not jobs:
                 break
             pushed: dict[tuple[int, int, int], set] = {}

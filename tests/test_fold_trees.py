@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator
@@ -58,3 +58,19 @@ def test_missing_features_fail_as_in_a_fit(spark, tmp_path):
     holes = df.withColumn("features", array_to_vector(F.array(*[F.when(F.rand(3) < 0.01, float("nan")).otherwise(F.rand(c)) for c in range(5)])))
     with pytest.raises(Exception, match="(?i)nan"):
         models.cross_validate(holes, models.forest(seed=7), {"maxDepth": [2]}, k=2, fold_col="fold")
+
+
+def test_trees_of_sampled_rows_equal_plain_cross_validation(spark, tmp_path, monkeypatch):
+    df, grid = _table(spark, tmp_path, 60_000), {"impurity": ["gini", "entropy"], "maxDepth": [3, 5]}  # cuts from a third of the rows
+    monkeypatch.setattr(models, "MANY_ROWS", 0)
+    fits = _fits(monkeypatch, DecisionTreeClassifier)
+    found = models.cross_validate(df, DecisionTreeClassifier(seed=11), grid, k=2, fold_col="fold")
+    assert len(fits) == 1  # the best; none per fold and setting
+    plain = _plain(df, DecisionTreeClassifier(seed=11), grid)
+    assert found.avgMetrics == pytest.approx(plain.avgMetrics, abs=1e-12)
+    assert found.stdMetrics == pytest.approx(plain.stdMetrics, abs=1e-12)
+
+
+def test_a_large_sample_has_more_cuts_than_bins_ask_for():
+    assert len(fold_trees._cuts(np.arange(1.0, 1001.0), 880.0, 10)) == 11  # a cut every 88 values, as in Spark
+    assert len(fold_trees._cuts(np.arange(1.0, 1001.0), 1000.0, 10)) == 9
