@@ -150,10 +150,11 @@ def _grow_folds(df: DataFrame, cv: CrossValidator) -> CrossValidatorModel | None
     if {"nominal", "binary"} & set(df.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})):
         return None
     k, fold = cv.getNumFolds(), F.col(cv.getFoldCol())
-    rows = df.groupBy(F.when(fold.between(0, k - 1), fold).alias("fold"), "label").count().collect()
+    rows = df.groupBy(F.when(fold.between(0, k - 1), fold).alias("fold"), "label").agg(
+        F.count(F.lit(1)), F.count_if(F.col("features").isNull())).collect()
     n = [[sum(r[2] for r in rows if r[0] == i and r[1] == value) for value in (0.0, 1.0)] for i in range(k)]
     total = np.sum(n, axis=0)
-    if total.sum() != sum(r[2] for r in rows) or any(sum(own) == 0 or (total - own).min() == 0 for own in n):
+    if any(r[3] for r in rows) or total.sum() != sum(r[2] for r in rows) or any(sum(own) == 0 or (total - own).min() == 0 for own in n):
         return None
     if not is_forest and total.sum() < MANY_ROWS:
         return None

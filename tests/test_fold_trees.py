@@ -74,3 +74,11 @@ def test_trees_of_sampled_rows_equal_plain_cross_validation(spark, tmp_path, mon
 def test_a_large_sample_has_more_cuts_than_bins_ask_for():
     assert len(fold_trees._cuts(np.arange(1.0, 1001.0), 880.0, 10)) == 11  # a cut every 88 values, as in Spark
     assert len(fold_trees._cuts(np.arange(1.0, 1001.0), 1000.0, 10)) == 9
+
+
+def test_rows_without_a_vector_are_left_to_spark(spark, tmp_path, monkeypatch):
+    df = _table(spark, tmp_path, 400)
+    monkeypatch.setattr(fold_trees.FoldTrees, "grow", lambda self: pytest.fail("grown without their vectors"))
+    monkeypatch.setattr(models, "MANY_ROWS", 0)
+    with pytest.raises(Exception, match="(?i)null"):
+        models.cross_validate(df.withColumn("features", F.when(F.rand(3) < 0.9, F.col("features"))), models.forest(seed=7), {"maxDepth": [2]}, k=2, fold_col="fold")
